@@ -66,6 +66,11 @@ def broadcast_if_small(df: DataFrame, label: str) -> DataFrame:
     return F.broadcast(table) if is_small(table) else table
 
 
+def numbers_up_to(spark: SparkSession, last: int) -> DataFrame:
+    """The numbers 1..last in a column n."""
+    return spark.range(1, last + 1).withColumnRenamed("id", "n")
+
+
 class Tables(Mapping[str, DataFrame]):
     """Named tables, each made on first use."""
 
