@@ -430,7 +430,7 @@ def _unresolved(fact: str) -> str:
 def _count_verdict(number: int, problems: str) -> str:
     check = CHECKS[number]
     return f"""
-    SELECT {number} AS Num, '{check.category}' AS Categoria, '{check.name}' AS Nombre,
+    SELECT CAST({number} AS BIGINT) AS Num, '{check.category}' AS Categoria, '{check.name}' AS Nombre,
            CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS Estado,
            CASE WHEN n = 0 THEN '{check.passed}' ELSE n || '{check.failed}' END AS Detalle, n AS Problemas
     FROM ({problems})"""
@@ -439,7 +439,7 @@ def _count_verdict(number: int, problems: str) -> str:
 def _match_verdict(number: int, origin: str, fact: str) -> str:
     check = CHECKS[number]
     return f"""
-    SELECT {number} AS Num, '{check.category}' AS Categoria, '{check.name}' AS Nombre,
+    SELECT CAST({number} AS BIGINT) AS Num, '{check.category}' AS Categoria, '{check.name}' AS Nombre,
            CASE WHEN a = b THEN 'PASS' ELSE 'FAIL' END AS Estado,
            'OLTP=' || a || ' | DWH=' || b || ' | Diferencia=' || abs(a - b) AS Detalle, abs(a - b) AS Problemas
     FROM (SELECT (SELECT count(*) FROM {origin}) AS a, (SELECT count(*) FROM {fact}) AS b)"""
@@ -448,7 +448,7 @@ def _match_verdict(number: int, origin: str, fact: str) -> str:
 def _calendar_verdict() -> str:
     check, start, end = CHECKS[12], CALENDAR_START, CALENDAR_END
     return f"""
-    SELECT 12 AS Num, '{check.category}' AS Categoria, '{check.name.format(start=start, end=end)}' AS Nombre,
+    SELECT CAST(12 AS BIGINT) AS Num, '{check.category}' AS Categoria, '{check.name.format(start=start, end=end)}' AS Nombre,
            CASE WHEN a <= DATE '{start}' AND b >= DATE '{end}' THEN 'PASS' ELSE 'FAIL' END AS Estado,
            'Rango real: ' || a || ' a ' || b AS Detalle, CAST(0 AS BIGINT) AS Problemas
     FROM (SELECT min(FechaCompleta) AS a, max(FechaCompleta) AS b FROM DimFecha)"""
