@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peoplemart.operators.keys import dense_keys
-from peoplemart.sources.storage import broadcast_if_small
+from peoplemart.sources.storage import broadcast_if_small, is_small
 
 
 def round_robin(events: DataFrame, event_id: str, entities: DataFrame, entity_id: str) -> DataFrame:
@@ -16,6 +16,8 @@ def round_robin(events: DataFrame, event_id: str, entities: DataFrame, entity_id
     """
     numbered_events = dense_keys(events.select(event_id), [event_id], "n")
     numbered_entities = dense_keys(entities.select(entity_id), [entity_id], "rn")
+    if is_small(entities):  # a few entities share all events, so their join keys are hot
+        numbered_entities = F.broadcast(numbered_entities)
     size = entities.agg(F.count("*")).scalar()
     turn = ((F.col("n") - 1) % size + 1).alias("rn")
     return (

@@ -62,6 +62,17 @@ def _labelled(df: DataFrame, dim: DataFrame, key: str, *labels: str) -> DataFram
     return df.join(dim.select(key, *labels), key)
 
 
+def _grouped(fact: DataFrame, dim: DataFrame, key: str, labels: list[str]):
+    """fact with a number per distinct label combination, and the labels of each number.
+
+    Counting distinct employees shuffles a row per employee and group, so groups travel as one
+    number (the lowest key with these labels) and get their labels after they are counted.
+    """
+    numbers = dim.select(key, *labels, F.min(key).over(Window.partitionBy(*labels)).alias("_group"))
+    named = numbers.filter(F.col(key) == F.col("_group")).select("_group", *labels)
+    return fact.join(numbers.select(key, "_group"), key), named
+
+
 def _rating_bands() -> list[Column]:
     return [
         how_many(_tenths() >= 45).alias("Excelente"),
@@ -115,14 +126,18 @@ def ratings_by_department(mart: Tables) -> DataFrame:
 
 
 def monthly_absences(mart: Tables) -> DataFrame:
-    events = _labelled(mart["FactAusencias"], mart["DimFecha"], "FechaKey", "Anio", "Mes", "NombreMes")
+    month = ["Anio", "Mes"]
+    events = _labelled(mart["FactAusencias"], mart["DimFecha"], "FechaKey", *month)
+    names = mart["DimFecha"].select(*month, "NombreMes").distinct()  # one per month
     return (
-        events.groupBy("Anio", "Mes", "NombreMes")
+        events.groupBy(*month)
         .agg(F.count("*").alias("CantidadEventos"),
              F.sum(_days()).alias("TotalDiasAusentes"),
              F.count_distinct("EmpleadoKey").alias("EmpleadosAfectados"))
-        .withColumn("DiasPromPorEmpleado", _mean_of("TotalDiasAusentes", "EmpleadosAfectados", 2))
-        .orderBy("Anio", "Mes")
+        .join(names, month)
+        .select(*month, "NombreMes", "CantidadEventos", "TotalDiasAusentes", "EmpleadosAfectados",
+                _mean_of("TotalDiasAusentes", "EmpleadosAfectados", 2).alias("DiasPromPorEmpleado"))
+        .orderBy(*month)
     )
 
 
@@ -160,13 +175,14 @@ def top_absent_employees(mart: Tables, by_key: bool = False, limit: int = 10) ->
 
 
 def training_by_department_and_state(mart: Tables) -> DataFrame:
-    trained = _labelled(mart["FactCapacitaciones"], mart["DimDepartamento"], "DepartamentoKey", *_DEPARTMENT)
+    trained, named = _grouped(mart["FactCapacitaciones"], mart["DimDepartamento"], "DepartamentoKey", _DEPARTMENT)
     return (
-        trained.groupBy("NombreDepartamento", "Estado")
+        trained.groupBy("_group", "Estado")
         .agg(F.count("*").alias("Asignaciones"),
              F.count_distinct("EmpleadoKey").alias("EmpleadosParticipantes"),
              F.sum(_cost_cents()).alias("cents"),
              F.sum(_grade_cents()).alias("grades"), F.count("CalificacionObtenida").alias("graded"))
+        .join(named, "_group")
         .select(
             "NombreDepartamento", "Estado", "Asignaciones", "EmpleadosParticipantes",
             shifted(F.col("cents"), 2).alias("InversionTotal"),
@@ -204,12 +220,14 @@ def absence_rate(mart: Tables, years: tuple[int, int] | None = None) -> DataFram
     if years:
         chosen = mart["DimFecha"].filter(F.col("Anio").between(*years)).select("FechaKey")
         events = events.join(chosen, "FechaKey")
-    events = _labelled(events, mart["DimDepartamento"], "DepartamentoKey", *_DEPARTMENT)
+    events, named = _grouped(events, mart["DimDepartamento"], "DepartamentoKey", _DEPARTMENT)
     lost, available = F.col("TotalDiasAusentes"), F.col("DiasLaborablesDisponibles")
     return (
-        events.groupBy("NombreDepartamento")
+        events.groupBy("_group")
         .agg(F.count_distinct("EmpleadoKey").alias("TotalEmpleados"),
              F.sum(_days()).alias("TotalDiasAusentes"))
+        .join(named, "_group")
+        .select("NombreDepartamento", "TotalEmpleados", "TotalDiasAusentes")
         .withColumn("DiasLaborablesDisponibles", F.col("TotalEmpleados") * WORKING_DAYS)
         .withColumn("TasaAusentismoPct", percent(lost, available, 2))
         .withColumn("NivelRiesgo", F.when(lost * 100 > available * 5, RISK_CRITICAL)
@@ -220,12 +238,13 @@ def absence_rate(mart: Tables, years: tuple[int, int] | None = None) -> DataFram
 
 
 def training_by_office(mart: Tables) -> DataFrame:
-    trained = _labelled(mart["FactCapacitaciones"], mart["DimOficina"], "OficinaKey", *_OFFICE)
+    trained, named = _grouped(mart["FactCapacitaciones"], mart["DimOficina"], "OficinaKey", _OFFICE)
     return (
-        trained.groupBy(*_OFFICE)
+        trained.groupBy("_group")
         .agg(F.count_distinct("EmpleadoKey").alias("EmpleadosCapacitados"),
              F.count("*").alias("TotalAsignaciones"),
              F.sum(_cost_cents()).alias("cents"))
+        .join(named, "_group")
         .select(
             *_OFFICE, "EmpleadosCapacitados", "TotalAsignaciones",
             shifted(F.col("cents"), 2).alias("InversionTotal"),

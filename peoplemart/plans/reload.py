@@ -45,7 +45,7 @@ class Mart(Mapping[str, DataFrame]):
         if name not in self._tables:
             table = self._built(name).select(MART[name].schema.names)
             self.loaded_rows[name] = write_table(table, self.folder, name)
-            self._tables[name] = read_table(self.spark, self.folder, name)
+            self._tables[name] = read_table(self.spark, self.folder, name, table.schema)
         return self._tables[name]
 
     def __iter__(self) -> Iterator[str]:

@@ -64,9 +64,12 @@ class _Roles:
         self._spark = spark
         self._folder = folder
         self._segments: DataFrame | None = None
+        self._given: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return read_table(self._spark, self._folder, name)
+        if name not in self._given:
+            self._given[name] = read_table(self._spark, self._folder, name)
+        return self._given[name]
 
     def offices(self) -> DataFrame:
         nation = self._read("nation").join(self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -85,8 +88,7 @@ class _Roles:
         if self._segments is None:
             found = self._read("customer").groupBy("c_mktsegment").agg(
                 F.min("c_custkey").alias("HeadID"), F.min("c_nationkey").alias("OficinaID"))
-            self._segments = staged(
-                dense_keys(staged(found, "segments"), ["c_mktsegment"], "DepartamentoID"), "departments")
+            self._segments = dense_keys(staged(found, "segments"), ["c_mktsegment"], "DepartamentoID")
         return self._segments
 
     def departments(self) -> DataFrame:
@@ -100,7 +102,7 @@ class _Roles:
             F.max(_money("p_retailprice")).alias("SalarioMaximo")), "bands")
         jobs = dense_keys(bands, ["p_type"], "PuestoID").withColumnRenamed("p_type", "NombrePuesto")
         level = _chosen(F.col("PuestoID") % 3, "Senior", "Junior", "Mid-Level")
-        return staged(jobs.withColumn("NivelSalarial", level), "jobs")
+        return jobs.withColumn("NivelSalarial", level)
 
     def employees(self) -> DataFrame:
         person = F.col("c_custkey")

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side with at most this many rows of a few columns each may be broadcast or held by one task.
 SMALL_ROWS = 10_000
@@ -33,8 +34,10 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/peoplemart-{label}-{uuid.uuid4().hex}"
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table of a folder; a schema already known spares the job that looks it up."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def write_table(df: DataFrame, folder: str, name: str) -> int:
@@ -49,7 +52,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """df written to the shared folder and read back: short lineage, sizes known to the planner."""
     folder = new_folder(df.sparkSession, "stage")
     df.write.parquet(f"{folder}/{label}.parquet")
-    return read_table(df.sparkSession, folder, label)
+    return read_table(df.sparkSession, folder, label, df.schema)
 
 
 def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
@@ -96,5 +99,6 @@ class Tables(Mapping[str, DataFrame]):
         return Tables(makers)
 
 
-def saved_tables(spark: SparkSession, folder: str, names: list[str]) -> Tables:
-    return Tables({name: (lambda n=name: read_table(spark, folder, n)) for name in names})
+def saved_tables(spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType]) -> Tables:
+    """Tables written before, for instance a mart that was loaded by an earlier application."""
+    return Tables({name: (lambda n=name: read_table(spark, folder, n, schemas[n])) for name in schemas})
