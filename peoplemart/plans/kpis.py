@@ -73,12 +73,24 @@ def _grouped(fact: DataFrame, dim: DataFrame, key: str, labels: list[str]):
     return fact.join(numbers.select(key, "_group"), key), named
 
 
-def _rating_bands() -> list[Column]:
+def _rating_histogram(ratings: DataFrame, *group: str) -> DataFrame:
+    """Rows per group and rating: a few dozen rows per group, from which all statistics follow."""
+    return ratings.groupBy(*group, "Calificacion").agg(F.count("*").alias("n")).withColumn("tenths", _tenths())
+
+
+def _rating_statistics() -> list[Column]:
+    """Aggregates over a rating histogram."""
+    n, tenths = F.col("n"), F.col("tenths")
     return [
-        how_many(_tenths() >= 45).alias("Excelente"),
-        how_many(_tenths().between(35, 44)).alias("Bueno"),
-        how_many(_tenths().between(25, 34)).alias("Regular"),
-        how_many(_tenths() < 25).alias("Deficiente"),
+        F.sum(n).alias("TotalEvaluaciones"),
+        F.sum(n * tenths).alias("total"),
+        F.sum(n * tenths * tenths).alias("squares"),
+        F.min("Calificacion").alias("Minima"),
+        F.max("Calificacion").alias("Maxima"),
+        sum_where(tenths >= 45, n).alias("Excelente"),
+        sum_where(tenths.between(35, 44), n).alias("Bueno"),
+        sum_where(tenths.between(25, 34), n).alias("Regular"),
+        sum_where(tenths < 25, n).alias("Deficiente"),
     ]
 
 
@@ -107,13 +119,10 @@ def absence_by_department_and_type(mart: Tables) -> DataFrame:
 
 
 def ratings_by_department(mart: Tables) -> DataFrame:
-    rated = _labelled(mart["FactEvaluaciones"], mart["DimDepartamento"], "DepartamentoKey", *_DEPARTMENT)
+    rated = _rating_histogram(mart["FactEvaluaciones"], "DepartamentoKey")
     return (
-        rated.groupBy("NombreDepartamento")
-        .agg(F.count("*").alias("TotalEvaluaciones"),
-             F.sum(_tenths()).alias("total"), F.sum(_tenths() * _tenths()).alias("squares"),
-             F.min("Calificacion").alias("Minima"), F.max("Calificacion").alias("Maxima"),
-             *_rating_bands())
+        _labelled(rated, mart["DimDepartamento"], "DepartamentoKey", *_DEPARTMENT)
+        .groupBy("NombreDepartamento").agg(*_rating_statistics())
         .select(
             "NombreDepartamento", "TotalEvaluaciones",
             _mean_of("total", "TotalEvaluaciones", 1, units=1).alias("PromedioCalificacion"),
@@ -218,8 +227,11 @@ def absence_rate(mart: Tables, years: tuple[int, int] | None = None) -> DataFram
     """
     events = mart["FactAusencias"]
     if years:
-        chosen = mart["DimFecha"].filter(F.col("Anio").between(*years)).select("FechaKey")
-        events = events.join(chosen, "FechaKey")
+        first, last = years
+        # the key holds the date, so the range is also a filter the scan can apply
+        in_range = F.col("FechaKey").between(first * 10000 + 101, last * 10000 + 1231)
+        chosen = mart["DimFecha"].filter(F.col("Anio").between(first, last)).select("FechaKey")
+        events = events.filter(in_range).join(chosen, "FechaKey")
     events, named = _grouped(events, mart["DimDepartamento"], "DepartamentoKey", _DEPARTMENT)
     lost, available = F.col("TotalDiasAusentes"), F.col("DiasLaborablesDisponibles")
     return (
@@ -257,9 +269,8 @@ def training_by_office(mart: Tables) -> DataFrame:
 def quarterly_ratings(mart: Tables) -> DataFrame:
     rated = _labelled(mart["FactEvaluaciones"], mart["DimFecha"], "FechaKey", "Anio", "Trimestre")
     return (
-        rated.groupBy("Anio", "Trimestre")
-        .agg(F.count("*").alias("TotalEvaluaciones"), F.sum(_tenths()).alias("total"),
-             *_rating_bands())
+        _rating_histogram(rated, "Anio", "Trimestre")
+        .groupBy("Anio", "Trimestre").agg(*_rating_statistics())
         .select(
             "Anio", "Trimestre", joined("Q", F.col("Trimestre"), "-", F.col("Anio")).alias("Periodo"),
             "TotalEvaluaciones",

@@ -8,6 +8,7 @@ from peoplemart.operators.references import orphans, reference_profile
 from peoplemart.plans import facts, kpis, quality
 from peoplemart.plans.reload import Mart
 from peoplemart.sources.schemas import MART, Reference
+from peoplemart.sources.session import cluster_options
 from peoplemart.sources.storage import broadcast_if_small, new_folder, saved_tables, shared_folder, staged
 from tests.people import CALENDAR_END, CALENDAR_START
 
@@ -178,3 +179,16 @@ def test_shared_folder_comes_from_the_session(spark, conf):
     assert shared_folder(spark)
     if spark.conf.get("spark.checkpoint.dir", None):
         assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_cluster_options_bound_the_partition_size():
+    options = cluster_options(shuffled_bytes=10 * 2**40, cores=8000)
+    assert int(options["spark.sql.shuffle.partitions"]) == 81920
+    assert cluster_options(shuffled_bytes=1, cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_year_range_reaches_the_fact_scan(mart):
+    plan = kpis.absence_rate(mart, years=(2024, 2024))._jdf.queryExecution().explainString(
+        mart.spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "GreaterThanOrEqual(FechaKey,20240101)" in plan and "LessThanOrEqual(FechaKey,20241231)" in plan
+    assert sum(row.TotalDiasAusentes for row in kpis.absence_rate(mart, years=(2024, 2024)).collect()) == 98
