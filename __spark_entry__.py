@@ -27,7 +27,7 @@ NARROW_CALENDAR = (date(1996, 1, 1), date(2000, 12, 31))
 _marts: dict[tuple[str, str], Mart] = {}
 
 
-def _mart(spark: SparkSession, folder: str) -> Mart:
+def loaded_mart(spark: SparkSession, folder: str) -> Mart:
     """The mart over the test tables in folder. Its tables are loaded on first use, then shared
     by the queries of this application."""
     key = (spark.sparkContext.applicationId, folder)
@@ -56,7 +56,7 @@ def _comparable(df: DataFrame) -> DataFrame:
 
 
 def _on_mart(plan: Callable[..., DataFrame], **options) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: _comparable(plan(_mart(spark, folder), **options))
+    return lambda spark, folder: _comparable(plan(loaded_mart(spark, folder), **options))
 
 
 def _on_tables(plan: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -64,8 +64,7 @@ def _on_tables(plan: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 
 def _with_narrow_calendar(mart: Mart) -> Tables:
-    return Tables({name: (lambda n=name: mart[n]) for name in mart}).replaced(
-        DimFecha=calendar(mart.spark, *NARROW_CALENDAR))
+    return mart.replaced(DimFecha=calendar(mart.spark, *NARROW_CALENDAR))
 
 
 def _found_calendar(spark: SparkSession, folder: str, language: str) -> DataFrame:
@@ -136,7 +135,7 @@ def _ages(mart: Mart) -> DataFrame:
 
 def _load_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Loads a second, complete mart and reports the rows written to each table."""
-    again = Mart(spark, _mart(spark, folder).source, new_folder(spark, "mart"), SETTINGS)
+    again = Mart(spark, loaded_mart(spark, folder).source, new_folder(spark, "mart"), SETTINGS)
     return again.load_all()
 
 
@@ -195,7 +194,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "v16_narrow_calendar": _on_mart(lambda mart: quality.summary_report(_detail(mart, narrow=True))),
         "c01_primary_keys": _on_mart(lambda mart: checks.key_checks(_all_tables(mart), _EVERY)),
         "c02_unique": _on_mart(lambda mart: checks.unique_checks(_all_tables(mart), _EVERY, composite=False)),
-        "c03_unique_pair": lambda spark, folder: _comparable(_unique_pairs(_mart(spark, folder), spark, folder)),
+        "c03_unique_pair": lambda spark, folder: _comparable(_unique_pairs(loaded_mart(spark, folder), spark, folder)),
         "c04_source_references": _on_mart(lambda mart: checks.reference_checks(mart.source, SOURCE)),
         "c05_manager_reference": _on_mart(
             lambda mart: checks.reference_checks(mart.source, SOURCE, to_itself=True)),

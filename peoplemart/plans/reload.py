@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peoplemart.plans import dims, facts
 from peoplemart.plans.calendar import calendar
 from peoplemart.sources.schemas import MART
-from peoplemart.sources.storage import read_table, write_table
+from peoplemart.sources.storage import Tables, read_table, write_table
 
 
 @dataclass(frozen=True)
@@ -26,7 +29,7 @@ class Settings:
     full_years: bool = False
 
 
-class Mart(Mapping[str, DataFrame]):
+class Mart(Tables):
     """The ten mart tables in a folder, each loaded from the source on first use.
 
     A fact asks for its dimensions, so the load order follows from use. Every table is
@@ -34,33 +37,30 @@ class Mart(Mapping[str, DataFrame]):
     """
 
     def __init__(self, spark: SparkSession, source: Mapping[str, DataFrame], folder: str, settings: Settings):
+        super().__init__({name: partial(self._loaded, name) for name in MART})
         self.spark = spark
         self.source = source
         self.folder = folder
         self.settings = settings
         self.loaded_rows: dict[str, int] = {}
-        self._tables: dict[str, DataFrame] = {}
-
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            table = self._built(name).select(MART[name].schema.names)
-            self.loaded_rows[name] = write_table(table, self.folder, name)
-            self._tables[name] = read_table(self.spark, self.folder, name, table.schema)
-        return self._tables[name]
-
-    def __iter__(self) -> Iterator[str]:
-        return iter(MART)
-
-    def __len__(self) -> int:
-        return len(MART)
 
     def load_all(self) -> DataFrame:
-        """Loads every table and reports the rows written to each (Tabla, Registros)."""
-        for name in MART:
-            self[name]
+        """Loads every table and reports the rows written to each (Tabla, Registros).
+
+        Dimensions do not depend on each other and are loaded side by side, then the facts.
+        """
+        facts_last = ([n for n in MART if not MART[n].references], [n for n in MART if MART[n].references])
+        for names in facts_last:
+            with ThreadPoolExecutor(len(names)) as pool:
+                list(pool.map(inheritable_thread_target(self.spark)(self.__getitem__), names))
         rows = [(name, self.loaded_rows[name]) for name in MART]
         return self.spark.createDataFrame(rows, "Tabla string, Registros bigint")
 
+    def _loaded(self, name: str) -> DataFrame:
+        table = self._built(name).select(MART[name].schema.names)
+        self.loaded_rows[name] = write_table(table, self.folder, name)
+        return read_table(self.spark, self.folder, name, table.schema)
+
     def _built(self, name: str) -> DataFrame:
         settings, source = self.settings, self.source
         match name:

@@ -63,12 +63,12 @@ class _Roles:
     def __init__(self, spark: SparkSession, folder: str):
         self._spark = spark
         self._folder = folder
-        self._segments: DataFrame | None = None
-        self._given: dict[str, DataFrame] = {}
+        self._given = Tables({
+            name: (lambda n=name: read_table(spark, folder, n))
+            for name in ("region", "nation", "customer", "part", "orders", "lineitem")})
+        self._prepared = Tables({"segments": self._segment_table})
 
     def _read(self, name: str) -> DataFrame:
-        if name not in self._given:
-            self._given[name] = read_table(self._spark, self._folder, name)
         return self._given[name]
 
     def offices(self) -> DataFrame:
@@ -85,14 +85,12 @@ class _Roles:
 
     def _segment_table(self) -> DataFrame:
         """One row per department with its head (lowest employee id) and an office."""
-        if self._segments is None:
-            found = self._read("customer").groupBy("c_mktsegment").agg(
-                F.min("c_custkey").alias("HeadID"), F.min("c_nationkey").alias("OficinaID"))
-            self._segments = dense_keys(staged(found, "segments"), ["c_mktsegment"], "DepartamentoID")
-        return self._segments
+        found = self._read("customer").groupBy("c_mktsegment").agg(
+            F.min("c_custkey").alias("HeadID"), F.min("c_nationkey").alias("OficinaID"))
+        return dense_keys(staged(found, "segments"), ["c_mktsegment"], "DepartamentoID")
 
     def departments(self) -> DataFrame:
-        return self._segment_table().select(
+        return self._prepared["segments"].select(
             "DepartamentoID", F.col("c_mktsegment").alias("NombreDepartamento"),
             joined("Area ", F.col("c_mktsegment")).alias("Descripcion"), "OficinaID")
 
@@ -107,7 +105,7 @@ class _Roles:
     def employees(self) -> DataFrame:
         person = F.col("c_custkey")
         people = with_managers(
-            self._read("customer"), self._segment_table().drop("OficinaID"),
+            self._read("customer"), self._prepared["segments"].drop("OficinaID"),
             "c_mktsegment", "c_custkey", "JefeID")
         return people.select(
             person.alias("EmpleadoID"),
@@ -142,7 +140,7 @@ class _Roles:
 
     def reviews(self) -> DataFrame:
         # the head is attached to the orders, which are fewer than the line items
-        heads = self._read("customer").join(self._segment_table(), "c_mktsegment").select("c_custkey", "HeadID")
+        heads = self._read("customer").join(self._prepared["segments"], "c_mktsegment").select("c_custkey", "HeadID")
         reviewed = (
             self._read("orders").select("o_orderkey", "o_custkey")
             .join(heads, F.col("o_custkey") == F.col("c_custkey"))

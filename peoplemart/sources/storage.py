@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Mapping
+from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -75,16 +76,18 @@ def numbers_up_to(spark: SparkSession, last: int) -> DataFrame:
 
 
 class Tables(Mapping[str, DataFrame]):
-    """Named tables, each made on first use."""
+    """Named tables, each made once, on first use by any thread."""
 
     def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
         self._makers = dict(makers)
         self._made: dict[str, DataFrame] = {}
+        self._locks = {name: Lock() for name in self._makers}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._made:
-            self._made[name] = self._makers[name]()
-        return self._made[name]
+        with self._locks[name]:
+            if name not in self._made:
+                self._made[name] = self._makers[name]()
+            return self._made[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._makers)
