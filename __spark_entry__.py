@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from datetime import date
 from functools import partial
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))  # also when loaded from elsewhere
+
 from peoplemart.operators import assign, checks
 from peoplemart.operators.keys import dense_keys
 from peoplemart.plans import dims, kpis, quality

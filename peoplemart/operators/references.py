@@ -11,19 +11,19 @@ from peoplemart.functions.numeric import how_many
 from peoplemart.sources.schemas import Reference
 
 
-def _with_known(df: DataFrame, reference: Reference, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """df with a column _known that is NULL where the reference, or its value, is missing."""
-    known = (
-        parents[reference.parent]
-        .select(F.col(reference.parent_column).alias(reference.column))
-        .distinct()
-        .withColumn("_known", F.lit(True))
-    )
-    return df.join(known, reference.column, "left")
+def _referring(reference: Reference) -> str:
+    """Name of the referring column inside a profile.
+
+    It differs from every column of a parent. A name they share would be looked up in the
+    parent first, and the existence test would compare the parent with itself.
+    """
+    return f"_to_{reference.column}"
 
 
-def _flagged(broken: Column) -> Column:
-    return (broken | F.col("_known").isNull()).alias("_broken")
+def _resolves(reference: Reference, parent: DataFrame) -> Column:
+    """True where the parent has the referred value; a NULL refers to no row."""
+    known = parent.select(F.col(reference.parent_column).alias("_parent"))
+    return known.where(F.col("_parent") == F.col(_referring(reference)).outer()).exists()
 
 
 def reference_profile(
@@ -31,29 +31,31 @@ def reference_profile(
     references: Sequence[Reference],
     parents: Mapping[str, DataFrame],
     counters: Mapping[str, Column],
-    growing: Collection[str],
+    small: Collection[str],
 ) -> DataFrame:
     """One row: Filas (rows), Huerfanas (rows with any unresolved reference), and the counters.
 
-    Parents that do not grow with the data are joined to the rows themselves. For the others
-    (named in growing) the rows are first folded to counts per key, one parent after the
-    other, so a key that holds most rows reaches the join as a single row.
+    Every reference is a hash join that tests existence. Parents named in small, whose size
+    the caller has checked, are broadcast to the rows themselves. For the others the rows are
+    first folded to counts per key, one parent after the other, so a key that holds most rows
+    reaches the join as a single row.
     """
     names = ["Filas", *counters]
-    folded = [r for r in references if r.parent in growing]
-    rows = df.withColumn("_broken", F.lit(False))
+    rows = df.select("*", *[F.col(r.column).alias(_referring(r)) for r in references])
+    broken = F.lit(False)
     for reference in references:
-        if reference not in folded:
-            rows = _with_known(rows, reference, parents).withColumn("_broken", _flagged(F.col("_broken"))).drop("_known")
-    groups = [r.column for r in folded]
-    counts = rows.groupBy(*groups, "_broken").agg(
+        if reference.parent in small:
+            broken = broken | ~_resolves(reference, F.broadcast(parents[reference.parent]))
+    folded = [r for r in references if r.parent not in small]
+    groups = [_referring(r) for r in folded]
+    counts = rows.withColumn("_broken", broken).groupBy(*groups, "_broken").agg(
         F.count("*").alias("Filas"), *[how_many(c).alias(name) for name, c in counters.items()])
     while folded:
         reference, *folded = folded
-        groups = [r.column for r in folded]
+        groups = [_referring(r) for r in folded]
         counts = (
-            _with_known(counts, reference, parents)
-            .groupBy(*groups, _flagged(F.col("_broken")))
+            counts.withColumn("_broken", F.col("_broken") | ~_resolves(reference, parents[reference.parent]))
+            .groupBy(*groups, "_broken")
             .agg(*[F.sum(name).alias(name) for name in names])
         )
     orphaned = F.sum(F.when(F.col("_broken"), F.col("Filas")))

@@ -6,9 +6,10 @@ then turned into one verdict row per check. Nothing is collected to decide a ver
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 from datetime import date
+from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +19,10 @@ from peoplemart.functions.text import joined
 from peoplemart.operators.checks import united
 from peoplemart.operators.references import reference_profile
 from peoplemart.sources.schemas import MART
+from peoplemart.sources.storage import is_small
 
 Tables = Mapping[str, DataFrame]
 
-# dimensions whose size follows the size of the facts
-GROWING = frozenset({"DimEmpleado", "DimCapacitacion"})
-
 
 @dataclass(frozen=True)
 class Check:
@@ -88,18 +87,16 @@ def _match_verdict(number: int) -> Column:
 
 
 def _fact_verdicts(
-    mart: Tables, source: Tables, wanted: Collection[int], fact: str, origin: str,
-    references: int, rule: int, broken: Column, match: int,
+    mart: Tables, source: Tables, wanted: Collection[int], small: Callable[[str], bool],
+    fact: str, origin: str, references: int, rule: int, broken: Column, match: int,
 ) -> DataFrame | None:
     chosen = {references, rule, match} & set(wanted)
     if not chosen:
         return None
+    tested = MART[fact].references if references in chosen else ()
     counts = reference_profile(
-        mart[fact],
-        MART[fact].references if references in chosen else (),
-        mart,
-        {"Fuera": broken} if rule in chosen else {},
-        GROWING)
+        mart[fact], tested, mart, {"Fuera": broken} if rule in chosen else {},
+        {r.parent for r in tested if small(r.parent)})
     if match in chosen:
         # two one-row counts side by side, without a join
         total = source[origin].agg(F.count("*").alias("Fuente"))
@@ -156,11 +153,12 @@ def verdicts(
 ) -> DataFrame:
     """One row per wanted check: Num, Categoria, Nombre, Estado, Detalle, Problemas."""
     rating, days, cost = F.col("Calificacion"), F.col("DiasAusencia"), F.col("CostoCapacitacion")
+    small = cache(lambda name: is_small(mart[name]))
+    facts = partial(_fact_verdicts, mart, source, wanted, small)
     parts = [
-        _fact_verdicts(mart, source, wanted, "FactAusencias", "Ausencias", 1, 6, days <= 0, 8),
-        _fact_verdicts(mart, source, wanted, "FactEvaluaciones", "EvaluacionesDesempeno",
-                       2, 5, ~rating.between(1, 5), 9),
-        _fact_verdicts(mart, source, wanted, "FactCapacitaciones", "EmpleadosCapacitaciones", 3, 11, cost < 0, 14),
+        facts("FactAusencias", "Ausencias", 1, 6, days <= 0, 8),
+        facts("FactEvaluaciones", "EvaluacionesDesempeno", 2, 5, ~rating.between(1, 5), 9),
+        facts("FactCapacitaciones", "EmpleadosCapacitaciones", 3, 11, cost < 0, 14),
         _employee_verdicts(mart, wanted),
         _calendar_verdict(mart, wanted, start, end),
     ]

@@ -89,6 +89,9 @@ class Tables(Mapping[str, DataFrame]):
                 self._made[name] = self._makers[name]()
             return self._made[name]
 
+    def __contains__(self, name: object) -> bool:
+        return name in self._makers
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._makers)
 
