@@ -195,3 +195,17 @@ def test_year_range_reaches_the_fact_scan(mart):
         mart.spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "GreaterThanOrEqual(FechaKey,20240101)" in plan and "LessThanOrEqual(FechaKey,20241231)" in plan
     assert sum(row.TotalDiasAusentes for row in kpis.absence_rate(mart, years=(2024, 2024)).collect()) == 98
+
+
+@pytest.mark.parametrize("name, load, key", [
+    ("Ausencias", facts.absences, "EmpleadoID"),
+    ("EvaluacionesDesempeno", facts.reviews, "EmpleadoEvaluadoID"),
+    ("EmpleadosCapacitaciones", facts.enrolments, "EmpleadoID"),
+])
+def test_facts_end_clustered_by_employee(mart, source, conf, name, load, key):
+    """With shuffle joins for everything large, the employee join is the outermost of them."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    small = {n: F.broadcast(mart[n]) for n in ("DimOficina", "DimDepartamento", "DimPuesto", "DimTipoAusencia")}
+    plan = plan_of(load(source, mart.replaced(**small)))
+    outermost = next(line for line in plan.splitlines() if "SortMergeJoin" in line)
+    assert f"[{key}#" in outermost
