@@ -35,10 +35,10 @@ def reference_profile(
 ) -> DataFrame:
     """One row: Filas (rows), Huerfanas (rows with any unresolved reference), and the counters.
 
-    Every reference is a hash join that tests existence. Parents named in small, whose size
+    Every reference is an equi-join that tests existence. Parents named in small, whose size
     the caller has checked, are broadcast to the rows themselves. For the others the rows are
     first folded to counts per key, one parent after the other, so a key that holds most rows
-    reaches the join as a single row.
+    reaches the join as one row, or as one per value of the references still to be tested.
     """
     names = ["Filas", *counters]
     rows = df.select("*", *[F.col(r.column).alias(_referring(r)) for r in references])

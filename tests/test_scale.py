@@ -209,3 +209,27 @@ def test_facts_end_clustered_by_employee(mart, source, conf, name, load, key):
     plan = plan_of(load(source, mart.replaced(**small)))
     outermost = next(line for line in plan.splitlines() if "SortMergeJoin" in line)
     assert f"[{key}#" in outermost
+
+
+def test_hot_pair_keeps_its_first_row_and_all_others(spark):
+    """A third of all rows belong to one pair; the result equals a plain computation."""
+    rows = [((0, 0) if n % 3 == 0 else (n % 11, n % 7), n * 7919 % 6007) for n in range(6000)]
+    table = spark.createDataFrame([(a, b, n) for (a, b), n in rows], "a long, b long, n long").repartition(8)
+    expected = {}
+    for pair, n in rows:
+        expected[pair] = min(n, expected.get(pair, n))
+    found = {(row.a, row.b): row.n for row in assign.first_of_each(table, ["a", "b"], ["n"]).collect()}
+    assert found == expected
+
+
+def test_distinct_employees_are_counted_once_per_label(spark, mart):
+    """Two offices with the same labels form one group, in which an employee counts once."""
+    offices = spark.createDataFrame(
+        [(1, "X", "P", "R"), (2, "X", "P", "R"), (3, "Y", "P", "R")],
+        "OficinaKey long, Ciudad string, Pais string, Region string")
+    training = spark.createDataFrame(
+        [(1, 10, 5.0), (2, 10, 5.0), (2, 11, 6.0), (3, 10, 1.0)],
+        "OficinaKey long, EmpleadoKey long, cost double").withColumn("CostoCapacitacion", F.col("cost").cast("decimal(12,2)"))
+    report = kpis.training_by_office({"FactCapacitaciones": training, "DimOficina": offices}).collect()
+    assert [(r.Ciudad, r.EmpleadosCapacitados, r.TotalAsignaciones, str(r.InversionPorEmpleado)) for r in report] == [
+        ("X", 2, 3, "8.00"), ("Y", 1, 1, "1.00")]

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from peoplemart.functions.dates import MONTH_NAMES, WEEKDAY_NAMES
-from peoplemart.operators import checks
 from peoplemart.plans import kpis
 from peoplemart.plans.quality import CHECKS
 from peoplemart.sources.roles import AS_OF, CALENDAR_END, CALENDAR_START
