@@ -355,7 +355,7 @@ def _load_sql() -> dict[str, str]:
                JOIN DimDepartamento USING (DepartamentoKey)"""
     employee = f"""EmpleadoID_OLTP, Identificacion, NombreCompleto, Genero, EstadoCivil, Edad,
            {_text("FechaContratacion")}, AntiguedadAnios, Activo, DepartamentoID_OLTP, PuestoID_OLTP,
-           {_big("OficinaID_OLTP")} AS OficinaID_OLTP, JefeID_OLTP"""
+           {_big("OficinaID_OLTP")} AS OficinaID_OLTP, CAST(JefeID_OLTP AS DOUBLE) AS JefeID_OLTP"""
 
     def calendar(language: str) -> str:
         return f"""SELECT * REPLACE (CAST(FechaCompleta AS VARCHAR) AS FechaCompleta)
@@ -413,7 +413,7 @@ def _load_sql() -> dict[str, str]:
            CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, l_extendedprice, l_quantity, l_returnflag
     FROM lines WHERE rep = 1""",
         "g04_manager": """
-    SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey <> head THEN head END AS JefeID
+    SELECT c_custkey, c_mktsegment, CAST(CASE WHEN c_custkey <> head THEN head END AS DOUBLE) AS JefeID
     FROM customer JOIN (SELECT c_mktsegment, min(c_custkey) AS head FROM customer GROUP BY c_mktsegment)
     USING (c_mktsegment)""",
     }
