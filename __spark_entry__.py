@@ -25,6 +25,12 @@ from peoplemart.sources.schemas import MART, SOURCE
 from peoplemart.sources.storage import Tables, new_folder, numbers_up_to, read_table
 from verification.oracle import oracle_statements
 
+try:
+    import corpus_pipeline
+    from peoplemart.llm import queries as corpus_queries
+except ModuleNotFoundError:  # the library is complete without its training-data operators
+    corpus_pipeline = corpus_queries = None
+
 SETTINGS = Settings(AS_OF, CALENDAR_START, CALENDAR_END)
 NARROW_CALENDAR = (date(1996, 1, 1), date(2000, 12, 31))
 
@@ -234,11 +240,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "c_mktsegment", "c_custkey", "JefeID"), "JefeID")),
     }
     found |= {f"v{number:02}": _verdict(number) for number in quality.CHECKS}
+    if corpus_queries:
+        found |= corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_statements()
+    found = oracle_statements()
+    if corpus_queries:
+        found |= corpus_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 def entry(spark: SparkSession) -> DataFrame:
