@@ -6,13 +6,17 @@ import math
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: The bytes that part words: blank and 0x09 to 0x0D.
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -75,10 +79,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
 
 
-def is_plain_space(data: np.ndarray) -> np.ndarray:
-    return SPACE[data]
-
-
 def pieces(total: int, each: int, least: int = 1) -> int:
     return max(least, math.ceil(total / each))
 
@@ -124,3 +124,41 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     whole = column.buffers()[2]
     data = np.frombuffer(whole, np.uint8) if whole is not None else np.zeros(0, np.uint8)
     return data[offsets[0]: offsets[-1]], offsets - offsets[0]
+
+
+def mapped(docs: DataFrame, text_col: str, results: dict[str, T.DataType], run: Callable[[list[str | None]], list]) -> DataFrame:
+    """docs with result columns that run makes of the texts (None where NULL), one array each. A result
+    takes the place of a column of its name; other columns pass through."""
+    shipped(docs.sparkSession)
+    kept = [c for c in docs.columns if c not in results]
+    fields = [f for f in docs.schema.fields if f.name not in results]
+    names = [f"c{i}" for i in range(len(kept))]
+    source = docs.select(*[docs[c].alias(n) for c, n in zip(kept, names, strict=True)],
+                         docs[text_col].cast("string").alias("text"))
+    kinds = [to_arrow_type(kind) for kind in results.values()]
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, fields, strict=True)]
+                          + [T.StructField(f"r{i}", kind) for i, kind in enumerate(results.values())])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for begin, end in runs_of(b["text"]):
+                part = b.slice(begin, end - begin)
+                found = run(part["text"].to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], *(pa.array(x, k) for x, k in zip(found, kinds, strict=True))],
+                    [*names, *(f"r{i}" for i in range(len(kinds)))])
+
+    out = source.mapInArrow(each, schema)
+    return out.select(*[out[n].alias(c) for n, c in zip(names, kept, strict=True)],
+                      *[out[f"r{i}"].alias(c) for i, c in enumerate(results)])
+
+
+def runs_of(texts: pa.Array, most: int = 16 << 20) -> Iterator[tuple[int, int]]:
+    """Runs of texts of at most so many bytes together; a longer text is a run of its own."""
+    sizes = np.cumsum(np.asarray(pa.compute.binary_length(texts).fill_null(0)), dtype=np.int64)
+    begin = 0
+    while begin < len(texts):
+        before = sizes[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(sizes, before + most, "right")))
+        yield begin, end
+        begin = end

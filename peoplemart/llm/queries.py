@@ -5,14 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from peoplemart.llm import substrings
+from peoplemart.llm import secret_scan, simhash, substrings
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.without_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -37,7 +43,15 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
   sha256(coalesce(text, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)"""
 
+
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.secrets(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_literal", "base_sha256", "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 ORACLE_SQL = {"op8_substring_dedup": SUBSTRING_SQL}
