@@ -53,6 +53,12 @@ def messages(block: int, pairs: Iterator[tuple[int, bytes]]) -> pa.Table:
         "payload": pa.array([p for _, p in rows], pa.binary())})
 
 
+def cuts(values: np.ndarray, segments: int, bits: int) -> np.ndarray:
+    """Where each segment begins in sorted values of so many bits, and the end."""
+    width = min(2**64 - 1, -(-(1 << bits) // segments))
+    return np.append(np.searchsorted(values, np.arange(segments, dtype=np.uint64) * np.uint64(width)), len(values))
+
+
 def sent(blocked: DataFrame, ask: Callable[[pa.Table], Iterator[tuple[int, bytes]]],
          answers: DataFrame | None = None) -> DataFrame:
     """ask gives a block's messages by segment; with answers, it gets those to the block too."""

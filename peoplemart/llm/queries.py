@@ -7,18 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplemart.llm import secret_scan, simhash, substrings
+from peoplemart.llm import forest, language, multiset, ngram_scores, secret_scan, simhash, substrings
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return forest.search(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+def op5_multiset_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return multiset.edited_fingerprints(table(spark, folder, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.languages(table(spark, folder, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.without_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -44,14 +58,47 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
 FROM docs LEFT JOIN kept USING (doc_id)"""
 
 
+def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_scores.scored(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", F.round("score", 6).alias("score"))
+
+
+LM_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+single AS (SELECT doc_id, p, words[p] AS word, words[p - 1] AS before
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM docs)),
+ones AS (SELECT word, count(*) AS n FROM single GROUP BY word),
+own_ones AS (SELECT doc_id, word, count(*) AS n FROM single GROUP BY doc_id, word),
+twos AS (SELECT before, word, count(*) AS n FROM single WHERE p > 1 GROUP BY before, word),
+own_twos AS (SELECT doc_id, before, word, count(*) AS n FROM single WHERE p > 1 GROUP BY doc_id, before, word),
+joined AS (
+  SELECT s.doc_id, p, a.n - oa.n AS n_word, b.n - ob.n AS n_before, t.n - ot.n AS n_two,
+    (SELECT count(*) FROM single) - len(words) AS n_rest
+  FROM single s JOIN docs USING (doc_id)
+  JOIN ones a ON a.word = s.word JOIN own_ones oa ON oa.doc_id = s.doc_id AND oa.word = s.word
+  LEFT JOIN ones b ON b.word = s.before LEFT JOIN own_ones ob ON ob.doc_id = s.doc_id AND ob.word = s.before
+  LEFT JOIN twos t ON t.before = s.before AND t.word = s.word
+  LEFT JOIN own_twos ot ON ot.doc_id = s.doc_id AND ot.before = s.before AND ot.word = s.word),
+valued AS (
+  SELECT doc_id, CASE WHEN p > 1 AND n_two > 0 THEN n_two / greatest(n_before, 1)
+    ELSE (CASE WHEN p > 1 THEN 0.4 ELSE 1.0 END)::DOUBLE * greatest(n_word, 1) / greatest(n_rest, 1) END AS v FROM joined)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, round(s, 6) AS score
+FROM docs LEFT JOIN (SELECT doc_id, avg(ln(v)) AS s FROM valued GROUP BY doc_id) USING (doc_id)"""
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.secrets(table(spark, folder, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_literal", "base_sha256", "spans")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_prefix_forest": op2_prefix_forest,
+    "op5_multiset_fingerprint": op5_multiset_fingerprint,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_language_id": op7_language_id,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_lm_scores": op9_lm_scores,
     "op10_secret_scan": op10_secret_scan,
 }
-ORACLE_SQL = {"op8_substring_dedup": SUBSTRING_SQL}
+ORACLE_SQL = {"op8_substring_dedup": SUBSTRING_SQL, "op9_lm_scores": LM_SQL}

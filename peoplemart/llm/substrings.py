@@ -60,12 +60,6 @@ def _cells(first: np.ndarray, depth: int, bits: int) -> list[np.ndarray]:
     return [mixed(first + np.uint64((2 * r + 1) * 0x9E3779B97F4A7C15 % 2**64)) >> np.uint64(64 - bits) for r in range(depth)]
 
 
-def _cut(values: np.ndarray, segments: int, bits: int) -> np.ndarray:
-    """Where each segment begins in sorted values of so many bits, and the end."""
-    width = min(2**64 - 1, -(-(1 << bits) // segments))
-    return np.append(np.searchsorted(values, np.arange(segments, dtype=np.uint64) * np.uint64(width)), len(values))
-
-
 class _Sketch:
     def __init__(self, depth: int, bits: int, segments: int, size: int):
         self.depth, self.bits, self.segments, self.size = depth, bits, segments, size
@@ -74,7 +68,7 @@ class _Sketch:
         first, *_ = _windows(t, self.size, exact=False)
         for r, cells in enumerate(_cells(first, self.depth, self.bits)):
             cells, counts = np.unique(cells, return_counts=True)
-            at = _cut(cells, self.segments, self.bits)
+            at = exchange.cuts(cells, self.segments, self.bits)
             for s in np.flatnonzero(np.diff(at)):
                 part = slice(at[s], at[s + 1])
                 twice = np.packbits(counts[part] > 1).tobytes()
@@ -97,7 +91,7 @@ class _Sketch:
         found = np.ones(len(first), bool)
         for r, cells in enumerate(_cells(first, self.depth, self.bits)):
             every = np.unique(cells)
-            n = np.diff(_cut(every, self.segments, self.bits))
+            n = np.diff(exchange.cuts(every, self.segments, self.bits))
             flags = [np.unpackbits(np.frombuffer(answers[r * self.segments + s], np.uint8), count=n[s]) for s in np.flatnonzero(n)]
             repeated = every[np.concatenate(flags).astype(bool)] if flags else every
             at = np.minimum(np.searchsorted(repeated, cells), max(0, len(repeated) - 1))
@@ -126,7 +120,7 @@ class _Groups:
 
     def ask(self, t: pa.Table, answers: dict[int, bytes]):
         first, second, ids, *_ = self.candidates(t, answers)
-        at = _cut(first, self.segments, 64)
+        at = exchange.cuts(first, self.segments, 64)
         for s in np.flatnonzero(np.diff(at)):
             part = slice(at[s], at[s + 1])
             sent = [packed_sorted(first[part]), packed(second[part]), packed(ids[part])]
@@ -153,7 +147,7 @@ class _Groups:
 
     def finish(self, t: pa.Table, answers: dict[int, bytes]) -> pa.Table:
         first, _, ids, which, own, places, counts = self.candidates(t, {s: p for s, p in answers.items() if s >= 0})
-        n = np.diff(_cut(first, self.segments, 64))
+        n = np.diff(exchange.cuts(first, self.segments, 64))
         parts = [unpacked(answers[-1 - s], np.int64) for s in np.flatnonzero(n)]
         least = ids - np.concatenate(parts) if parts else ids
         covered = np.zeros(counts.sum() + 1, np.int32)
