@@ -7,18 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplemart.llm import forest, language, multiset, ngram_scores, secret_scan, simhash, substrings
+from peoplemart.llm import (
+    forest, language, multiset, ngram_scores, packing, secret_scan, simhash, substrings, token_files, wfst)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    found = wfst.round_trip(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_ids", "n_bytes", "ids_crc32", "decoded_sha256")
+
+
 def op2_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return forest.search(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(table(spark, folder, "documents"))
+
+
+def op4_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
+
+
 def op5_multiset_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return multiset.edited_fingerprints(table(spark, folder, "documents"))
 
@@ -93,7 +107,10 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_prefix_forest": op2_prefix_forest,
+    "op3_token_files": op3_token_files,
+    "op4_length_buckets": op4_length_buckets,
     "op5_multiset_fingerprint": op5_multiset_fingerprint,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_language_id": op7_language_id,
