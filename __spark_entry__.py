@@ -28,7 +28,9 @@ from verification.oracle import oracle_statements
 try:
     import corpus_pipeline
     from peoplemart.llm import queries as corpus_queries
-except ModuleNotFoundError:  # the library is complete without its training-data operators
+except ModuleNotFoundError as missing:  # the library is complete without its training-data operators
+    if missing.name not in ("corpus_pipeline", "peoplemart.llm"):
+        raise
     corpus_pipeline = corpus_queries = None
 
 SETTINGS = Settings(AS_OF, CALENDAR_START, CALENDAR_END)
@@ -175,7 +177,7 @@ def _all_rules(rules_of) -> Callable[[SparkSession, str], DataFrame]:
     return _on_mart(lambda mart: checks.rule_checks(_all_tables(mart), _EVERY, rules_of))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: _on_mart(kpi) for name, kpi in kpis.KPIS.items()}
     found |= {
         "q04_by_key": _on_mart(kpis.top_absent_employees, by_key=True),
@@ -240,6 +242,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "c_mktsegment", "c_custkey", "JefeID"), "JefeID")),
     }
     found |= {f"v{number:02}": _verdict(number) for number in quality.CHECKS}
+    return found
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = library_queries()
     if corpus_queries:
         found |= corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     return found
