@@ -9,6 +9,8 @@ lanes of 14 bits share a 64-bit word, with room between them for the carry.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,17 +34,20 @@ def _hashes(text: Column) -> Column:
         F.xxhash64(p).alias("a"), F.xxhash64(F.lit("second"), p).alias("b")))
 
 
-def _sum(hashes: Column, lanes) -> Column:
+def _sum(hashes: Column, lanes: Callable[[Column], Column]) -> Column:
     return F.aggregate(hashes, F.lit(0).cast("long"),
                        lambda total, h: (total + lanes(h)).bitwiseAND(F.lit(_LANES)))
 
 
+def _signs(hashes: Column, number: int) -> Column:
+    return F.transform(hashes, lambda h: F.xxhash64(h["b"], F.lit(number), h["a"]))
+
+
 def _words(hashes: Column) -> Column:
     found = [_sum(hashes, lambda h, j=j: F.xxhash64(h["a"], F.lit(j), h["b"]).bitwiseAND(F.lit(_LANES)))
              for j in range(HASH_WORDS)]
-    found += [_sum(signs, lambda g, k=k: F.shiftrightunsigned(g, k).bitwiseAND(F.lit(_ONES)))
-              for signs in (F.transform(hashes, lambda h, s=s: F.xxhash64(h["b"], F.lit(s), h["a"])) for s in range(SIGN_HASHES))
-              for k in range(_ROOM)]
+    found += [_sum(_signs(hashes, s), lambda g, k=k: F.shiftrightunsigned(g, k).bitwiseAND(F.lit(_ONES)))
+              for s in range(SIGN_HASHES) for k in range(_ROOM)]
     return F.array(*found, F.size(hashes).cast("long"))
 
 
