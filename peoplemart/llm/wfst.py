@@ -10,6 +10,7 @@ the acceptor of allowed neighbours, built as pairs turn up, leaves one path.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import heapq
 import zlib
@@ -30,6 +31,9 @@ UNKNOWN_COST = 10.0
 REMEMBERED = 300_000
 
 
+codecs.register_error("each-byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
+
+
 class Transducer:
     def __init__(self, path: str):
         from sentencepiece import sentencepiece_model_pb2
@@ -158,8 +162,8 @@ class Transducer:
             i, name.replace(SPACE_MARK, " ").encode()) for i, name in enumerate(self.names)]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids, without the prefix; bytes that are no UTF-8 become U+FFFD."""
-        text = b"".join([self.outputs[i] for i in ids]).decode("utf-8", "replace")
+        """The text of ids, without the prefix; each byte that is no UTF-8 becomes U+FFFD."""
+        text = b"".join([self.outputs[i] for i in ids]).decode("utf-8", "each-byte")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
