@@ -28,6 +28,8 @@ SAMPLE_WORDS = 40
 #: Longer words are cut into pieces of so many bytes.
 LONGEST = 24
 WIDTH = 8
+#: Of training, at least.
+STEPS = 1500
 
 _LETTER = regex.compile(r"\p{L}")
 _FOLD = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -130,9 +132,9 @@ def by_length(words: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         yield length, np.array(which), np.frombuffer(b"".join(parts), np.uint8).reshape(-1, length)
 
 
-def trained(words: list[bytes], labels: list[str], width: int = WIDTH, rounds: int = 4, batch: int = 512,
-            rate: float = 0.01, seed: int = 7) -> Network:
-    """A network that has seen words, each with its label. Every label counts alike. No word, no label."""
+def trained(words: list[bytes], labels: list[str], width: int = WIDTH, steps: int = STEPS, batch: int = 256,
+            rate: float = 0.02, seed: int = 7) -> Network:
+    """A network that has seen words, each with its label, for so many steps and each word at least twice."""
     rng = np.random.default_rng(seed)
     names = sorted(set(labels))
     network = Network.new(names, width, rng)
@@ -140,7 +142,7 @@ def trained(words: list[bytes], labels: list[str], width: int = WIDTH, rounds: i
     groups = [(codes, target[index]) for _, index, codes in by_length(words)]
     parts = [(g, at) for g, (codes, _) in enumerate(groups) for at in range(0, len(codes), batch)]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.weights.items()}
-    step = 0
+    step, rounds = 0, max(2, -(-steps // len(parts)))
     for r in range(rounds):
         orders = [rng.permutation(len(codes)) for codes, _ in groups]
         for k in rng.permutation(len(parts)):
@@ -149,7 +151,7 @@ def trained(words: list[bytes], labels: list[str], width: int = WIDTH, rounds: i
             step += 1
             grads = network.gradients(groups[g][0][pick], groups[g][1][pick])
             # a batch of few words moves the weights little
-            size = rate * 0.5**r * min(1.0, (len(pick) / batch) ** 0.5)
+            size = rate * 0.02 ** (r / rounds) * min(1.0, (len(pick) / batch) ** 0.5)
             for name, grad in grads.items():
                 m, v = moments[name]
                 m += 0.1 * (grad - m)
