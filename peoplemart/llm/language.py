@@ -19,12 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peoplemart.llm.common import mapped, shipped
+from peoplemart.llm.common import mapped, pieces, shipped
 
 UNKNOWN = "und"
 #: The sample: rows of all languages together, evenly from each, and words of each row, evenly over its whole text.
 SAMPLE_ROWS = 3000
 SAMPLE_WORDS = 40
+SAMPLE_PARTS = 64
 #: Longer words are cut into pieces of so many bytes.
 LONGEST = 24
 WIDTH = 8
@@ -172,9 +173,11 @@ def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, rows: in
     shipped(docs.sparkSession)
     known = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[label_col].cast("string").alias("label")).filter(
         "doc_id IS NOT NULL AND label IS NOT NULL").filter(~held_out(F.col("doc_id")))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= rows).orderBy(
-        "turn", "label").limit(rows).select("doc_id", "label").distinct()
+    # no task sees all rows of a frequent label: each of its parts offers a share
+    order = Window.partitionBy("label", "part").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = known.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(SAMPLE_PARTS))).withColumn(
+        "turn", F.row_number().over(order)).filter(F.col("turn") <= pieces(rows, SAMPLE_PARTS)).orderBy(
+        "turn", "part", "label").limit(rows).select("doc_id", "label").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

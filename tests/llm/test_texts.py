@@ -1,0 +1,238 @@
+"""Operators that read one text at a time, or a text and its neighbour."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from peoplemart.llm import language, multiset, packing, secret_scan, token_files, wfst
+from tests.conftest import SMALL
+from tests.llm import cases
+
+STRANGE = [
+    "don't 'S x.'t '''t a'b A<|endoftext|>B <|ENDOFTEXT|>", "İstanbul  x—. ²a é. \x1cq 12ab3!! café.Bar", "x̸≮ a.́b ..'re", "▁ a▁b  ",
+    "<s></s><unk><0x41>", "aaaaaaaaaaaaaaaa", "                   a", "漢字🙂\x00​ é", "   ", "\n\n"]
+
+
+def texts() -> list[str | None]:
+    rng = random.Random(2)
+    signs = "ab c  ▁\n\tÀ漢🙂théeein.,'<|>12"
+    return [t for _, t in cases.awkward_texts()] + STRANGE + ["".join(rng.choice(signs) for _ in range(rng.randint(1, 50))) for _ in range(300)]
+
+
+def numbered(spark):
+    rows = list(enumerate(texts()))
+    return rows, cases.frame(spark, rows)
+
+
+def test_pieces_as_the_library_finds_them(spark):
+    rows, docs = numbered(spark)
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(wfst.MODEL))
+    own = wfst.transducer(public_tokenizers.path(wfst.MODEL))
+    got = {r.doc_id: r.ids for r in wfst.encoded(docs).collect()}
+    for i, text in rows:
+        assert got[i] == (None if text is None else library.encode(text))
+        assert text is None or own.decode(got[i]) == library.decode(got[i])
+    trips = {r.doc_id: r for r in wfst.round_trip(docs).collect()}
+    for i, text in rows:
+        if "▁" not in (text or ""):  # the mark itself is read as a blank
+            assert trips[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+    assert own.decode([own.bytes[0xE2], own.bytes[0x82]]) == library.decode([own.bytes[0xE2], own.bytes[0x82]])
+
+
+def test_least_weight_path(tmp_path):
+    """The same pieces as a unigram model, with small scores: of all splits the best, by trying each."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(public_tokenizers.path(wfst.MODEL), "rb") as file:
+        model.ParseFromString(file.read())
+    model.trainer_spec.model_type = 1
+    for piece in model.pieces:
+        piece.score = max(piece.score, -40_000.0)
+    (tmp_path / "m").write_bytes(model.SerializeToString())
+    own = wfst.Transducer(str(tmp_path / "m"))
+
+    def best(text):
+        found = {0: 0.0}
+        for end in range(1, len(text) + 1):
+            found[end] = max(found[at] + own.scores[text[at:end]] for at in found if text[at:end] in own.scores)
+        return found[len(text)]
+
+    for text in ("▁the▁other", "▁retitioning", "▁aaaaaa", "▁transducers"):
+        assert sum(own.scores[p] for p in own.shortest_path(text)) == best(text)
+
+
+def test_token_files(spark):
+    rows, docs = numbered(spark)
+    library = Tokenizer.from_file(public_tokenizers.path(token_files.TOKENIZER))
+    got = {r.doc_id: r for r in token_files.round_trip(docs).collect()}
+    start = 0
+    for i, text in rows:
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes())), text
+        start += len(ids)
+    assert token_files.round_trip(docs.filter("doc_id < 0")).count() == 0
+
+
+def test_token_files_without_ids_and_with_ties(spark):
+    rows = [(3, "b"), (None, "z"), (3, "a"), (3, "a"), (None, None), (-1, "c")]
+    got = sorted((r.start, r.doc_id) for r in token_files.round_trip(cases.frame(spark, rows)).collect())
+    assert [i for _, i in got] == [None, None, -1, 3, 3, 3]
+    assert [s for s, _ in got] == [0, 1, 3, 5, 7, 9]
+
+
+@pytest.mark.parametrize("n", [0, 1, 4, 1001])
+def test_ranks_come_back(n):
+    ranks = (2 ** np.random.default_rng(n).uniform(0, 32, n)).astype(np.uint32)
+    control, data = token_files.packed_ranks(ranks)
+    assert len(control) == -(-n // 4)
+    assert (token_files.unpacked_ranks(control, data, n) == ranks).all()
+
+
+def test_bucket_boundaries_pad_least():
+    from itertools import combinations
+
+    rng = random.Random(1)
+    for _ in range(20):
+        lengths = sorted(rng.sample(range(1, 40), 7))
+        counts = [rng.randint(1, 9) for _ in lengths]
+        pad = lambda ends: sum(n * next(e for e in ends if e >= x) for x, n in zip(lengths, counts, strict=True))  # noqa: B023, E731
+        for k in (1, 2, 3, 7, 9):
+            best = min(pad([*c, lengths[-1]]) for m in range(min(k, 7)) for c in combinations(lengths[:-1], m))
+            assert pad(packing.boundaries(lengths, counts, k)) == best
+    assert packing.boundaries([], [], 4) == []
+
+
+def test_batches(spark):
+    rows = cases.awkward_texts()
+    found = packing.packed(cases.frame(spark, rows), sequence=100, buckets=4, budget=400).collect()
+    whole = Counter()
+    for r in found:
+        assert r.n_words <= r.bucket <= 100 and r.begin == 100 * r.piece
+        whole[r.doc_id] += r.n_words
+    expected = Counter()
+    for i, t in rows:
+        expected[i] += len(cases.words(t))
+    assert +expected == +whole
+    batches = Counter((r.bucket, r.part, r.batch) for r in found)
+    assert all(n * bucket <= 400 for (bucket, _, _), n in batches.items())
+    full = Counter((b, p) for b, p, _ in batches)
+    assert all(sum(n == 400 // b for (b2, p2, _), n in batches.items() if (b, p) == (b2, p2)) >= k - 1 for (b, p), k in full.items())
+    assert packing.packed(cases.frame(spark, rows[:3])).count() == 0
+
+
+def test_edited_fingerprints(spark):
+    rows = cases.awkward_texts()
+    docs = cases.frame(spark, rows)
+    for buckets in (1, 3):
+        narrow = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        pairs = Counter((r.doc_id, r.text, r.next.text) for r in multiset.with_next(narrow, ["text"], buckets).collect())
+        order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()), reverse=True)
+        assert pairs == Counter((*r, order[(k + 1) % len(order)][1]) for k, r in enumerate(order))
+    got = multiset.edited_fingerprints(docs).collect()
+    expected = Counter()
+    for k, (i, text) in enumerate(order):
+        half, after = len(text) // 2, order[(k + 1) % len(order)][1]
+        edited = text[: len(text) - half] + after[:half]
+        expected[i, len(text), hashlib.sha256(edited.encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == expected
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+    assert len({r.fingerprint for r in got}) == len({tuple(sorted((t or "").split("\n"))) for _, t in rows})
+    assert multiset.edited_fingerprints(docs.filter("doc_id > 1000 AND doc_id < 1001")).count() == 0
+    alone = multiset.edited_fingerprints(docs.filter("doc_id = 5")).collect()
+    assert alone[0].edited_sha256 == hashlib.sha256(b"one one").hexdigest() and alone[0].near_next == 1
+
+
+def test_paragraphs_put_in_and_taken_out(spark):
+    one, other = "a\nb\nb\n\nlong " + "x" * 999, "b\nc\na"
+    df = spark.createDataFrame([(one, other, one + "\n" + other, "c\n" * 3 + one)], "x string, y string, both string, z string")
+    for name in ("x", "y", "both", "z"):
+        df = multiset.with_fingerprint(df, name, f"f_{name}")
+    c = F.col
+    row = df.select((multiset.added(c("f_x"), c("f_y")) == c("f_both")).alias("sum"),
+                    (multiset.removed(c("f_both"), c("f_y")) == c("f_x")).alias("difference"),
+                    multiset.likeness(c("f_x"), c("f_x")).alias("same"), multiset.likeness(c("f_x"), c("f_both")).alias("near")).first()
+    assert row["sum"] and row.difference and row.same == 1 and 0.5 < row.near < 1
+    turned = df.select("x", F.concat(F.lit("b\nb\nlong " + "x" * 999), F.lit("\n\na")).alias("t"))
+    turned = multiset.with_fingerprint(multiset.with_fingerprint(turned, "x", "fx"), "t", "ft")
+    assert turned.filter("fx = ft").count() == 1  # in any order
+
+
+def test_plain_secrets():
+    text = 'Password = "abc" token:token:abcdefgh api_key=\'x/9+_.=-\' AKIA' + "B" * 15 + " AKIA" + "C" * 16 + " " + "a1" * 12 + "g" + "0f" * 11
+    found = [(kind, text[b:e]) for b, e, kind in secret_scan.base_spans(text)]
+    assert found == [("assign", "api_key='x/9+_.=-"), ("access", "AKIA" + "C" * 16), ("hex", "a1" * 12)]
+    assert secret_scan.base_spans("toKen=abcdef ſecret=abcdef") == [(0, 12, "assign")]
+
+
+def test_literals_reach_names_through_constants():
+    text = 'base = "Zx81!qrs"\nDB = base + "TuV"\nlabel = "harmless words"\nconfig = {"db_password": DB}\npwd: ${label}\nprivate_key => \'k9$Ab2\'\n'
+    found = [text[b:e] for b, e, _ in secret_scan.literal_spans(text)]
+    assert found == ["Zx81!qrs", "TuV", "k9$Ab2"]
+    assert secret_scan.literal_spans("password: your-password-here\nsecret = xxxxxxxx\nuser: Zx81!qrsTuV") == []
+    base, every = secret_scan.spans_of(text)
+    assert base == [] and secret_scan.redacted(text, every).count("[secret]") == 3
+
+
+def test_secret_columns(spark):
+    rows = [(1, None), (2, ""), (3, "é token = abcdef0123 x"), (3, "é token = abcdef0123 x"), (None, "x" * 200_000 + " secret: Q1w2e3r4")]
+    got = {(r.doc_id, r.n_assign, r.spans, (r.redacted_text or "")[-12:]) for r in secret_scan.secrets(cases.frame(spark, rows)).collect()}
+    assert got == {(1, 0, "", ""), (2, 0, "", ""), (3, 1, "assign:2:20,literal:10:20", "é [secret] x"),
+                   (None, 1, "assign:200001:200017,literal:200009:200017", "xxx [secret]")}
+    assert secret_scan.secrets(cases.frame(spark, rows).filter("doc_id > 9")).count() == 0
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(0)
+    network = language.Network.new(["a", "b", "c"], 3, rng)
+    network.weights = {k: v.astype(np.float64) for k, v in network.weights.items()}
+    codes, targets = rng.integers(97, 101, (5, 4)).astype(np.uint8), rng.integers(0, 3, 5)
+    loss = lambda: -np.log(network.probabilities(codes)[:, np.arange(5), targets]).mean()
+    grads = network.gradients(codes, targets)
+    for name, weight in network.weights.items():
+        at = np.unravel_index(np.abs(grads[name]).argmax(), weight.shape)
+        weight[at] += 1e-3
+        up = loss()
+        weight[at] -= 2e-3
+        down = loss()
+        weight[at] += 1e-3
+        assert grads[name][at] == pytest.approx((up - down) / 2e-3, rel=0.02)
+
+
+def test_languages(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = language.languages(docs).collect()
+    unseen = [r for r in got if r.held_out]
+    assert {r.doc_id for r in unseen} == {r.doc_id for r in got if zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
+    assert sum(r.lang == r.lang_pred for r in unseen) >= 0.95 * len(unseen)
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_languages_of_awkward_texts(spark):
+    rows = [(1, None), (2, ""), (3, "12 34 —"), (4, "der die das und nicht"), (4, "der die das und nicht"), (None, "the of and is"),
+            (6, "é" * 70_000)] + [(100 + i, ("the of and is to " if i % 2 else "der die und das ist ") * 5) for i in range(40)]
+    docs = cases.frame(spark, rows).withColumn("lang", F.expr("CASE WHEN doc_id >= 100 THEN IF(doc_id % 2 = 1, 'en', 'de') END"))
+    got = language.languages(docs).select("doc_id", "lang_pred", "score", "held_out", "block").collect()
+    of = {r.doc_id: r for r in got}
+    assert [of[i].lang_pred for i in (1, 2, 3)] == ["und"] * 3 and of[2].score == 0
+    assert of[4].lang_pred == "de" and of[None].lang_pred == "en" and of[None].held_out is False
+    assert len(got) == len(rows) and {r.block for r in got} == {7}
+    unlabelled = language.languages(docs.filter("doc_id < 100")).collect()
+    assert {r.lang_pred for r in unlabelled} == {"und"}
+    assert language.languages(docs.filter("doc_id < 0")).count() == 0
+
+
+def test_bounded_sample(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    words, labels = language.sample(docs.unionAll(docs), "doc_id", "text", "lang", rows=20, words=3)
+    assert 20 < len(words) <= 60 and set(labels) == {"en", "de", "fr", "es"}
+    assert not any(re.search(rb"[A-Z0-9 ]", w) for w in words)
