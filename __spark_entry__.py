@@ -22,7 +22,7 @@ from peoplemart.plans.reload import Mart, Settings, table_counts
 from peoplemart.sources.roles import (
     AS_OF, CALENDAR_END, CALENDAR_START, LINE_ORDER, enrolment_lines, role_tables)
 from peoplemart.sources.schemas import MART, SOURCE
-from peoplemart.sources.storage import Tables, new_folder, numbers_up_to, read_table
+from peoplemart.sources.storage import Tables, new_folder, numbers_up_to, read_table, removed
 from verification.oracle import oracle_statements
 
 try:
@@ -123,7 +123,7 @@ def _place(mart: Mart, fact: str) -> DataFrame:
 
 def _fact_absence(mart: Mart) -> DataFrame:
     return _place(mart, "FactAusencias").join(mart["DimTipoAusencia"], "TipoAusenciaKey").select(
-        "FechaKey", "EmpleadoID_OLTP", "CodigoOficina", "NombreDepartamento", "TipoAusencia",
+        "FactAusenciaKey", "FechaKey", "EmpleadoID_OLTP", "CodigoOficina", "NombreDepartamento", "TipoAusencia",
         "CantidadAusencias", "DiasAusencia", "JustificadaFlag")
 
 
@@ -133,7 +133,7 @@ def _fact_review(mart: Mart) -> DataFrame:
     return (
         _place(mart, "FactEvaluaciones").join(reviewer, "EvaluadorEmpleadoKey")
         .join(mart["DimPuesto"], "PuestoKey").select(
-            "FechaKey", "EmpleadoID_OLTP", "EvaluadorID_OLTP", "CodigoOficina", "NombreDepartamento",
+            "FactEvaluacionKey", "FechaKey", "EmpleadoID_OLTP", "EvaluadorID_OLTP", "CodigoOficina", "NombreDepartamento",
             "NombrePuesto", "Calificacion", "CantidadEvaluaciones"))
 
 
@@ -141,7 +141,7 @@ def _fact_training(mart: Mart) -> DataFrame:
     return (
         _place(mart, "FactCapacitaciones").join(mart["DimPuesto"], "PuestoKey")
         .join(mart["DimCapacitacion"], "CapacitacionKey").select(
-            "FechaKey", "EmpleadoID_OLTP", "CapacitacionID_OLTP", "CodigoOficina", "NombreDepartamento",
+            "FactCapacitacionKey", "FechaKey", "EmpleadoID_OLTP", "CapacitacionID_OLTP", "CodigoOficina", "NombreDepartamento",
             "NombrePuesto", "Estado", "CalificacionObtenida", "CantidadAsignaciones", "CostoCapacitacion"))
 
 
@@ -151,9 +151,11 @@ def _ages(mart: Mart) -> DataFrame:
 
 
 def _load_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Loads a second, complete mart and reports the rows written to each table."""
+    """Loads a second, complete mart, reports the rows written to each table, and removes it again."""
     again = Mart(spark, loaded_mart(spark, folder).source, new_folder(spark, "mart"), SETTINGS)
-    return again.load_all()
+    report = again.load_all()
+    removed(spark, again.folder)
+    return report
 
 
 def _unique_pairs(mart: Mart, spark: SparkSession, folder: str) -> DataFrame:
@@ -187,15 +189,15 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q13_by_key": _on_mart(kpis.unjustified_absence_alerts, by_key=True),
         "e01_calendar": _on_tables(partial(_found_calendar, language="es")),
         "e01_calendar_en": _on_tables(partial(_found_calendar, language="en")),
-        "e02_dim_office": _on_mart(lambda mart: mart["DimOficina"].drop("OficinaKey")),
-        "e02_dim_department": _on_mart(lambda mart: mart["DimDepartamento"].drop("DepartamentoKey")),
-        "e02_dim_job": _on_mart(lambda mart: mart["DimPuesto"].drop("PuestoKey")),
-        "e02_dim_training": _on_mart(lambda mart: mart["DimCapacitacion"].drop("CapacitacionKey")),
+        "e02_dim_office": _on_mart(lambda mart: mart["DimOficina"]),
+        "e02_dim_department": _on_mart(lambda mart: mart["DimDepartamento"]),
+        "e02_dim_job": _on_mart(lambda mart: mart["DimPuesto"]),
+        "e02_dim_training": _on_mart(lambda mart: mart["DimCapacitacion"]),
         "e03_keys": _on_mart(lambda mart: mart["DimEmpleado"].select("EmpleadoKey", "EmpleadoID_OLTP")),
         "e03_keys_large": _on_mart(lambda mart: dense_keys(
             mart.source["Ausencias"].select("AusenciaID"), ["AusenciaID"], "AusenciaKey")),
         "e04_dim_employee": _on_mart(lambda mart: _missing_as_double(
-            mart["DimEmpleado"].drop("EmpleadoKey"), "JefeID_OLTP")),
+            mart["DimEmpleado"], "JefeID_OLTP")),
         "e04_dim_employee_full_years": _on_mart(lambda mart: dims.employee_rows(
             mart.source, AS_OF, full_years=True).select("EmpleadoID_OLTP", "NombreCompleto", "AntiguedadAnios")),
         "e05_age": _on_mart(_ages),
@@ -227,8 +229,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "c11_not_null": _all_rules(checks.filled_rules),
         "c12_status_pairing": _source_rules(checks.pairing_rules),
         "c_len": _all_rules(checks.length_rules),
-        "s03_dump": _on_mart(lambda mart: mart["FactAusencias"].select("*").drop(
-            "FactAusenciaKey", "EmpleadoKey", "OficinaKey", "DepartamentoKey", "TipoAusenciaKey")),
+        "s03_dump": _on_mart(lambda mart: mart["FactAusencias"].select("*")),
         "s05_sequence": _on_tables(lambda spark, folder: numbers_up_to(
             spark, read_table(spark, folder, "customer").count())),
         "s10_load_audit": _on_tables(_load_audit),

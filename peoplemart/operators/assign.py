@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peoplemart.operators.keys import dense_keys
-from peoplemart.sources.storage import broadcast_if_small, is_small
+from peoplemart.sources.storage import staged
 
 
 def round_robin(events: DataFrame, event_id: str, entities: DataFrame, entity_id: str) -> DataFrame:
     """Pairs (event, entity): the n-th event goes to entity ((n - 1) mod M) + 1 of M.
 
-    Both sides are numbered by their id, then joined on the computed entity number.
+    Both sides are numbered by their id, then joined on the computed entity number. Few entities share
+    many events each; such a side is a small file, which the planner broadcasts.
     """
     numbered_events = dense_keys(events.select(event_id), [event_id], "n")
     numbered_entities = dense_keys(entities.select(entity_id), [entity_id], "rn")
-    if is_small(entities):  # a few entities share all events, so their join keys are hot
-        numbered_entities = F.broadcast(numbered_entities)
     size = entities.agg(F.count("*")).scalar()
     turn = ((F.col("n") - 1) % size + 1).alias("rn")
     return (
@@ -50,5 +49,5 @@ def with_managers(members: DataFrame, heads: DataFrame, group: str, member_id: s
 
 def managers_of(members: DataFrame, group: str, member_id: str, manager: str) -> DataFrame:
     """Heads found and joined back in one step."""
-    heads = broadcast_if_small(group_heads(members, group, member_id), "heads")
+    heads = staged(group_heads(members, group, member_id), "heads")
     return with_managers(members, heads, group, member_id, manager)

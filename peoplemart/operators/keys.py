@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from peoplemart.sources.storage import is_small, staged
+from peoplemart.sources.storage import staged
 
 # monotonically_increasing_id: the partition number is above these bits, the row number in them
 _ROW_BITS = 33
@@ -14,21 +14,9 @@ _ROW_BITS = 33
 def dense_keys(df: DataFrame, order: list[str], key: str) -> DataFrame:
     """df with a leading column `key` numbering its rows by `order`, which must be unique.
 
-    A few rows are numbered by one window. Anything larger is range partitioned, so that no
-    task sees more than its range: rows are numbered within their partition and shifted by the
-    rows of the partitions before it.
+    The rows are range partitioned, numbered within their partition and shifted by the rows of the
+    partitions before it, so no task sees more than its range.
     """
-    if is_small(df.select(order)):
-        return _numbered_in_one_task(df, order, key)
-    return _numbered_by_range(df, order, key)
-
-
-def _numbered_in_one_task(df: DataFrame, order: list[str], key: str) -> DataFrame:
-    number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
-    return df.select(number.alias(key), *df.columns)
-
-
-def _numbered_by_range(df: DataFrame, order: list[str], key: str) -> DataFrame:
     parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # The row positions must not change between the count and the shift, so they are written once.
     ranged = staged(
@@ -51,11 +39,3 @@ def _numbered_by_range(df: DataFrame, order: list[str], key: str) -> DataFrame:
         .join(F.broadcast(shifts), "_part")
         .select((F.col("_shift") + row + 1).alias(key), *df.columns)
     )
-
-
-def unique_ids(df: DataFrame, key: str) -> DataFrame:
-    """df with a leading column `key`, unique but neither dense nor ordered, without a shuffle.
-
-    For fact rows, whose key is only ever counted: write the result before it is read twice.
-    """
-    return df.select((F.monotonically_increasing_id() + 1).alias(key), *df.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,19 +11,9 @@ from peoplemart.functions.numeric import how_many
 from peoplemart.sources.schemas import Reference
 
 
-def _referring(reference: Reference) -> str:
-    """Name of the referring column inside a profile.
-
-    It differs from every column of a parent. A name they share would be looked up in the
-    parent first, and the existence test would compare the parent with itself.
-    """
-    return f"_to_{reference.column}"
-
-
-def _resolves(reference: Reference, parent: DataFrame) -> Column:
-    """True where the parent has the referred value; a NULL refers to no row."""
-    known = parent.select(F.col(reference.parent_column).alias("_parent"))
-    return known.where(F.col("_parent") == F.col(_referring(reference)).outer()).exists()
+def lost(number: int) -> str:
+    """The profile's column with the rows whose reference of that number has a value the parent lacks."""
+    return f"_lost_{number}"
 
 
 def reference_profile(
@@ -31,37 +21,29 @@ def reference_profile(
     references: Sequence[Reference],
     parents: Mapping[str, DataFrame],
     counters: Mapping[str, Column],
-    small: Collection[str],
 ) -> DataFrame:
-    """One row: Filas (rows), Huerfanas (rows with any unresolved reference), and the counters.
+    """One row: Filas (rows), Huerfanas (rows with any reference that is NULL or lost), the counters,
+    and for each reference the rows that lost it; there, NULL refers to nothing and isn't lost.
 
-    Every reference is an equi-join that tests existence. Parents named in small, whose size
-    the caller has checked, are broadcast to the rows themselves. For the others the rows are
-    first folded to counts per key, one parent after the other, so a key that holds most rows
-    reaches the join as one row, or as one per value of the references still to be tested.
+    One scan, and a left join to the distinct values of each parent. The planner broadcasts parents
+    whose files are small; the others are joined by shuffles, in which adaptive execution splits the
+    rows of a hot key.
     """
-    names = ["Filas", *counters]
-    rows = df.select("*", *[F.col(r.column).alias(_referring(r)) for r in references])
+    rows = df.select(
+        *[F.col(r.column).alias(f"_to_{i}") for i, r in enumerate(references)],
+        *[condition.alias(name) for name, condition in counters.items()])
     broken = F.lit(False)
-    for reference in references:
-        if reference.parent in small:
-            broken = broken | ~_resolves(reference, F.broadcast(parents[reference.parent]))
-    folded = [r for r in references if r.parent not in small]
-    groups = [_referring(r) for r in folded]
-    counts = rows.withColumn("_broken", broken).groupBy(*groups, "_broken").agg(
-        F.count("*").alias("Filas"), *[how_many(c).alias(name) for name, c in counters.items()])
-    while folded:
-        reference, *folded = folded
-        groups = [_referring(r) for r in folded]
-        counts = (
-            counts.withColumn("_broken", F.col("_broken") | ~_resolves(reference, parents[reference.parent]))
-            .groupBy(*groups, "_broken")
-            .agg(*[F.sum(name).alias(name) for name in names])
-        )
-    orphaned = F.sum(F.when(F.col("_broken"), F.col("Filas")))
-    return counts.agg(
-        F.coalesce(orphaned, F.lit(0)).alias("Huerfanas"),
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names])
+    for i, reference in enumerate(references):
+        known = parents[reference.parent].select(F.col(reference.parent_column).alias(f"_known_{i}"))
+        # distinct over one column more, so that the join deals both sides anew and can split a hot key
+        known = known.filter(F.col(f"_known_{i}").isNotNull()).withColumn(f"_hash_{i}", F.hash(f"_known_{i}")).distinct()
+        rows = rows.join(known, F.col(f"_to_{i}") == F.col(f"_known_{i}"), "left")
+        broken = broken | F.col(f"_known_{i}").isNull()
+    return rows.agg(
+        F.count("*").alias("Filas"), how_many(broken).alias("Huerfanas"),
+        *[how_many(F.col(name)).alias(name) for name in counters],
+        *[how_many(F.col(f"_known_{i}").isNull() & F.col(f"_to_{i}").isNotNull()).alias(lost(i))
+          for i in range(len(references))])
 
 
 def orphans(child: DataFrame, reference: Reference, parent: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Fact loads: every source event with the surrogate keys of its dimensions.
 
 Offices, departments and jobs come from the employee's current row, so they are resolved
-once per employee. Each fact then joins that one table instead of five, and joins it last of
-the large ones: the files of a fact are then clustered by employee, so that queries per
-employee fold most of their rows before they shuffle.
+once per employee. Each fact then joins that one table instead of five. A fact has one row per
+source event and takes the event's own id as its key: unique, the same after every reload, and
+free of a shuffle. How the rows lie in files is asked for where they are written.
 """
 
 from __future__ import annotations
@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peoplemart.functions.dates import date_key
-from peoplemart.operators.keys import unique_ids
-from peoplemart.sources.storage import broadcast_if_small
+from peoplemart.sources.storage import staged
 
 
 def _employee_keys(mart, with_job: bool) -> DataFrame:
@@ -30,11 +29,12 @@ def _employee_keys(mart, with_job: bool) -> DataFrame:
 
 
 def absences(source, mart) -> DataFrame:
-    facts = (
+    return (
         source["Ausencias"]
         .join(_employee_keys(mart, with_job=False), "EmpleadoID")
         .join(mart["DimTipoAusencia"], "TipoAusencia")
         .select(
+            F.col("AusenciaID").alias("FactAusenciaKey"),
             date_key(F.col("FechaInicio")).alias("FechaKey"),
             "EmpleadoKey", "OficinaKey", "DepartamentoKey", "TipoAusenciaKey",
             F.lit(1).alias("CantidadAusencias"),
@@ -42,14 +42,13 @@ def absences(source, mart) -> DataFrame:
             F.col("Justificada").alias("JustificadaFlag"),
         )
     )
-    return unique_ids(facts, "FactAusenciaKey")
 
 
 def reviews(source, mart) -> DataFrame:
     """Reviews name two employees: the one reviewed and the reviewer.
 
-    Few people review many, so their keys are looked up once per reviewer and broadcast when
-    there are few of them.
+    Few people review many, so their keys are looked up once per reviewer and written: the planner
+    then knows whether they are few enough to broadcast.
     """
     events = source["EvaluacionesDesempeno"]
     reviewers = events.select("EvaluadorID").distinct().join(
@@ -58,18 +57,18 @@ def reviews(source, mart) -> DataFrame:
             F.col("EmpleadoKey").alias("EvaluadorEmpleadoKey")),
         "EvaluadorID")
     reviewed = _employee_keys(mart, with_job=True).withColumnRenamed("EmpleadoID", "EmpleadoEvaluadoID")
-    facts = (
+    return (
         events
         .join(reviewed, "EmpleadoEvaluadoID")
-        .join(broadcast_if_small(reviewers, "reviewers"), "EvaluadorID")
+        .join(staged(reviewers, "reviewers"), "EvaluadorID")
         .select(
+            F.col("EvaluacionID").alias("FactEvaluacionKey"),
             date_key(F.col("FechaEvaluacion")).alias("FechaKey"),
             "EmpleadoKey", "EvaluadorEmpleadoKey", "OficinaKey", "DepartamentoKey", "PuestoKey",
             "Calificacion",
             F.lit(1).alias("CantidadEvaluaciones"),
         )
     )
-    return unique_ids(facts, "FactEvaluacionKey")
 
 
 def enrolments(source, mart) -> DataFrame:
@@ -79,12 +78,13 @@ def enrolments(source, mart) -> DataFrame:
         .join(mart["DimCapacitacion"].select(
             F.col("CapacitacionID_OLTP").alias("CapacitacionID"), "CapacitacionKey"), "CapacitacionID")
     )
-    facts = (
+    return (
         source["EmpleadosCapacitaciones"]
-        .select("EmpleadoID", "CapacitacionID", "FechaCompletado", "Estado", "CalificacionObtenida")
+        .select("EmpleadoCapacitacionID", "EmpleadoID", "CapacitacionID", "FechaCompletado", "Estado", "CalificacionObtenida")
         .join(programmes, "CapacitacionID")
         .join(_employee_keys(mart, with_job=True), "EmpleadoID")
         .select(
+            F.col("EmpleadoCapacitacionID").alias("FactCapacitacionKey"),
             date_key(F.coalesce("FechaCompletado", "FechaInicio")).alias("FechaKey"),
             "EmpleadoKey", "CapacitacionKey", "OficinaKey", "DepartamentoKey", "PuestoKey",
             "Estado", "CalificacionObtenida",
@@ -92,4 +92,3 @@ def enrolments(source, mart) -> DataFrame:
             F.col("Costo").alias("CostoCapacitacion"),
         )
     )
-    return unique_ids(facts, "FactCapacitacionKey")

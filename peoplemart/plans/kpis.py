@@ -223,15 +223,13 @@ def seniority_by_department(mart: Tables) -> DataFrame:
 def absence_rate(mart: Tables, years: tuple[int, int] | None = None) -> DataFrame:
     """Share of the working days of the absent employees that was lost, with a risk level.
 
-    years limits the absences to a closed range of calendar years.
+    years limits the absences to a closed range of calendar years, whose folders alone are read.
     """
-    events = mart["FactAusencias"]
     if years:
-        first, last = years
-        # the key holds the date, so the range is also a filter the scan can apply
-        in_range = F.col("FechaKey").between(first * 10000 + 101, last * 10000 + 1231)
-        chosen = mart["DimFecha"].filter(F.col("Anio").between(first, last)).select("FechaKey")
-        events = events.filter(in_range).join(chosen, "FechaKey")
+        chosen = mart["DimFecha"].filter(F.col("Anio").between(*years)).select("FechaKey")
+        events = mart.in_years("FactAusencias", *years).join(chosen, "FechaKey")
+    else:
+        events = mart["FactAusencias"]
     events, named = _grouped(events, mart["DimDepartamento"], "DepartamentoKey", _DEPARTMENT)
     lost, available = F.col("TotalDiasAusentes"), F.col("DiasLaborablesDisponibles")
     return (
@@ -298,7 +296,9 @@ def gender_by_department(mart: Tables) -> DataFrame:
 def best_rated_per_department(mart: Tables, by_key: bool = False, places: int = 3) -> DataFrame:
     """Employees on the first places of their department by exact mean rating, ties included.
 
-    Spark keeps only the leading places of each map task before the window shuffles.
+    People are counted per department and mean first, so windows see each mean once, however many
+    share it. The few means with a place are joined back by broadcast: per department, at most as
+    many as there are places.
     """
     per_key = mart["FactEvaluaciones"].groupBy("EmpleadoKey", "DepartamentoKey").agg(
         F.sum(_tenths()).alias("total"), F.count("*").alias("n"))
@@ -307,13 +307,23 @@ def best_rated_per_department(mart: Tables, by_key: bool = False, places: int =
     person = ["NombreCompleto", "NombreDepartamento"]
     if by_key:
         person = ["EmpleadoID_OLTP", *person]
-    place = F.rank().over(Window.partitionBy("NombreDepartamento").orderBy(F.desc("mean_key")))
-    return (
+    people = (
         named.groupBy(*person)
         .agg(F.sum("total").alias("total"), F.sum("n").alias("TotalEvaluaciones"))
         .withColumn("mean_key", mean_rank_key(F.col("total"), F.col("TotalEvaluaciones")))
-        .withColumn("Ranking", place)
+    )
+    best_first = Window.partitionBy("NombreDepartamento").orderBy(F.desc("mean_key"))
+    above = best_first.rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        people.groupBy("NombreDepartamento", "mean_key").agg(F.count("*").alias("sharing"))
+        .withColumn("order", F.row_number().over(best_first)).filter(F.col("order") <= places)
+        .withColumn("Ranking", (F.coalesce(F.sum("sharing").over(above), F.lit(0)) + 1).cast("int"))
         .filter(F.col("Ranking") <= places)
+        .select(F.col("NombreDepartamento").alias("_department"), F.col("mean_key").alias("_mean"), "Ranking")
+    )
+    return (
+        people.join(F.broadcast(placed), F.col("NombreDepartamento").eqNullSafe(F.col("_department"))
+                    & F.col("mean_key").eqNullSafe(F.col("_mean")))
         .select(
             "NombreDepartamento", "Ranking", *person[:-1],
             _mean_of("total", "TotalEvaluaciones", 1, units=1).alias("PromedioCalif"), "TotalEvaluaciones")

@@ -6,10 +6,10 @@ then turned into one verdict row per check. Nothing is collected to decide a ver
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from datetime import date
-from functools import cache, partial
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,6 @@ from peoplemart.functions.text import joined
 from peoplemart.operators.checks import united
 from peoplemart.operators.references import reference_profile
 from peoplemart.sources.schemas import MART
-from peoplemart.sources.storage import is_small
 
 Tables = Mapping[str, DataFrame]
 
@@ -87,16 +86,15 @@ def _match_verdict(number: int) -> Column:
 
 
 def _fact_verdicts(
-    mart: Tables, source: Tables, wanted: Collection[int], small: Callable[[str], bool],
-    fact: str, origin: str, references: int, rule: int, broken: Column, match: int,
+    mart: Tables, source: Tables, wanted: Collection[int], fact: str, origin: str, references: int, rule: int,
+    broken: Column, match: int,
 ) -> DataFrame | None:
     chosen = {references, rule, match} & set(wanted)
     if not chosen:
         return None
     tested = MART[fact].references if references in chosen else ()
     counts = reference_profile(
-        mart[fact], tested, mart, {"Fuera": broken} if rule in chosen else {},
-        {r.parent for r in tested if small(r.parent)})
+        mart[fact], tested, mart, {"Fuera": broken} if rule in chosen else {})
     if match in chosen:
         # two one-row counts side by side, without a join
         total = source[origin].agg(F.count("*").alias("Fuente"))
@@ -153,8 +151,7 @@ def verdicts(
 ) -> DataFrame:
     """One row per wanted check: Num, Categoria, Nombre, Estado, Detalle, Problemas."""
     rating, days, cost = F.col("Calificacion"), F.col("DiasAusencia"), F.col("CostoCapacitacion")
-    small = cache(lambda name: is_small(mart[name]))
-    facts = partial(_fact_verdicts, mart, source, wanted, small)
+    facts = partial(_fact_verdicts, mart, source, wanted)
     parts = [
         facts("FactAusencias", "Ausencias", 1, 6, days <= 0, 8),
         facts("FactEvaluaciones", "EvaluacionesDesempeno", 2, 5, ~rating.between(1, 5), 9),
@@ -165,16 +162,20 @@ def verdicts(
     return united([part for part in parts if part is not None])
 
 
+# Headings of the reports.
+_DETAIL_HEADINGS = {"Num": "#", "Categoria": "Categoría", "Nombre": "Validación"}
+
+
 def detail_report(mart: Tables, source: Tables, start: date, end: date) -> DataFrame:
-    return verdicts(mart, source, start, end).orderBy("Num")
+    return verdicts(mart, source, start, end).orderBy("Num").withColumnsRenamed(_DETAIL_HEADINGS)
 
 
 def summary_report(checked: DataFrame) -> DataFrame:
     """Totals over a detail report."""
     total, passed = F.count("*"), how_many(F.col("Estado") == "PASS")
     return checked.agg(
-        total.alias("TotalValidaciones"),
-        passed.alias("Pass"),
-        how_many(F.col("Estado") == "FAIL").alias("Fail"),
-        percent(passed, total, 1).alias("PctExito"),
+        total.alias("Total Validaciones"),
+        passed.alias("PASS ✓"),
+        how_many(F.col("Estado") == "FAIL").alias("FAIL ✗"),
+        percent(passed, total, 1).alias("% Éxito"),
     )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
-from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from peoplemart.plans import dims, facts
 from peoplemart.plans.calendar import calendar
 from peoplemart.sources.schemas import MART
-from peoplemart.sources.storage import Tables, read_table, write_table
+from peoplemart.sources.storage import SavedTables, removed, saved_tables, write_table
+
+SCHEMAS = {name: spec.schema for name, spec in MART.items()}
+FACTS = tuple(name for name, spec in MART.items() if spec.references)
+_POINTERS = "complete_loads"
 
 
 @dataclass(frozen=True)
@@ -29,19 +33,19 @@ class Settings:
     full_years: bool = False
 
 
-class Mart(Tables):
-    """The ten mart tables in a folder, each loaded from the source on first use.
+class Mart(SavedTables):
+    """The ten mart tables in a folder of their own, each loaded from the source on first use.
 
-    A fact asks for its dimensions, so the load order follows from use. Every table is
-    overwritten and read back, which makes a load that stopped half way safe to run again.
+    A fact asks for its dimensions, so the load order follows from use. Every table is written and
+    read back. Facts are written by year and sorted by employee. For a mart that readers use while
+    it is loaded again, see reloaded.
     """
 
     def __init__(self, spark: SparkSession, source: Mapping[str, DataFrame], folder: str, settings: Settings):
-        super().__init__({name: partial(self._loaded, name) for name in MART})
-        self.spark = spark
+        super().__init__(spark, folder, SCHEMAS, FACTS)
         self.source = source
-        self.folder = folder
         self.settings = settings
+        self.staging = f"{folder}/_staging"
         self.loaded_rows: dict[str, int] = {}
 
     def load_all(self) -> DataFrame:
@@ -49,17 +53,22 @@ class Mart(Tables):
 
         Dimensions do not depend on each other and are loaded side by side, then the facts.
         """
-        facts_last = ([n for n in MART if not MART[n].references], [n for n in MART if MART[n].references])
-        for names in facts_last:
+        for names in ([n for n in MART if n not in FACTS], FACTS):
             with ThreadPoolExecutor(len(names)) as pool:
                 list(pool.map(inheritable_thread_target(self.spark)(self.__getitem__), names))
+        removed(self.spark, self.staging)
         rows = [(name, self.loaded_rows[name]) for name in MART]
         return self.spark.createDataFrame(rows, "Tabla string, Registros bigint")
 
-    def _loaded(self, name: str) -> DataFrame:
+    def _declared(self, name: str) -> DataFrame:
         table = self._built(name).select(MART[name].schema.names)
-        self.loaded_rows[name] = write_table(table, self.folder, name)
-        return read_table(self.spark, self.folder, name, table.schema)
+        layout = ("FechaKey", "EmpleadoKey") if name in FACTS else ()
+        self.loaded_rows[name] = write_table(table, self.folder, name, *layout)
+        return super()._declared(name)
+
+    def in_years(self, name: str, first: int, last: int) -> DataFrame:
+        self[name]  # loads it
+        return super().in_years(name, first, last)
 
     def _built(self, name: str) -> DataFrame:
         settings, source = self.settings, self.source
@@ -87,6 +96,45 @@ class Mart(Tables):
         raise KeyError(name)
 
 
+def reloaded(spark: SparkSession, source: Mapping[str, DataFrame], root: str, settings: Settings) -> DataFrame:
+    """Loads a new mart beside the last one and then makes it the current one; reports the rows written.
+
+    The step that readers see is one small file that names the complete load. A load that fails
+    leaves the former mart in place."""
+    name = f"load-{uuid.uuid4().hex}"
+    try:
+        report = Mart(spark, source, f"{root}/{name}", settings).load_all()
+    except BaseException:
+        removed(spark, f"{root}/{name}")
+        raise
+    number = max((row.number for row in _published(spark, root)), default=0) + 1
+    spark.createDataFrame([(number, name)], "number long, name string").coalesce(1).write.mode("append").parquet(
+        f"{root}/{_POINTERS}")
+    return report
+
+
+def current(spark: SparkSession, root: str) -> SavedTables:
+    """The tables of the last complete load below root."""
+    loads = _published(spark, root)
+    if not loads:
+        raise FileNotFoundError(f"no complete load below {root}")
+    return saved_tables(spark, f"{root}/{loads[-1].name}", SCHEMAS, FACTS)
+
+
+def remove_former(spark: SparkSession, root: str, keep: int = 1) -> int:
+    """Deletes the complete loads before the last `keep`; call it when nobody reads them any more."""
+    former = _published(spark, root)[:-keep or None]
+    return sum(removed(spark, f"{root}/{load.name}") for load in former)
+
+
+def _published(spark: SparkSession, root: str) -> list:
+    """One row per load, the first first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{_POINTERS}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return []
+    return spark.read.schema("number long, name string").parquet(path.toString()).orderBy("number", "name").collect()
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows of each table, with its kind told by its name (Tabla, Tipo, Registros)."""
     counts = None

@@ -2,7 +2,7 @@
 
 Customers play the employees, orders their absences, line items their reviews and
 enrolments, parts the training programmes. Tables that are plain projections stay lazy;
-the four that need an aggregate or a large join are written once to the shared folder.
+those that need an aggregate or a number per row are written once to the shared folder.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from peoplemart.functions.dates import inclusive_days
 from peoplemart.functions.text import joined, zero_filled
 from peoplemart.operators.assign import first_of_each, with_managers
-from peoplemart.operators.keys import dense_keys, unique_ids
+from peoplemart.operators.keys import dense_keys
 from peoplemart.sources.schemas import SOURCE, conformed
 from peoplemart.sources.storage import Tables, read_table, staged
 
@@ -23,7 +23,7 @@ AS_OF = date(2001, 6, 30)
 CALENDAR_START = date(1995, 1, 1)
 CALENDAR_END = date(2001, 12, 31)
 
-# orders a line item among those of the same (employee, programme); unique in the test tables
+# orders the line items; unique in the test tables
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice"]
 
 
@@ -148,12 +148,12 @@ class _Roles:
         )
         tenths = F.col("l_quantity").cast("int") % 41 + 10
         lines = self._read("lineitem").join(reviewed, F.col("l_orderkey") == F.col("o_orderkey"))
-        return staged(unique_ids(lines.select(
-            F.col("o_custkey").alias("EmpleadoEvaluadoID"),
+        return dense_keys(lines.select(
+            *LINE_ORDER, F.col("o_custkey").alias("EmpleadoEvaluadoID"),
             F.col("l_shipdate").cast("date").alias("FechaEvaluacion"),
             (tenths.cast("decimal(3,0)") * F.lit("0.1").cast("decimal(1,1)")).cast("decimal(3,1)").alias("Calificacion"),
             F.col("HeadID").alias("EvaluadorID"),
-        ), "EvaluacionID"), "reviews")
+        ), LINE_ORDER, "EvaluacionID").drop(*LINE_ORDER)
 
     def programmes(self) -> DataFrame:
         start = _days_after(date(1995, 1, 1), F.col("p_partkey") % 2000)
@@ -171,13 +171,13 @@ class _Roles:
     def enrolments(self) -> DataFrame:
         pending = F.col("l_returnflag") == "N"
         first = first_of_each(enrolment_lines(self._spark, self._folder), ["o_custkey", "l_partkey"], LINE_ORDER)
-        return staged(unique_ids(first.select(
-            F.col("o_custkey").alias("EmpleadoID"),
+        return dense_keys(first.select(
+            *LINE_ORDER, F.col("o_custkey").alias("EmpleadoID"),
             F.col("l_partkey").alias("CapacitacionID"),
             F.when(~pending, F.col("l_quantity").cast("int") % 41 + 60).cast("decimal(5,2)").alias("CalificacionObtenida"),
             F.when(~pending, F.col("l_shipdate").cast("date")).alias("FechaCompletado"),
             F.when(pending, "En Curso").otherwise("Completada").alias("Estado"),
-        ), "EmpleadoCapacitacionID"), "enrolments")
+        ), LINE_ORDER, "EmpleadoCapacitacionID").drop(*LINE_ORDER)
 
 
 def enrolment_lines(spark: SparkSession, folder: str) -> DataFrame:

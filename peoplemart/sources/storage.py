@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
+from contextvars import ContextVar
+from functools import partial
 from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A side with at most this many rows of a few columns each may be broadcast or held by one task.
-SMALL_ROWS = 10_000
+# Partition column of tables written by year; readers of the declared columns don't see it.
+YEAR = "_anio"
+# Employees of a year are dealt into so many groups, so that a file holds all rows of an employee and year.
+_GROUPS = 16
+
+_staging: ContextVar[str | None] = ContextVar("staging", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,33 +47,40 @@ def read_table(spark: SparkSession, folder: str, name: str, schema: T.StructType
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
-def write_table(df: DataFrame, folder: str, name: str) -> int:
-    """Overwrites folder/name.parquet and returns the rows written, counted during the write."""
+def write_table(df: DataFrame, folder: str, name: str, dated_by: str | None = None, cluster: str | None = None) -> int:
+    """Overwrites folder/name.parquet and returns the rows written, counted during the write.
+
+    dated_by, a column of numbers like 20241231, makes a folder for each year, and cluster sorts the
+    rows inside. Adaptive execution joins small years into one task and splits large ones.
+    """
     loaded = Observation(f"load {name}")
     counted = df.observe(loaded, F.count(F.lit(1)).alias("Registros"))
-    counted.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    if dated_by is None:
+        counted.write.mode("overwrite").parquet(path)
+    else:
+        dealt = counted.withColumn(YEAR, (F.col(dated_by) / 10000).cast("int")).withColumn(
+            "_group", F.pmod(F.hash(cluster), F.lit(_GROUPS)))
+        dealt = dealt.hint("rebalance", F.col(YEAR), F.col("_group")).drop("_group").sortWithinPartitions(YEAR, cluster)
+        dealt.write.mode("overwrite").partitionBy(YEAR).parquet(path)
     return int(loaded.get.get("Registros", 0))
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """df written to the shared folder and read back: short lineage, sizes known to the planner."""
-    folder = new_folder(df.sparkSession, "stage")
+    """df written to the shared folder and read back: short lineage, sizes known to the planner.
+
+    A table made by Tables with a staging folder of its own is staged there.
+    """
+    home = _staging.get()
+    folder = f"{home}/{uuid.uuid4().hex}" if home else new_folder(df.sparkSession, "stage")
     df.write.parquet(f"{folder}/{label}.parquet")
     return read_table(df.sparkSession, folder, label, df.schema)
 
 
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """True if df has at most `rows` rows; looks at no more than one row beyond that."""
-    return len(df.select(F.lit(1)).head(rows + 1)) <= rows
-
-
-def broadcast_if_small(df: DataFrame, label: str) -> DataFrame:
-    """df staged, with a broadcast hint only after its size was checked.
-
-    A larger side keeps no hint: the join then shuffles, and adaptive execution splits hot keys.
-    """
-    table = staged(df, label)
-    return F.broadcast(table) if is_small(table) else table
+def removed(spark: SparkSession, folder: str) -> bool:
+    """Deletes a folder in whatever store it is; False if there was none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbers_up_to(spark: SparkSession, last: int) -> DataFrame:
@@ -78,6 +91,8 @@ def numbers_up_to(spark: SparkSession, last: int) -> DataFrame:
 class Tables(Mapping[str, DataFrame]):
     """Named tables, each made once, on first use by any thread."""
 
+    staging: str | None = None  # where intermediate results of these tables go, if not to folders of their own
+
     def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
         self._makers = dict(makers)
         self._made: dict[str, DataFrame] = {}
@@ -86,9 +101,17 @@ class Tables(Mapping[str, DataFrame]):
     def __getitem__(self, name: str) -> DataFrame:
         with self._locks[name]:
             if name not in self._made:
-                self._made[name] = self._makers[name]()
+                before = _staging.set(self.staging)
+                try:
+                    self._made[name] = self._makers[name]()
+                finally:
+                    _staging.reset(before)
             return self._made[name]
 
+    def in_years(self, name: str, first: int, last: int) -> DataFrame:
+        """The rows of a table whose FechaKey lies in a closed range of years."""
+        return self[name].filter(F.col("FechaKey").between(first * 10000 + 101, last * 10000 + 1231))
+
     def __contains__(self, name: object) -> bool:
         return name in self._makers
 
@@ -105,6 +128,30 @@ class Tables(Mapping[str, DataFrame]):
         return Tables(makers)
 
 
-def saved_tables(spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType]) -> Tables:
+class SavedTables(Tables):
+    """Tables in a folder. Those of dated were written by year, and a range of years reads its folders only."""
+
+    def __init__(self, spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType], dated: Collection[str] = ()):
+        super().__init__({name: partial(self._declared, name) for name in schemas})
+        self.spark, self.folder, self.schemas, self.dated = spark, folder, schemas, dated
+
+    def _stored(self, name: str) -> DataFrame:
+        schema = self.schemas[name]
+        if name in self.dated:
+            schema = T.StructType([*schema.fields, T.StructField(YEAR, T.IntegerType())])
+        return read_table(self.spark, self.folder, name, schema)
+
+    def _declared(self, name: str) -> DataFrame:
+        return self._stored(name).select(self.schemas[name].names)
+
+    def in_years(self, name: str, first: int, last: int) -> DataFrame:
+        if name not in self.dated:
+            return super().in_years(name, first, last)
+        return self._stored(name).filter(F.col(YEAR).between(first, last)).select(self.schemas[name].names)
+
+
+def saved_tables(
+    spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType], dated: Collection[str] = ()
+) -> SavedTables:
     """Tables written before, for instance a mart that was loaded by an earlier application."""
-    return Tables({name: (lambda n=name: read_table(spark, folder, n, schemas[n])) for name in schemas})
+    return SavedTables(spark, folder, schemas, dated)

@@ -14,7 +14,7 @@ from peoplemart.functions import dates, numeric, text
 from peoplemart.operators import assign, keys
 from peoplemart.plans.calendar import calendar
 from peoplemart.sources.schemas import SOURCE, conformed
-from peoplemart.sources.storage import is_small, numbers_up_to
+from peoplemart.sources.storage import numbers_up_to
 
 
 def half_up(value: Fraction, digits: int) -> Decimal:
@@ -96,24 +96,18 @@ def test_defaults_fill_missing_values(spark):
     assert filled.first().FechaCreacion is not None
 
 
-@pytest.mark.parametrize("make", [keys._numbered_in_one_task, keys._numbered_by_range])
-def test_dense_keys(spark, make):
+def test_dense_keys(spark):
     rows = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("nk"), F.lit("x").alias("payload"))
-    found = make(rows, ["nk"], "k").orderBy("k").collect()
+    found = keys.dense_keys(rows, ["nk"], "k").orderBy("k").collect()
     assert [row.k for row in found] == list(range(1, 5001))
     assert [row.nk for row in found] == sorted(row.nk for row in found)
 
 
-def test_dense_keys_chooses_by_size(spark):
-    assert is_small(spark.range(10_000)) and not is_small(spark.range(10_001))
+def test_dense_keys_of_many_rows(spark):
     large = keys.dense_keys(spark.range(20_000), ["id"], "k")
     assert large.filter("k <> id + 1").count() == 0 and large.count() == 20_000
 
 
-def test_unique_ids(spark):
-    assert keys.unique_ids(spark.range(0, 1000, 1, 7), "k").select("k").distinct().count() == 1000
-
-
 def test_round_robin(spark):
     events = numbers_up_to(spark, 100).select((F.col("n") * 3).alias("event"))
     people = spark.createDataFrame([(10,), (30,), (20,)], "person long")

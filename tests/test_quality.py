@@ -34,13 +34,15 @@ def first_row_changed(mart, name, key, **values):
 def test_everything_passes(mart, source):
     report = quality.detail_report(mart, source, CALENDAR_START, CALENDAR_END)
     found = report.collect()
-    assert [row.Num for row in found] == list(range(1, 15))
+    assert report.columns == ["#", "Categoría", "Validación", "Estado", "Detalle", "Problemas"]
+    assert [row["#"] for row in found] == list(range(1, 15))
     assert {(row.Estado, row.Problemas) for row in found} == {("PASS", 0)}
-    details = {row.Num: row.Detalle for row in found}
+    details = {row["#"]: row.Detalle for row in found}
     assert details[8] == "OLTP=100 | DWH=100 | Diferencia=0"
     assert details[12] == "Rango real: 2023-01-01 a 2025-12-31"
-    summary = quality.summary_report(report).first()
-    assert (summary.TotalValidaciones, summary.Pass, summary.Fail, str(summary.PctExito)) == (14, 14, 0, "100.0")
+    summary = quality.summary_report(report)
+    assert summary.columns == ["Total Validaciones", "PASS ✓", "FAIL ✗", "% Éxito"]
+    assert [str(value) for value in summary.first()] == ["14", "14", "0", "100.0"]
 
 
 FACTS = {1: ("FactAusencias", "FactAusenciaKey"), 2: ("FactEvaluaciones", "FactEvaluacionKey"),

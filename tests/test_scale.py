@@ -1,15 +1,19 @@
 """Properties that matter on large data: plan shapes, hot keys, repeatable loads."""
 
+import random
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from peoplemart.operators import assign, keys
-from peoplemart.operators.references import orphans, reference_profile
+from peoplemart.operators import assign, checks, keys
+from peoplemart.operators.references import lost, orphans, reference_profile
 from peoplemart.plans import facts, kpis, quality
-from peoplemart.plans.reload import Mart
+from peoplemart.plans.reload import FACTS, SCHEMAS, Mart, current, reloaded, remove_former
 from peoplemart.sources.schemas import MART, Reference
 from peoplemart.sources.session import cluster_options
-from peoplemart.sources.storage import broadcast_if_small, new_folder, saved_tables, shared_folder, staged
+from peoplemart.sources.storage import Tables, new_folder, saved_tables, shared_folder, staged
 from tests.people import CALENDAR_END, CALENDAR_START
 
 
@@ -71,10 +75,6 @@ def test_first_of_each_reduces_before_the_shuffle(spark):
     assert "Final" in lines[0] and "Exchange" in lines[1] and "Partial" in lines[2]
 
 
-def test_ranking_reduces_before_the_shuffle(mart):
-    assert "rank(mean_key" in plan_of(kpis.best_rated_per_department(mart)).split("WindowGroupLimit")[2]
-
-
 def hot_absences(spark, source, rows=30_000):
     """Absences of which employee 1 has a third."""
     person = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50 + 1)
@@ -91,8 +91,7 @@ def test_adaptive_execution_splits_a_hot_employee_in_the_fact_load(spark, mart,
          spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
          spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
          spark__sql__shuffle__partitions="16")
-    events = staged(hot_absences(spark, source), "hot")
-    # the reviews of a third of the people by one person: the employee join comes first
+    events = staged(_with_ids(hot_absences(spark, source)), "hot")
     loaded = facts.absences({"Ausencias": events}, mart)
     rows = loaded.collect()
     assert len(rows) == 30_000
@@ -118,48 +117,100 @@ def test_orphans_are_counted_after_folding(spark):
     """A missing parent that a third of the rows name is one row at the join."""
     child = spark.range(0, 9000, 1, 8).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 10).alias("k"))
     parent = spark.range(10).withColumnRenamed("id", "k")
-    lost = orphans(child, Reference("k", "p", "k"), parent)
-    assert [tuple(row) for row in lost.collect()] == [(-1, 3000)]
-    for small in ({"p"}, ()):
-        row = reference_profile(child, [Reference("k", "p", "k")], {"p": parent}, {}, small).first()
-        assert (row.Filas, row.Huerfanas) == (9000, 3000)
+    missing = orphans(child, Reference("k", "p", "k"), parent)
+    assert [tuple(row) for row in missing.collect()] == [(-1, 3000)]
+    row = reference_profile(child, [Reference("k", "p", "k")], {"p": parent}, {}).first()
+    assert (row.Filas, row.Huerfanas, row[lost(0)]) == (9000, 3000, 3000)
 
 
-def test_reference_profile_agrees_with_and_without_folding(spark, mart):
-    facts_table = mart["FactCapacitaciones"].withColumn(
+def test_reference_profile_agrees_with_a_plain_computation(mart):
+    """Lost and missing references, counted for each and for any of them; repeated parents count once."""
+    training = mart["FactCapacitaciones"].withColumn(
         "EmpleadoKey", F.when(F.col("EmpleadoKey") % 7 == 0, -1).otherwise(F.col("EmpleadoKey"))).withColumn(
         "CapacitacionKey", F.when(F.col("CapacitacionKey") % 4 == 0, None).otherwise(F.col("CapacitacionKey")))
     references = MART["FactCapacitaciones"].references
-    rows = [tuple(reference_profile(facts_table, references, mart, {"caro": F.col("CostoCapacitacion") > 1000},
-                                    small).first())
-            for small in ((), {"DimFecha", "DimOficina"}, set(MART))]
-    assert rows[0] == rows[1] == rows[2] and 0 < rows[0][0] < rows[0][1] == 50
+    parents = {name: mart[name].unionAll(mart[name]) for name in mart}
+    row = reference_profile(training, references, parents, {"caro": F.col("CostoCapacitacion") > 1000}).first()
+    known = {r.column: {x[0] for x in mart[r.parent].select(r.parent_column).collect()} for r in references}
+    rows = training.collect()
+    assert row.Filas == len(rows) and row.caro == sum(x.CostoCapacitacion > 1000 for x in rows)
+    assert 0 < row.Huerfanas == sum(any(x[c] not in keys for c, keys in known.items()) for x in rows) < len(rows)
+    for i, r in enumerate(references):
+        assert row[lost(i)] == sum(x[r.column] is not None and x[r.column] not in known[r.column] for x in rows)
 
 
-def test_large_side_gets_no_broadcast_hint(spark):
-    small, large = broadcast_if_small(spark.range(10), "s"), broadcast_if_small(spark.range(20_000), "l")
+def test_foreign_keys_read_each_fact_once(mart):
+    plan = plan_of(checks.reference_checks(mart, MART))
+    scans = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "FileScan" in line]
+    for column in ("TipoAusenciaKey", "EvaluadorEmpleadoKey", "CapacitacionKey"):
+        assert sum(f"{column}:" in scan and "FechaKey:" in scan for scan in scans) == 1
 
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
 
-    assert hinted(small) and not hinted(large)
+def test_adaptive_execution_splits_a_hot_reference(spark, conf):
+    """A third of the rows refer to one employee, in pairs that are nearly unique."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1",
+         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="16KB",
+         spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB",
+         spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
+         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+         spark__sql__shuffle__partitions="16")
+    pairs = staged(spark.range(0, 90_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 500).alias("e"), (F.col("id") % 40_000).alias("p")), "pairs")
+    parents = {"E": staged(spark.range(500).withColumnRenamed("id", "k"), "e"), "P": staged(spark.range(39_990).withColumnRenamed("id", "k"), "p")}
+    profile = reference_profile(pairs, [Reference("e", "E", "k"), Reference("p", "P", "k")], parents, {})
+    row = profile.collect()[0]
+    assert (row.Filas, row.Huerfanas, row[lost(0)]) == (90_000, row[lost(1)], 0) and row.Huerfanas > 0
+    assert "skew=true" in plan_of(profile)
+
+
+def test_no_job_runs_while_checks_are_planned(spark, mart, source):
+    for name in mart:
+        assert mart[name] is not None and all(source[n] is not None for n in source)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    quality.verdicts(mart, source, CALENDAR_START, CALENDAR_END)
+    checks.reference_checks(mart, MART)
+    assert len(tracker.getJobIdsForGroup("planning")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_reload_is_repeatable(spark, source, mart, settings):
-    """Loading again, and over the same folder, gives the same tables but for the fact keys."""
+    """Loading again, and over the same folder, gives the same tables, keys included."""
     folder = new_folder(spark, "again")
     Mart(spark, source, folder, settings).load_all()
     again = Mart(spark, source, folder, settings)
     again.load_all()
     for name in MART:
-        surrogate = [MART[name].key] if name.startswith("Fact") else []
-        first, second = mart[name].drop(*surrogate), again[name].drop(*surrogate)
+        first, second = mart[name], again[name]
         assert first.exceptAll(second).count() == 0 and second.exceptAll(first).count() == 0
         assert again[name].select(MART[name].key).distinct().count() == again[name].count()
 
 
+def test_readers_see_complete_loads_only(spark, source, settings, tmp_path):
+    root = f"file://{tmp_path}"
+    with pytest.raises(FileNotFoundError):
+        current(spark, root)
+    assert {r.Tabla: r.Registros for r in reloaded(spark, source, root, settings).collect()}["FactAusencias"] == 100
+    before = kpis.absence_rate(current(spark, root)).collect()
+
+    def broken():
+        raise RuntimeError("the source went away")
+
+    fewer = {**{n: source[n] for n in source}, "Empleados": source["Empleados"].filter("EmpleadoID > 1")}
+    failing = Tables({**{n: (lambda t=t: t) for n, t in fewer.items()}, "EvaluacionesDesempeno": broken})
+    with pytest.raises(RuntimeError):
+        reloaded(spark, failing, root, settings)  # the dimensions are written by then, with other keys
+    assert kpis.absence_rate(current(spark, root)).collect() == before
+    reloaded(spark, fewer, root, settings)
+    assert current(spark, root)["DimEmpleado"].count() == 49
+    assert remove_former(spark, root) == 1 and remove_former(spark, root) == 0
+    assert current(spark, root)["DimEmpleado"].count() == 49
+    left = list(tmp_path.glob("load-*"))
+    assert len(left) == 1 and not (left[0] / "_staging").exists()
+
+
 def test_saved_mart_is_read_with_its_declared_schema(spark, mart):
-    tables = saved_tables(spark, mart.folder, {name: spec.schema for name, spec in MART.items()})
+    tables = saved_tables(spark, mart.folder, SCHEMAS, FACTS)
     assert tables["DimEmpleado"].count() == 50
     assert [row.TasaAusentismoPct for row in kpis.absence_rate(tables).collect()] == [
         row.TasaAusentismoPct for row in kpis.absence_rate(mart).collect()]
@@ -173,7 +224,7 @@ def test_loaded_types_are_the_declared_ones(mart):
 
 def test_keys_by_range_use_no_single_task(spark):
     """The shifts are the only single-partition step, with one row per range."""
-    numbered = keys._numbered_by_range(spark.range(50_000), ["id"], "k")
+    numbered = keys.dense_keys(spark.range(50_000), ["id"], "k")
     assert plan_of(numbered).count("Window") == 1
     assert numbered.select(F.max("k"), F.count_distinct("k")).first()[:] == (50_000, 50_000)
 
@@ -190,25 +241,45 @@ def test_cluster_options_bound_the_partition_size():
     assert cluster_options(shuffled_bytes=1, cores=8)["spark.sql.shuffle.partitions"] == "16"
 
 
-def test_year_range_reaches_the_fact_scan(mart):
-    plan = kpis.absence_rate(mart, years=(2024, 2024))._jdf.queryExecution().explainString(
-        mart.spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    assert "GreaterThanOrEqual(FechaKey,20240101)" in plan and "LessThanOrEqual(FechaKey,20241231)" in plan
-    assert sum(row.TotalDiasAusentes for row in kpis.absence_rate(mart, years=(2024, 2024)).collect()) == 98
-
-
-@pytest.mark.parametrize("name, load, key", [
-    ("Ausencias", facts.absences, "EmpleadoID"),
-    ("EvaluacionesDesempeno", facts.reviews, "EmpleadoEvaluadoID"),
-    ("EmpleadosCapacitaciones", facts.enrolments, "EmpleadoID"),
-])
-def test_facts_end_clustered_by_employee(mart, source, conf, name, load, key):
-    """With shuffle joins for everything large, the employee join is the outermost of them."""
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    small = {n: F.broadcast(mart[n]) for n in ("DimOficina", "DimDepartamento", "DimPuesto", "DimTipoAusencia")}
-    plan = plan_of(load(source, mart.replaced(**small)))
-    outermost = next(line for line in plan.splitlines() if "SortMergeJoin" in line)
-    assert f"[{key}#" in outermost
+def test_a_year_is_read_from_its_folder_alone(spark, mart):
+    for tables in (mart, saved_tables(spark, mart.folder, SCHEMAS, FACTS)):
+        rate = kpis.absence_rate(tables, years=(2024, 2024))
+        scan = next(line for line in plan_of(rate).splitlines() if "FileScan" in line and "DiasAusencia" in line)
+        assert "(_anio" in scan.split("PartitionFilters: ")[1].split("]")[0] and "2024" in scan
+        assert sum(row.TotalDiasAusentes for row in rate.collect()) == 98
+    folders = {path.name for path in Path(mart.folder.removeprefix("file:")).glob("FactAusencias.parquet/_anio=*")}
+    assert folders == {"_anio=2023", "_anio=2024"}
+
+
+def test_facts_are_clustered_by_employee(mart):
+    """Files of a year are sorted by employee, and a small fact makes a few files, not hundreds."""
+    for fact in FACTS:
+        files = list(Path(mart.folder.removeprefix("file:")).glob(f"{fact}.parquet/_anio=*/*.parquet"))
+        assert 0 < len(files) <= 12
+        for file in files:
+            people = pq.read_table(file, columns=["EmpleadoKey"])["EmpleadoKey"].to_pylist()
+            assert people == sorted(people)
+
+
+def test_many_people_on_one_place(spark):
+    """Most of a department shares the first mean: the same rows as a plain rank, and no window over people."""
+    rng = random.Random(4)
+    people = [(i, i % 2 + 1, 50 if rng.random() < 0.6 else rng.choice((38, 42, 46))) for i in range(4000)]
+    people += [(5000, 3, 30), (5001, 3, 20), (5002, 3, 20), (5003, 3, 10)]
+    ratings = spark.createDataFrame(people, "EmpleadoKey long, DepartamentoKey long, tenths int").withColumn(
+        "Calificacion", (F.col("tenths") / 10).cast("decimal(3,1)"))
+    names = spark.createDataFrame([(i, i, f"p{i}") for i, *_ in people], "EmpleadoKey long, EmpleadoID_OLTP long, NombreCompleto string")
+    departments = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "DepartamentoKey long, NombreDepartamento string")
+    report = kpis.best_rated_per_department(
+        {"FactEvaluaciones": ratings, "DimEmpleado": names, "DimDepartamento": departments}, by_key=True)
+    expected = set()
+    for i, d, t in people:
+        rank = 1 + sum(t2 > t for _, d2, t2 in people if d2 == d) if d == 3 or t == 50 else 4
+        if rank <= 3:
+            expected.add((" ABC"[d], rank, i))
+    assert {(r.NombreDepartamento, r.Ranking, r.EmpleadoID_OLTP) for r in report.collect()} == expected
+    plan = plan_of(report)
+    assert "rank(" not in plan and all("NombreCompleto" not in line for line in plan.splitlines() if " Window " in line)
 
 
 def test_hot_pair_keeps_its_first_row_and_all_others(spark):
