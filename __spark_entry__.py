@@ -16,6 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))  # also when loaded fro
 
 from peoplemart.operators import assign, checks
 from peoplemart.operators.keys import dense_keys
+from peoplemart.operators.references import orphans
 from peoplemart.plans import dims, kpis, quality
 from peoplemart.plans.calendar import calendar, calendar_over
 from peoplemart.plans.reload import Mart, Settings, table_counts
@@ -23,6 +24,7 @@ from peoplemart.sources.roles import (
     AS_OF, CALENDAR_END, CALENDAR_START, LINE_ORDER, enrolment_lines, role_tables)
 from peoplemart.sources.schemas import MART, SOURCE
 from peoplemart.sources.storage import Tables, new_folder, numbers_up_to, read_table, removed
+from verification.faults import faulty_mart, faulty_source
 from verification.oracle import oracle_statements
 
 try:
@@ -179,6 +181,39 @@ def _all_rules(rules_of) -> Callable[[SparkSession, str], DataFrame]:
     return _on_mart(lambda mart: checks.rule_checks(_all_tables(mart), _EVERY, rules_of))
 
 
+def _on_faults(plan: Callable[[Tables, Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """plan(mart, source) over tables with faults in them."""
+    return _on_mart(lambda mart: plan(faulty_mart(mart), faulty_source(mart.source)))
+
+
+def _everything(mart: Tables, source: Tables) -> Tables:
+    return Tables({name: (lambda n=name, t=tables: t[n]) for tables in (source, mart) for name in tables})
+
+
+def _fault_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The checks where they have something to find, and the rows that they find."""
+    rules = {"c07_domains": checks.domain_rules, "c08_amounts": checks.amount_rules, "c09_order": checks.order_rules,
+             "c10_ranges": checks.range_rules, "c12_status_pairing": checks.pairing_rules}
+    found = {f"v{number:02}_faults": _on_faults(lambda mart, source, n=number: quality.verdicts(
+        mart, source, CALENDAR_START, CALENDAR_END, [n])) for number in quality.CHECKS}
+    found |= {f"{name}_faults": _on_faults(lambda mart, source, r=rule: checks.rule_checks(source, SOURCE, r))
+              for name, rule in rules.items()}
+    to_employee = next(r for r in SOURCE["Ausencias"].references if r.parent == "Empleados")
+    return found | {
+        "c01_primary_keys_faults": _on_faults(lambda mart, source: checks.key_checks(_everything(mart, source), _EVERY)),
+        "c02_unique_faults": _on_faults(lambda mart, source: checks.unique_checks(_everything(mart, source), _EVERY, composite=False)),
+        "c04_source_references_faults": _on_faults(lambda mart, source: checks.reference_checks(source, SOURCE)),
+        "c05_manager_reference_faults": _on_faults(lambda mart, source: checks.reference_checks(source, SOURCE, to_itself=True)),
+        "c06_mart_references_faults": _on_faults(lambda mart, source: checks.reference_checks(mart, MART)),
+        "c11_not_null_faults": _on_faults(lambda mart, source: checks.rule_checks(_everything(mart, source), _EVERY, checks.filled_rules)),
+        "c_len_faults": _on_faults(lambda mart, source: checks.rule_checks(_everything(mart, source), _EVERY, checks.length_rules)),
+        "a16_repeated_ids": _on_faults(lambda mart, source: checks.repeated(source["Ausencias"], ["AusenciaID"])),
+        "c04_orphans": _on_faults(lambda mart, source: orphans(source["Ausencias"], to_employee, source["Empleados"])),
+        "c07_breaking": _on_faults(lambda mart, source: checks.breaking(
+            source["Empleados"], checks.domain_rules(SOURCE["Empleados"])[0][1]).select("EmpleadoID", "Genero")),
+    }
+
+
 def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: _on_mart(kpi) for name, kpi in kpis.KPIS.items()}
     found |= {
@@ -243,7 +278,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "c_mktsegment", "c_custkey", "JefeID"), "JefeID")),
     }
     found |= {f"v{number:02}": _verdict(number) for number in quality.CHECKS}
-    return found
+    return found | _fault_queries()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -420,11 +420,14 @@ def _load_sql() -> dict[str, str]:
     }
 
 
-def _unresolved(fact: str) -> str:
+Names = Callable[[str], str]  # what a table is called in a statement
+
+
+def _unresolved(fact: str, of: Names) -> str:
     missing = " OR ".join(
-        f"{r.column} IS NULL OR {r.column} NOT IN (SELECT {r.parent_column} FROM {r.parent})"
+        f"{r.column} IS NULL OR {r.column} NOT IN (SELECT {r.parent_column} FROM {of(r.parent)})"
         for r in MART[fact].references)
-    return f"SELECT count(*) AS n FROM {fact} WHERE {missing}"
+    return f"SELECT count(*) AS n FROM {of(fact)} WHERE {missing}"
 
 
 def _count_verdict(number: int, problems: str) -> str:
@@ -445,36 +448,36 @@ def _match_verdict(number: int, origin: str, fact: str) -> str:
     FROM (SELECT (SELECT count(*) FROM {origin}) AS a, (SELECT count(*) FROM {fact}) AS b)"""
 
 
-def _calendar_verdict() -> str:
+def _calendar_verdict(of: Names) -> str:
     check, start, end = CHECKS[12], CALENDAR_START, CALENDAR_END
     return f"""
     SELECT CAST(12 AS BIGINT) AS Num, '{check.category}' AS Categoria, '{check.name.format(start=start, end=end)}' AS Nombre,
            CASE WHEN a <= DATE '{start}' AND b >= DATE '{end}' THEN 'PASS' ELSE 'FAIL' END AS Estado,
            'Rango real: ' || a || ' a ' || b AS Detalle, CAST(0 AS BIGINT) AS Problemas
-    FROM (SELECT min(FechaCompleta) AS a, max(FechaCompleta) AS b FROM DimFecha)"""
+    FROM (SELECT min(FechaCompleta) AS a, max(FechaCompleta) AS b FROM {of("DimFecha")})"""
 
 
-def _verdict_sql() -> dict[int, str]:
+def _verdict_sql(of: Names = str) -> dict[int, str]:
     def rows(table: str, condition: str) -> str:
-        return f"SELECT count(*) AS n FROM {table} WHERE {condition}"
+        return f"SELECT count(*) AS n FROM {of(table)} WHERE {condition}"
 
     return {
-        1: _count_verdict(1, _unresolved("FactAusencias")),
-        2: _count_verdict(2, _unresolved("FactEvaluaciones")),
-        3: _count_verdict(3, _unresolved("FactCapacitaciones")),
+        1: _count_verdict(1, _unresolved("FactAusencias", of)),
+        2: _count_verdict(2, _unresolved("FactEvaluaciones", of)),
+        3: _count_verdict(3, _unresolved("FactCapacitaciones", of)),
         4: _count_verdict(4, rows("DimEmpleado", """NombreCompleto IS NULL OR Genero IS NULL
             OR Identificacion IS NULL OR FechaContratacion IS NULL""")),
         5: _count_verdict(5, rows("FactEvaluaciones", "tenths < 10 OR tenths > 50")),
         6: _count_verdict(6, rows("FactAusencias", "DiasAusencia <= 0")),
-        7: _count_verdict(7, """SELECT count(*) AS n FROM (
-            SELECT EmpleadoID_OLTP FROM DimEmpleado GROUP BY EmpleadoID_OLTP HAVING count(*) > 1)"""),
-        8: _match_verdict(8, "Ausencias", "FactAusencias"),
-        9: _match_verdict(9, "EvaluacionesDesempeno", "FactEvaluaciones"),
+        7: _count_verdict(7, f"""SELECT count(*) AS n FROM (
+            SELECT EmpleadoID_OLTP FROM {of("DimEmpleado")} GROUP BY EmpleadoID_OLTP HAVING count(*) > 1)"""),
+        8: _match_verdict(8, of("Ausencias"), of("FactAusencias")),
+        9: _match_verdict(9, of("EvaluacionesDesempeno"), of("FactEvaluaciones")),
         10: _count_verdict(10, rows("DimEmpleado", "Activo AND DepartamentoID_OLTP IS NULL")),
         11: _count_verdict(11, rows("FactCapacitaciones", "CostoCapacitacion < 0")),
-        12: _calendar_verdict(),
+        12: _calendar_verdict(of),
         13: _count_verdict(13, rows("DimEmpleado", "AntiguedadAnios < 0")),
-        14: _match_verdict(14, "EmpleadosCapacitaciones", "FactCapacitaciones"),
+        14: _match_verdict(14, of("EmpleadosCapacitaciones"), of("FactCapacitaciones")),
     }
 
 
@@ -487,35 +490,35 @@ def _repeats(columns: str, source: str) -> str:
     return f"SELECT count(*) FROM (SELECT 1 FROM {source} GROUP BY {columns} HAVING count(*) > 1)"
 
 
-def _key_problems(spec: Table) -> str:
+def _key_problems(spec: Table, of: Names) -> str:
     key = spec.key
-    count = f"({_repeats(key, spec.name)}) + (SELECT count(*) FROM {spec.name} WHERE {key} IS NULL)"
+    count = f"({_repeats(key, of(spec.name))}) + (SELECT count(*) FROM {of(spec.name)} WHERE {key} IS NULL)"
     return _problems(spec.name, f"PRIMARY KEY ({key})", f"SELECT {count}")
 
 
-def _unique_problems(composite: bool) -> list[str]:
-    return [_problems(spec.name, f"UNIQUE ({', '.join(columns)})", _repeats(", ".join(columns), spec.name))
+def _unique_problems(composite: bool, of: Names) -> list[str]:
+    return [_problems(spec.name, f"UNIQUE ({', '.join(columns)})", _repeats(", ".join(columns), of(spec.name)))
             for spec in (*SOURCE.values(), *MART.values()) for columns in spec.unique
             if (len(columns) > 1) == composite]
 
 
-def _reference_problems(specs: dict[str, Table], to_itself: bool) -> list[str]:
+def _reference_problems(specs: dict[str, Table], to_itself: bool, of: Names) -> list[str]:
     return [
         _problems(spec.name, f"FOREIGN KEY ({r.column}) REFERENCES {r.parent}", f"""
-            SELECT count(*) FROM {spec.name} child WHERE {r.column} IS NOT NULL AND NOT EXISTS (
-                SELECT 1 FROM {r.parent} parent WHERE parent.{r.parent_column} = child.{r.column})""")
+            SELECT count(*) FROM {of(spec.name)} child WHERE {r.column} IS NOT NULL AND NOT EXISTS (
+                SELECT 1 FROM {of(r.parent)} parent WHERE parent.{r.parent_column} = child.{r.column})""")
         for spec in specs.values() for r in spec.references if (r.parent == spec.name) == to_itself]
 
 
-def _condition_problems(conditions_of: Callable[[Table], list[tuple[str, str]]], specs: dict[str, Table]) -> str:
+def _condition_problems(conditions_of: Callable[[Table], list[tuple[str, str]]], specs: dict[str, Table], of: Names) -> str:
     return " UNION ALL ".join(
-        _problems(spec.name, label, f"SELECT count(*) FROM {spec.name} WHERE NOT ({condition})")
+        _problems(spec.name, label, f"SELECT count(*) FROM {of(spec.name)} WHERE NOT ({condition})")
         for spec in specs.values() for label, condition in conditions_of(spec))
 
 
-def _checked(attribute: str) -> str:
+def _checked(attribute: str, of: Names) -> str:
     return _condition_problems(
-        lambda spec: [(f"CHECK ({condition})", condition) for condition in getattr(spec, attribute)], SOURCE)
+        lambda spec: [(f"CHECK ({condition})", condition) for condition in getattr(spec, attribute)], SOURCE, of)
 
 
 def _domain(spec: Table) -> list[tuple[str, str]]:
@@ -534,28 +537,83 @@ def _short(spec: Table) -> list[tuple[str, str]]:
             for column in spec.columns if "max_length" in column.metadata]
 
 
-def _constraint_sql() -> dict[str, str]:
+def _constraint_sql(of: Names = str) -> dict[str, str]:
     everything = {**SOURCE, **MART}
     raw_pairs = _problems("lineitem", "UNIQUE (o_custkey, l_partkey)", _repeats("o_custkey, l_partkey", "lines"))
     priorities = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
     renamed = _problems("Ausencias", f"CHECK (TipoAusencia IN ({', '.join(priorities)}))",
                         f"SELECT count(*) FROM Ausencias WHERE TipoAusencia NOT IN {priorities}")
     return {
-        "c01_primary_keys": " UNION ALL ".join(map(_key_problems, everything.values())),
-        "c02_unique": " UNION ALL ".join(_unique_problems(False)),
-        "c03_unique_pair": " UNION ALL ".join([*_unique_problems(True), raw_pairs]),
-        "c04_source_references": " UNION ALL ".join(_reference_problems(SOURCE, False)),
-        "c05_manager_reference": " UNION ALL ".join(_reference_problems(SOURCE, True)),
-        "c06_mart_references": " UNION ALL ".join(_reference_problems(MART, False)),
-        "c07_domains": _condition_problems(_domain, SOURCE),
+        "c01_primary_keys": " UNION ALL ".join(_key_problems(spec, of) for spec in everything.values()),
+        "c02_unique": " UNION ALL ".join(_unique_problems(False, of)),
+        "c03_unique_pair": " UNION ALL ".join([*_unique_problems(True, of), raw_pairs]),
+        "c04_source_references": " UNION ALL ".join(_reference_problems(SOURCE, False, of)),
+        "c05_manager_reference": " UNION ALL ".join(_reference_problems(SOURCE, True, of)),
+        "c06_mart_references": " UNION ALL ".join(_reference_problems(MART, False, of)),
+        "c07_domains": _condition_problems(_domain, SOURCE, of),
         "c07_domain_parameter": renamed,
-        "c08_amounts": _checked("amounts"),
-        "c09_order": _checked("orders"),
-        "c10_ranges": _checked("ranges"),
-        "c11_not_null": _condition_problems(_filled, everything),
-        "c12_status_pairing": _checked("pairings"),
-        "c_len": _condition_problems(_short, everything),
+        "c08_amounts": _checked("amounts", of),
+        "c09_order": _checked("orders", of),
+        "c10_ranges": _checked("ranges", of),
+        "c11_not_null": _condition_problems(_filled, everything, of),
+        "c12_status_pairing": _checked("pairings", of),
+        "c_len": _condition_problems(_short, everything, of),
+    }
+
+
+def _changed(table: str, key: str, **values: tuple[int, str]) -> str:
+    """table with a value in each row whose key is a multiple of a number."""
+    found = ", ".join(f"CASE WHEN {key} % {step} = 0 THEN {value} ELSE {name} END AS {name}" for name, (step, value) in values.items())
+    return f"SELECT * REPLACE ({found}) FROM {table}"
+
+
+def _twice(rows: str, key: str, step: int) -> str:
+    return f"SELECT * FROM ({rows}) UNION ALL SELECT * FROM ({rows}) WHERE {key} % {step} = 0"
+
+
+def _faulty_ctes() -> str:
+    """Every table again, with _f behind its name and faults inside."""
+    early = "CAST(FechaInicio - INTERVAL 1 DAY AS DATE)"
+    found = {
+        "Oficinas": _twice("SELECT * FROM Oficinas", "OficinaID", 7),
+        "Departamentos": _twice("SELECT * FROM Departamentos", "DepartamentoID", 2),
+        "Puestos": _changed("Puestos", "PuestoID", SalarioMinimo=(13, "-1"), SalarioMaximo=(11, "-5"),
+                            NivelSalarial=(17, "repeat('x', 25)")),
+        "Empleados": _changed("Empleados", "EmpleadoID", JefeID=(13, "-5"), SalarioActual=(11, "0"), Email=(17, "NULL"),
+                              Genero=(19, "'Ninguno'"), Nombre=(23, "repeat('x', 81)"), OficinaID=(29, "-1")),
+        "Ausencias": _twice(_changed("Ausencias", "AusenciaID", EmpleadoID=(97, "-1"), FechaFin=(89, early)), "AusenciaID", 103),
+        "EvaluacionesDesempeno": _changed("EvaluacionesDesempeno", "EvaluacionID", Calificacion=(89, "5.1"), EvaluadorID=(97, "-1")),
+        "Capacitaciones": _changed("Capacitaciones", "CapacitacionID", Costo=(7, "-1"), FechaFin=(11, early)),
+        "EmpleadosCapacitaciones": _changed("EmpleadosCapacitaciones", "EmpleadoCapacitacionID", CalificacionObtenida=(89, "101"),
+                                            FechaCompletado=(83, "NULL"), CapacitacionID=(97, "-1")),
+        "DimFecha": "SELECT * FROM DimFecha WHERE Anio <= 2000",
+        "DimOficina": _twice("SELECT * FROM DimOficina", "OficinaKey", 7),
+        "DimEmpleado": _twice(_changed("DimEmpleado", "EmpleadoKey", Genero=(13, "NULL"), DepartamentoID_OLTP=(17, "NULL"),
+                                       AntiguedadAnios=(19, "-1")), "EmpleadoKey", 23),
+        "DimTipoAusencia": _twice("SELECT * FROM DimTipoAusencia", "TipoAusenciaKey", 2),
+        "FactAusencias": _changed("FactAusencias", "FactAusenciaKey", EmpleadoKey=(97, "-1"), DiasAusencia=(89, "0"))
+        + " WHERE FactAusenciaKey % 101 <> 0",
+        "FactEvaluaciones": _changed("FactEvaluaciones", "FactEvaluacionKey", EvaluadorEmpleadoKey=(97, "-1"),
+                                     Calificacion=(89, "5.1"), tenths=(89, "51")) + " WHERE FactEvaluacionKey % 101 <> 0",
+        "FactCapacitaciones": _changed("FactCapacitaciones", "FactCapacitacionKey", CapacitacionKey=(97, "NULL"),
+                                       CostoCapacitacion=(89, "-1")) + " WHERE FactCapacitacionKey % 101 <> 0",
     }
+    return "".join(f", {name}_f AS ({found.get(name, f'SELECT * FROM {name}')})\n" for name in (*SOURCE, *MART))
+
+
+def _fault_sql() -> dict[str, str]:
+    """The checks over the faulty tables, and the rows that break them."""
+    def of(table: str) -> str:
+        return f"{table}_f"
+
+    checks = {**{f"v{n:02}": sql for n, sql in _verdict_sql(of).items()}, **_constraint_sql(of)}
+    del checks["c03_unique_pair"], checks["c07_domain_parameter"]
+    return {**{f"{name}_faults": sql for name, sql in checks.items()},
+            "a16_repeated_ids": "SELECT AusenciaID, count(*) AS Filas FROM Ausencias_f GROUP BY AusenciaID HAVING count(*) > 1",
+            "c04_orphans": """SELECT EmpleadoID, count(*) AS Filas FROM Ausencias_f
+                WHERE EmpleadoID NOT IN (SELECT EmpleadoID FROM Empleados_f) GROUP BY EmpleadoID""",
+            "c07_breaking": """SELECT EmpleadoID, Genero FROM Empleados_f
+                WHERE Genero NOT IN ('Masculino', 'Femenino', 'No Binario', 'Otro')"""}
 
 
 def oracle_statements() -> dict[str, str]:
@@ -575,6 +633,8 @@ def oracle_statements() -> dict[str, str]:
         **_constraint_sql(),
     }
     statements = {name: _ctes() + body for name, body in bodies.items()}
+    faulty = _ctes() + _faulty_ctes()
+    statements |= {name: faulty + body for name, body in _fault_sql().items()}
     narrow = _ctes(*NARROW)
     statements["v01_narrow_calendar"] = narrow + verdicts[1]
     statements["v16_narrow_calendar"] = narrow + bodies["v16_summary"]
