@@ -13,6 +13,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import heapq
+import re
 import zlib
 from functools import cached_property
 
@@ -27,8 +28,9 @@ MODEL = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 #: What the unknown piece costs beyond the worst score.
 UNKNOWN_COST = 10.0
+_START = -1
 #: Stretches and pairs that a Python worker remembers, at most.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 codecs.register_error("each-byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
@@ -52,12 +54,11 @@ class Transducer:
         self.bytes = {int(p.piece[3:-1], 16): i for i, p in enumerate(model.pieces) if p.type == kind.BYTE}
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == kind.UNKNOWN)
         self.controls = {i for i, p in enumerate(model.pieces) if p.type == kind.CONTROL}
-        self.longest = max(map(len, self.scores))
         # pieces hold the mark at their head only, or nothing is cut
         self.cuts = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.scores)
         self.worst = min(self.scores.values()) - UNKNOWN_COST
-        self.allowed: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.allowed: dict[tuple[int, int], bool] = {}
+        self.known: dict[str, bytes] = {}
 
     def normalised(self, text: str) -> str:
         if self.marks:
@@ -89,70 +90,110 @@ class Transducer:
             offer(i, after[i])
         return [p for p in parts if p is not None]
 
-    def follows(self, left: str, right: str) -> bool:
-        """Whether two pieces may stand side by side in a byte-pair model's encoding."""
+    def _name(self, state: int) -> str:
+        """A piece, or the character that no piece is; the start has none."""
+        return self.names[state] if state >= 0 else "" if state == _START else chr(-2 - state)
+
+    def follows(self, left: int, right: int) -> bool:
+        """Whether two pieces may stand side by side in a byte-pair model's encoding, or one at its head."""
         pair = (left, right)
         found = self.allowed.get(pair)
         if found is None:
-            found = self.merged(left + right) == [left, right]
+            before, after = self._name(left), self._name(right)
+            found = self.merged(before + after) == ([before, after] if before else [after])
             if len(self.allowed) < REMEMBERED:
                 self.allowed[pair] = found
         return found
 
-    def shortest_path(self, text: str) -> list[str]:
-        """The pieces of a normalised text, single characters where no piece fits."""
+    @cached_property
+    def pieces(self) -> dict:
+        """The acceptor of pieces: arcs by character, a piece's id at the empty string."""
+        root: dict = {}
+        for piece, number in self.ids.items():
+            node = root
+            for char in piece:
+                node = node.setdefault(char, {})
+            node[""] = number
+        return root
+
+    def _arcs(self, text: str, begin: int):
+        """The pieces of text from begin on, and where they end; the character itself if it is none."""
+        node, single = self.pieces, False
+        for end in range(begin, len(text)):
+            node = node.get(text[end])
+            if node is None:
+                break
+            number = node.get("")
+            if number is not None:
+                single = single or end == begin
+                yield end + 1, number
+        if not single:
+            yield begin + 1, -2 - ord(text[begin])
+
+    def shortest_path(self, text: str) -> list[int]:
+        """The pieces' ids of a normalised text; for a character that no piece is, a number below -1."""
         n = len(text)
-        cost, last, begin = [0.0] + [np.inf] * n, [""] * (n + 1), [0] * (n + 1)
-        for end in range(1, n + 1):
-            for at in range(max(0, end - self.longest), end):  # of equal paths, the longest last piece
-                piece = text[at:end]
-                score = self.scores.get(piece)
-                if score is None and at < end - 1 or cost[at] == np.inf:
-                    continue
-                if not self.merges:
-                    total = cost[at] - (self.worst if score is None else score)
-                elif (self.follows(last[at], piece) if at else self.merged(piece) == [piece]):
-                    total = 0.0
+        cost, last, came = [0.0] + [np.inf] * n, [_START] + [None] * n, [0] * (n + 1)
+        for begin in range(n):
+            left = last[begin]
+            if left is None:
+                continue
+            for end, number in self._arcs(text, begin):
+                if self.merges:
+                    if last[end] is None and self.follows(left, number):  # only one path ends at each place
+                        last[end], came[end] = number, begin
                 else:
-                    continue
-                if total < cost[end]:
-                    cost[end], last[end], begin[end] = total, piece, at
-                    if self.merges:
-                        break  # no other path ends here
+                    total = cost[begin] - (self.scores[self.names[number]] if number >= 0 else self.worst)
+                    if total < cost[end]:  # of equal paths, the longest last piece
+                        cost[end], last[end], came[end] = total, number, begin
         found, end = [], n
         while end:
             found.append(last[end])
-            end = begin[end]
+            end = came[end]
         return found[::-1]
 
-    def _ids(self, stretch: str) -> tuple[int, ...]:
+    def _ids(self, stretch: str) -> bytes:
+        """The ids of a stretch, as little-endian unsigned 32-bit integers."""
         found = self.known.get(stretch)
         if found is None:
             out: list[int] = []
-            for piece in self.shortest_path(stretch):
-                if piece in self.ids:
-                    out.append(self.ids[piece])
+            for number in self.shortest_path(stretch):
+                if number >= 0:
+                    out.append(number)
                 elif self.bytes:
-                    out += [self.bytes[b] for b in piece.encode()]
+                    out += [self.bytes[b] for b in self._name(number).encode()]
                 elif not out or out[-1] != self.unknown:  # unknown characters in a row are one
                     out.append(self.unknown)
-            found = tuple(out)
+            found = np.array(out, "<u4").tobytes()
             if len(self.known) < REMEMBERED:
                 self.known[stretch] = found
         return found
 
-    def encode(self, text: str) -> list[int]:
+    @cached_property
+    def _stretches(self) -> re.Pattern:
+        """Stretches of a normalised text that pieces don't cross: characters that stand side by side in
+        some piece, directly or by way of others, with a run of marks at their head."""
+        kin: dict[str, set[str]] = {}
+        for piece in self.scores:
+            if len(piece) > 1:
+                chars = [c for c in piece if c != SPACE_MARK]
+                joined = set(chars).union(*(kin[c] for c in chars if c in kin))
+                for c in joined:
+                    kin[c] = joined
+        sets = {id(x): x for x in kin.values()}.values()
+        runs = "|".join(f"[{''.join(re.escape(c) for c in sorted(x))}]+" for x in sorted(sets, key=lambda x: (-len(x), min(x))))
+        return re.compile(f"{SPACE_MARK}*(?:{runs})|{SPACE_MARK}+|.", re.DOTALL)
+
+    def encoded(self, text: str) -> bytes:
+        """The ids of a text, as little-endian unsigned 32-bit integers."""
+        text = self.normalised(text)
         if not self.cuts or not self.bytes:
-            return list(self._ids(self.normalised(text)))
-        # no piece goes on over a mark, so texts are cut before each run of marks
-        out: list[int] = []
-        marks = ""
-        for i, part in enumerate(self.normalised(text).split(SPACE_MARK)):
-            marks += SPACE_MARK if i else ""
-            if part:
-                out += self._ids(marks + part)
-                marks = ""
-        return out + list(self._ids(marks)) if marks else out
+            return self._ids(text)
+        known, ids = self.known, self._ids
+        return b"".join([known.get(x) or ids(x) for x in self._stretches.findall(text)])
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.encoded(text), "<u4").tolist()
 
     @cached_property
     def outputs(self) -> list[bytes]:
@@ -194,10 +235,10 @@ def round_trip(docs: DataFrame, text_col: str = "text", model: str | None = None
         single = np.zeros(len(of.names), bool)
         single[list(of.bytes.values())] = True
         for text in texts:
-            ids = of.encode(text or "")
-            array = np.array(ids, "<u4")
-            rows.append((len(ids), int(single[array].sum()), zlib.crc32(array.tobytes()),
-                         hashlib.sha256(of.decode(ids).encode()).hexdigest()))
+            ids = of.encoded(text or "")
+            array = np.frombuffer(ids, "<u4")
+            rows.append((len(array), int(single[array].sum()), zlib.crc32(ids),
+                         hashlib.sha256(of.decode(array.tolist()).encode()).hexdigest()))
         return [list(x) for x in zip(*rows, strict=True)]
 
     return mapped(docs, text_col, {"n_ids": T.LongType(), "n_bytes": T.LongType(), "ids_crc32": T.LongType(),
