@@ -74,6 +74,18 @@ def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(docs[text_col]).cast("long"))).first()[0] or 0
 
 
+def id_bounds(docs: DataFrame, buckets: int) -> list[int]:
+    """Ids that cut the rows of docs (doc_id) into so many buckets of about the same size, or fewer.
+    Each is above the least key; rows without an id have the least there is."""
+    if buckets < 2:
+        return []
+    key = F.coalesce(F.col("doc_id"), F.lit(-(2**63)).cast("long"))
+    found = docs.agg(
+        F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], F.lit(max(10_000, 20 * buckets))).alias("cuts"),
+        F.min(key).alias("least")).first()
+    return sorted({b for b in found["cuts"] or [] if b > found["least"]})
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, parted by blanks and 0x09 to 0x0D."""
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
@@ -133,19 +145,22 @@ def mapped(docs: DataFrame, text_col: str, results: dict[str, T.DataType], run:
     kept = [c for c in docs.columns if c not in results]
     fields = [f for f in docs.schema.fields if f.name not in results]
     names = [f"c{i}" for i in range(len(kept))]
-    source = docs.select(*[docs[c].alias(n) for c, n in zip(kept, names, strict=True)],
-                         docs[text_col].cast("string").alias("text"))
+    passed = [docs[c].alias(n) for c, n in zip(kept, names, strict=True)]
+    # a text that passes through needn't be sent twice
+    there = kept.index(text_col) if text_col in kept and isinstance(docs.schema[text_col].dataType, T.StringType) else None
+    source = docs.select(*passed, *([docs[text_col].cast("string").alias("text")] if there is None else []))
+    at = len(kept) if there is None else there
     kinds = [to_arrow_type(kind) for kind in results.values()]
     schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, fields, strict=True)]
                           + [T.StructField(f"r{i}", kind) for i, kind in enumerate(results.values())])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for begin, end in runs_of(b["text"]):
+            for begin, end in runs_of(b.column(at)):
                 part = b.slice(begin, end - begin)
-                found = run(part["text"].to_pylist())
+                found = run(part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], *(pa.array(x, k) for x, k in zip(found, kinds, strict=True))],
+                    [*part.columns[: len(names)], *(pa.array(x, k) for x, k in zip(found, kinds, strict=True))],
                     [*names, *(f"r{i}" for i in range(len(kinds)))])
 
     out = source.mapInArrow(each, schema)
@@ -153,7 +168,7 @@ def mapped(docs: DataFrame, text_col: str, results: dict[str, T.DataType], run:
                       *[out[f"r{i}"].alias(c) for i, c in enumerate(results)])
 
 
-def runs_of(texts: pa.Array, most: int = 16 << 20) -> Iterator[tuple[int, int]]:
+def runs_of(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Runs of texts of at most so many bytes together; a longer text is a run of its own."""
     sizes = np.cumsum(np.asarray(pa.compute.binary_length(texts).fill_null(0)), dtype=np.int64)
     begin = 0

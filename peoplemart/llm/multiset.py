@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from peoplemart.llm.common import pieces, shuffle_tasks, text_bytes
+from peoplemart.llm.common import id_bounds, pieces, shuffle_tasks, text_bytes
 
 LANE_BITS = 14
 _ROOM = 16
@@ -98,10 +98,7 @@ def with_next(docs: DataFrame, columns: list[str], buckets: int) -> DataFrame:
     greatest first. Ids are dealt by their quantiles into buckets; the first row of a bucket follows
     the last of the bucket before as an extra row, so no task sees more than a bucket."""
     key = F.coalesce(F.col("doc_id"), F.lit(-(2**63)).cast("long"))
-    cuts = [i / buckets for i in range(1, buckets)] or [0.5]
-    found = docs.agg(F.percentile_approx("doc_id", cuts, F.lit(max(10_000, 20 * buckets))).alias("cuts"),
-                     F.min(key).alias("least")).first()
-    bounds = sorted({b for b in found["cuts"] or [] if b > found["least"]}) if buckets > 1 else []
+    bounds = id_bounds(docs, buckets)
     # bucket 0 has the greatest ids; every bucket has a row
     at = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b > key)) if bounds else F.lit(0)
     rows = docs.withColumn("_bucket", at.cast("int")).withColumn("_key", key)

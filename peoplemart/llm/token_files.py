@@ -17,18 +17,20 @@ from dataclasses import dataclass
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplemart.llm.common import SPACE, identified, pieces, runs_of, shared_folder, shipped, shuffle_tasks, text_bytes, text_buffer
+from peoplemart.llm.common import (
+    SPACE, id_bounds, identified, packed, pieces, runs_of, shared_folder, shipped, shuffle_tasks, text_buffer, text_bytes, unpacked)
+from peoplemart.sources.storage import removed
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 PART_BYTES = 16 << 20
 FILE_BYTES = 4 << 20
+MOST_PARTS = 4096
 #: Pieces of text whose ids a Python worker keeps, at most.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 MAGIC = b"FRVB"
 _HEAD = struct.Struct("<4sIQQQQ")
 
@@ -138,40 +140,52 @@ def encoder(path: str, end_id: int) -> Encoder:
     return _encoders[path, end_id]
 
 
-def packed_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of ranks (uint32)."""
+def packed_ranks(ranks: np.ndarray, lengths: np.ndarray) -> tuple[bytes, bytes, np.ndarray, np.ndarray]:
+    """Control bytes and data bytes of the ranks (uint32) of documents, and how many each document has.
+    A document's controls begin with a byte of their own."""
     more = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    padded[: len(ranks)] = more
-    fours = padded.reshape(-1, 4)
+    controls = -(-lengths // 4)
+    fours = np.zeros(4 * int(controls.sum()), np.uint8)
+    fours[_slots(lengths, controls)] = more
+    fours = fours.reshape(-1, 4)
     control = fours[:, 0] | fours[:, 1] << 2 | fours[:, 2] << 4 | fours[:, 3] << 6
     used = np.arange(4)[None, :] <= more[:, None]
-    return control.astype(np.uint8).tobytes(), ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[used].tobytes()
+    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[used]
+    ends = np.insert(np.cumsum(more.astype(np.int64) + 1), 0, 0)
+    at = np.insert(np.cumsum(lengths), 0, 0)
+    return control.astype(np.uint8).tobytes(), data.tobytes(), controls, np.diff(ends[at])
+
+
+def _slots(lengths: np.ndarray, controls: np.ndarray) -> np.ndarray:
+    """Which of the control bytes' quarters hold a rank: at a document's end some may not."""
+    spare = np.cumsum(4 * controls - lengths) - (4 * controls - lengths)
+    return np.arange(int(lengths.sum())) + np.repeat(spare, lengths)
 
 
 #: The numbers of bytes of four ranks, by control byte.
-_SIZES = 1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3)
+_SIZES = (1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3)).astype(np.uint8)
 _KEEP = np.array([0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
-def unpacked_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
-    size = _SIZES[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
+def unpacked_ranks(control: bytes, data: bytes, lengths: np.ndarray) -> np.ndarray:
+    if not lengths.sum():
+        return np.zeros(0, np.uint32)
+    size = _SIZES[np.frombuffer(control, np.uint8)].reshape(-1)[_slots(lengths, -(-lengths // 4))].astype(np.int64)
     start = np.cumsum(size) - size
     padded = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
     words = padded[:-3] | padded[1:-2] << 8 | padded[2:-1] << 16 | padded[3:] << 24
-    return words[start] & _KEEP[size - 1] if n else np.zeros(0, np.uint32)
+    return words[start] & _KEEP[size - 1]
 
 
-def file_content(doc_ids: list[int | None], tokens: Tokens, rank_of: np.ndarray) -> bytes:
-    control, data = packed_ranks(rank_of[tokens.ids])
+def file_content(doc_ids: list[int | None], lengths: np.ndarray, control: bytes, data: bytes) -> bytes:
     ids = np.array([x or 0 for x in doc_ids], "<i8").tobytes()
     missing = np.packbits([x is None for x in doc_ids]).tobytes()
-    head = _HEAD.pack(MAGIC, 1, len(doc_ids), len(tokens.ids), len(control), len(data))
-    return b"".join([head, ids, missing, tokens.lengths.astype("<u8").tobytes(), control, data])
+    head = _HEAD.pack(MAGIC, 1, len(doc_ids), int(lengths.sum()), len(control), len(data))
+    return b"".join([head, ids, missing, lengths.astype("<u8").tobytes(), control, data])
 
 
 def from_file(content: bytes, id_of: np.ndarray) -> tuple[list[int | None], Tokens]:
-    magic, version, docs, n, n_control, n_data = _HEAD.unpack_from(content)
+    magic, version, docs, _, n_control, n_data = _HEAD.unpack_from(content)
     if magic != MAGIC or version != 1:
         raise ValueError("not a token file")
     at = _HEAD.size
@@ -180,23 +194,43 @@ def from_file(content: bytes, id_of: np.ndarray) -> tuple[list[int | None], Toke
     at += 8 * docs - (-docs // 8)
     lengths = np.frombuffer(content, "<u8", docs, at).astype(np.int64)
     at += 8 * docs
-    ranks = unpacked_ranks(content[at: at + n_control], content[at + n_control: at + n_control + n_data], n)
+    ranks = unpacked_ranks(content[at: at + n_control], content[at + n_control: at + n_control + n_data], lengths)
     return [None if m else int(i) for i, m in zip(ids, missing, strict=True)], Tokens(id_of[ranks], lengths)
 
 
-def ids_by_frequency(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int, vocabulary: int) -> np.ndarray:
-    """Every id of the vocabulary (a bounded number), the most frequent first, then the smaller."""
+_RAW = "doc_ids array<long>, lengths array<long>, ids binary"
+
+
+def _one(values: list[tuple[str, object, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], kind) for _, v, kind in values], [n for n, *_ in values])
+
+
+def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
+    """The ids of runs of documents, in no order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, own = np.zeros(vocabulary, np.int64), encoder(path, end_id)
+        own = encoder(path, end_id)
         for b in batches:
             for begin, end in runs_of(b["text"], PART_BYTES // 2):
-                total += np.bincount(own.encode(b["text"].slice(begin, end - begin)).ids, minlength=vocabulary)
+                part = b.slice(begin, end - begin)
+                tokens = own.encode(part["text"])
+                yield _one([("doc_ids", part["doc_id"].to_pylist(), pa.list_(pa.int64())),
+                            ("lengths", tokens.lengths, pa.list_(pa.int64())), ("ids", packed(tokens.ids), pa.binary())])
+
+    return identified(docs, id_col, text_col).mapInArrow(run, _RAW)
+
+
+def ids_by_frequency(raw: DataFrame, vocabulary: int) -> np.ndarray:
+    """Every id of the vocabulary (a bounded number), the most frequent first, then the smaller."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(vocabulary, np.int64)
+        for b in batches:
+            for ids in b["ids"]:
+                total += np.bincount(unpacked(ids.as_py(), np.uint32), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
     counts = np.zeros(vocabulary, np.int64)
-    for row in identified(docs, id_col, text_col).select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(
-            F.sum("n").alias("n")).collect():
+    for row in raw.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[row.id] = row.n
     return np.lexsort((np.arange(vocabulary), -counts)).astype(np.uint32)
 
@@ -204,7 +238,7 @@ def ids_by_frequency(docs: DataFrame, id_col: str, text_col: str, path: str, end
 def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
           end_id: int = END_ID) -> None:
     """Writes files (part, number, before, n_ids, content) to folder/files and the ids by rank to
-    folder/ranks. Documents go by ascending id, those without one first, rows of one id by their text.
+    folder/ranks. Documents go by ascending id, those without one first, rows of one id by their ids.
     before counts the ids of the part's files before. NULL texts have no token but the end."""
     from tokenizers import Tokenizer
 
@@ -212,29 +246,54 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
     shipped(spark)
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     vocabulary = max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1)
-    id_of = ids_by_frequency(docs, id_col, text_col, path, end_id, vocabulary)
+    # texts are encoded once; the ranks are known when all are
+    _encoded(docs, id_col, text_col, path, end_id).write.option("compression", "none").parquet(f"{folder}/raw")
+    raw = spark.read.schema(_RAW).parquet(f"{folder}/raw")
+    id_of = ids_by_frequency(raw, vocabulary)
     rank_of = np.empty(vocabulary, np.uint32)
     rank_of[id_of] = np.arange(vocabulary, dtype=np.uint32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, number, own = 0, 0, encoder(path, end_id)
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for begin, end in runs_of(b["text"], FILE_BYTES):
-                part = b.slice(begin, end - begin)
-                tokens = own.encode(part["text"])
-                content = file_content(part["doc_id"].to_pylist(), tokens, rank_of)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x], kind) for x, kind in ((TaskContext.get().partitionId(), pa.int32()), (number, pa.int32()),
-                                                         (before, pa.int64()), (len(tokens.ids), pa.int64()), (content, pa.binary()))],
-                    ["part", "number", "before", "n_ids", "content"])
-                before += len(tokens.ids)
-                number += 1
-
-    parts = max(shuffle_tasks(spark), pieces(text_bytes(docs, text_col), PART_BYTES))
-    files = identified(docs, id_col, text_col).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(
-        run, "part int, number int, before long, n_ids long, content binary")
-    files.write.parquet(f"{folder}/files")
+            for doc_ids, lengths, ids in zip(b["doc_ids"], b["lengths"], b["ids"], strict=True):
+                lengths = np.array(lengths.as_py(), np.int64)
+                control, data, *sizes = packed_ranks(rank_of[unpacked(ids.as_py(), np.uint32)], lengths)
+                cut = [pa.Array.from_buffers(pa.binary(), len(lengths), [
+                    None, pa.py_buffer(np.insert(np.cumsum(n), 0, 0).astype(np.int32)), pa.py_buffer(x)])
+                    for x, n in zip((control, data), sizes, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids.as_py(), pa.int64()), pa.array(lengths), *cut],
+                                                 ["doc_id", "n_ids", "control", "data"])
+
+    def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, before, held, size = None, 0, 0, [], 0
+
+        def file() -> pa.RecordBatch:
+            lengths = np.array([n for _, n, *_ in held], np.int64)
+            content = file_content([i for i, *_ in held], lengths, b"".join(x[2] for x in held), b"".join(x[3] for x in held))
+            return _one([("part", part, pa.int32()), ("number", number, pa.int32()), ("before", before, pa.int64()),
+                         ("n_ids", int(lengths.sum()), pa.int64()), ("content", content, pa.binary())])
+
+        for b in batches:
+            for own, *row in zip(*(b[c].to_pylist() for c in ("part", "doc_id", "n_ids", "control", "data")), strict=True):
+                if held and (own != part or size > FILE_BYTES):
+                    yield file()
+                    number, before = (number + 1, before + sum(x[1] for x in held)) if own == part else (0, 0)
+                    held, size = [], 0
+                part = own
+                held.append(row)
+                size += len(row[2]) + len(row[3])
+        if held:
+            yield file()
+
+    parts = min(MOST_PARTS, max(shuffle_tasks(spark), pieces(text_bytes(docs, text_col), PART_BYTES)))
+    bounds = id_bounds(docs.select(docs[id_col].cast("long").alias("doc_id")), parts)
+    key = F.coalesce(F.col("doc_id"), F.lit(-(2**63)).cast("long"))
+    at = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b <= key)) if bounds else F.lit(0)
+    rows = raw.mapInArrow(ranked, "doc_id long, n_ids long, control binary, data binary").withColumn("part", at.cast("int"))
+    rows.repartition(parts, "part").sortWithinPartitions("part", "doc_id", "n_ids", "data").mapInArrow(
+        filed, "part int, number int, before long, n_ids long, content binary").write.parquet(f"{folder}/files")
     spark.createDataFrame([(id_of.tobytes(),)], "ids binary").write.parquet(f"{folder}/ranks")
+    removed(spark, f"{folder}/raw")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -243,7 +302,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     shipped(spark)
     id_of = np.frombuffer(spark.read.parquet(f"{folder}/ranks").first()["ids"], np.uint32)
     files = spark.read.parquet(f"{folder}/files")
-    # a row for each part: as many as the job that wrote them had tasks
+    # a row for each part, MOST_PARTS at most
     totals = {r.part: r.n for r in files.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
     starts, so_far = {}, 0
     for part in sorted(totals):
