@@ -25,7 +25,7 @@ from peoplemart.llm.common import SPACE, mixed, pieces, shipped, shuffle_tasks,
 BLOCK_BYTES = 4 << 20
 LEAST_PIECE = 1 << 10
 #: Of one run of the array operations below.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 MESSAGE = "block int, segment int, payload binary"
 
 

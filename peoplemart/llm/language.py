@@ -182,8 +182,8 @@ def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, rows: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = []
-            for text in b["text"].to_pylist():
-                own = words_in(text)
+            for text in b["text"]:
+                own = words_in(text.as_py())
                 found.append([own[i * len(own) // words] for i in range(words)] if len(own) > words else own)
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], b["label"], pa.array([b" ".join(x[:LONGEST] for x in own) for own in found])], ["doc_id", "label", "words"])

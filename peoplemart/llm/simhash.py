@@ -10,7 +10,7 @@ variant of the rest are left, so every meeting is bounded and no link is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ MOST_TOGETHER = 2048
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     """Of the words of a UTF-8 text: bit by bit, whether over half of the shingles' hashes have it."""
-    return int(_fingerprints([text], shingle)[0])
+    return int(_fingerprints([text], 1, shingle)[0])
 
 
 def _hashes(text: bytes, shingle: int) -> list[int]:
@@ -45,8 +45,8 @@ def _hashes(text: bytes, shingle: int) -> list[int]:
     return [digest(joined[b:e], 42) for b, e in zip(begins, (ends[shingle - 1:] - 1).tolist(), strict=True)]
 
 
-def _fingerprints(texts: list[bytes], shingle: int) -> np.ndarray:
-    out = np.zeros(len(texts), np.uint64)
+def _fingerprints(texts: Iterable[bytes], n: int, shingle: int) -> np.ndarray:
+    out = np.zeros(n, np.uint64)
     weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
     for i, text in enumerate(texts):
         hashes = np.array(_hashes(text, shingle), np.uint64)
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = _fingerprints([t.encode() for t in b["text"].to_pylist()], shingle)
+            found = _fingerprints((t.as_py().encode() for t in b["text"]), len(b), shingle)
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
     return identified(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
