@@ -13,6 +13,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -26,10 +27,15 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
 _SIGN = re.compile(r":=|=>|[:=](?![=:/])")
-_NAME_BEFORE = re.compile(r"""(["']?)([A-Za-z_][A-Za-z0-9_.-]{0,99})\1[ \t]*\Z""")
+_WORD = r"[A-Za-z_][A-Za-z0-9_.-]{0,99}"
+_NAME_BEFORE = re.compile(rf"""(["']?)({_WORD})\1[ \t]*\Z""")
+_SUBSCRIPT = re.compile(rf"""\[[ \t]*(["']?)({_WORD})\1[ \t]*\][ \t]*\Z""")
+_TYPE = r"(?:&(?:'\w+ )?)?[A-Za-z_][A-Za-z0-9_.]*(?:\[[^\]\n=]{0,60}\]{1,3}|<[^>\n=]{0,60}>{1,3})?(?:\[\])*\??"
+_ANNOTATED = re.compile(
+    rf"""(?:(["']?)({_WORD})\1\??[ \t]*:[ \t]*|(?:var|const)[ \t]+({_WORD})[ \t]+){_TYPE}(?:[ \t]*\|[ \t]*{_TYPE}){{0,5}}[ \t]*\Z""", re.ASCII)
 _TERM = re.compile(
-    r"""[ \t]*(?:\+[ \t]*)?(?:"((?:[^"\\\n]|\\.){0,4096})"|'((?:[^'\\\n]|\\.){0,4096})'|\$\{([A-Za-z_][A-Za-z0-9_.-]{0,99})\}"""
-    r"""|([A-Za-z0-9+/_.=~!@%^*-]{1,4096}))""")
+    rf"""[ \t]*(?:\+[ \t]*)?(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|\$\{{({_WORD})\}}"""
+    r"""|([A-Za-z0-9+/_.=~!@%^*-]++))""")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
 _SENSITIVE = re.compile(
     r"pass(?:wor|phras|w)?d?e?\Z|pwd|secret|token|api[_.-]?key|access[_.-]?key|private[_.-]?key|credential|auth[_.-]?key|encryption[_.-]?key",
@@ -38,6 +44,8 @@ _PLACEHOLDER = re.compile(r"<.*>|\$.*|x+|\*+|\.+|none|null|true|false|example|ch
 #: Least score of a literal, and its least length.
 LEAST_SCORE = 0.5
 LEAST_LENGTH = 6
+#: Of a value, enough of its beginning to tell placeholders.
+_HEAD = 12
 
 Span = tuple[int, int, str]
 
@@ -50,53 +58,152 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def _expression(text: str, at: int) -> list[tuple[int, int, str, str | None]]:
-    """The terms from at on: begin, end and value of a literal, and the name if it may be one."""
-    terms = []
-    while len(terms) < 64 and (m := _TERM.match(text, at)):
-        if terms and "+" not in text[at: m.start(m.lastindex)] and m.lastindex == 4:
-            break  # a bare word goes on the sentence, not the value
-        value = m[m.lastindex]
-        name = value if m.lastindex == 3 or m.lastindex == 4 and _NAME.match(value) else None
-        terms.append((m.start(m.lastindex), m.end(m.lastindex), value, name))
-        at = m.end()
-    return terms
+@dataclass(eq=False)
+class Value:
+    """What an expression or a part of it comes to: how often each sign occurs, and where its literals stand."""
+    counts: Counter
+    length: int
+    head: str
+    last: str
+    parts: list[tuple[int, int] | Value]
+    #: By way of another name.
+    by_name: bool = False
+    gathered: bool = False
 
+    @staticmethod
+    def of(value: str, begin: int = 0, counts: Counter | None = None, end: int | None = None) -> Value:
+        """Of a literal; with counts and end, value is its beginning only, or more."""
+        whole = counts is None
+        counts, end = (Counter(value), begin + len(value)) if whole else (counts, end)
+        return Value(counts, end - begin, value[:_HEAD], value[-1:], [(begin, end)])
 
-def assignments(text: str) -> list[tuple[str, list[tuple[int, int, str, str | None]]]]:
-    """The names that are given something, with the terms of it, in the order of the text."""
-    found = []
-    for sign in _SIGN.finditer(text):
-        name = _NAME_BEFORE.search(text, max(0, sign.start() - 120), sign.start())
-        if name and (terms := _expression(text, sign.end())):
-            found.append((name[2], terms))
+    @staticmethod
+    def joined(first: Value, rest: Value | None) -> Value:
+        if rest is None:
+            return first
+        return Value(first.counts + rest.counts, first.length + rest.length, (first.head + rest.head)[:_HEAD],
+                     rest.last or first.last, [first, rest], first.by_name or rest.by_name)
+
+    def score(self, name: str) -> float:
+        if self.length < LEAST_LENGTH or not _SENSITIVE.search(name):
+            return 0.0
+        folded = {c.lower() for c in self.counts}
+        short = self.head if self.length <= _HEAD else folded.pop() * _HEAD if len(folded) == 1 else f"{self.head}\0{self.last}"
+        if _PLACEHOLDER.fullmatch(short):
+            return 0.0
+        if self.by_name and self.counts[" "] == 1 and all(c == " " or c.isalpha() for c in self.counts):
+            return 0.0  # two plain words that a name stands for are a label
+        bits = -sum(n / self.length * math.log2(n / self.length) for n in self.counts.values())
+        kinds = (any("a" <= c <= "z" for c in self.counts) + any("A" <= c <= "Z" for c in self.counts)
+                 + any("0" <= c <= "9" for c in self.counts)
+                 + any(not (c.isascii() and c.isalnum()) for c in self.counts))
+        return min(1.0, 0.2 + 0.1 * kinds + 0.1 * bits)
+
+    def gather(self, found: set[Span]) -> None:
+        """Adds where the literals stand, once for each value."""
+        left = [self]
+        while left:
+            value = left.pop()
+            if not value.gathered:
+                value.gathered = True
+                for part in value.parts:
+                    if isinstance(part, Value):
+                        left.append(part)
+                    elif part[1] > part[0]:
+                        found.add((*part, "literal"))
+
+
+class _Lexer:
+    """Expressions of one text. What follows a term is read once, however many expressions it ends, and so
+    is a bare value in which further signs stand."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.constants: dict[str, Value] = {}
+        self.rests: dict[int, Value | None] = {}
+        self.run = (0, 0)
+        self.ends: dict[int, Counter] = {}
+
+    def _term(self, at: int, first: bool) -> tuple[Value, int] | None:
+        begin = at + (self.text[at: at + 1] == "+")
+        if first and self.run[0] < at and begin < self.run[1]:
+            return self._bare(begin), self.run[1]
+        m = _TERM.match(self.text, at)
+        if not m:
+            return None
+        begin, kind = m.start(m.lastindex), m.lastindex
+        if kind == 4 and not first and "+" not in self.text[at: begin]:
+            return None  # a bare word goes on the sentence, not the value
+        value = m[kind]
+        if (kind == 3 or kind == 4 and _NAME.match(value)) and value in self.constants:
+            known = self.constants[value]
+            return Value(known.counts, known.length, known.head, known.last, [known], True), m.end()
+        if kind == 4 and first:
+            self.run, self.ends = m.span(4), {}
+            return self._bare(begin), m.end()
+        return Value.of(value, begin), m.end()
+
+    def _bare(self, begin: int) -> Value:
+        """From begin to the end of the run: the counts after each sign in the run are made at once, from its end."""
+        if begin not in self.ends:
+            stops = sorted({begin, *(s.end() + (self.text[s.end(): s.end() + 1] == "+")
+                                     for s in _SIGN.finditer(self.text, begin, self.run[1]))})
+            counts, right = Counter(), self.run[1]
+            for stop in reversed([s for s in stops if s <= self.run[1]]):
+                counts = counts + Counter(self.text[stop: right])
+                self.ends[stop], right = counts, stop
+        value = Value.of(self.text[begin: begin + _HEAD], begin, self.ends[begin], self.run[1])
+        value.last = self.text[self.run[1] - 1: self.run[1]]
+        return value
+
+    def expression(self, at: int) -> Value | None:
+        """The terms from at on, as one value."""
+        first = self._term(at, True)
+        if first is None:
+            return None
+        value, at = first
+        found = []
+        while at not in self.rests and (term := self._term(at, False)):
+            found.append((at, term[0]))
+            at = term[1]
+        rest = self.rests.setdefault(at, None)
+        for begin, term in reversed(found):
+            rest = self.rests[begin] = Value.joined(term, rest)
+        return Value.joined(value, rest)
+
+
+def names_before(text: str, sign: int) -> list[str]:
+    """What a sign gives something to: the name or the subscript before it, and the name before a type."""
+    least = max(0, sign - 400)
+    near = max(0, sign - 120)
+    name = _NAME_BEFORE.search(text, near, sign) or _SUBSCRIPT.search(text, near, sign)
+    found = [name[2]] if name else []
+    line = text[max(least, text.rfind("\n", least, sign) + 1): sign]
+    if (":" in line or "var" in line or "const" in line) and (typed := _ANNOTATED.search(line)):
+        found.append(typed[2] or typed[3])
     return found
 
 
 def score(name: str, value: str) -> float:
     """0 to 1: how sure a value is a secret, of a name that says so. Other names' values score 0."""
-    if len(value) < LEAST_LENGTH or not _SENSITIVE.search(name) or _PLACEHOLDER.fullmatch(value) or " " in value:
-        return 0.0
-    counts = Counter(value)
-    bits = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, 0.2 + 0.1 * kinds + 0.1 * bits)
+    return Value.of(value).score(name)
 
 
 def literal_spans(text: str, least_score: float = LEAST_SCORE) -> list[Span]:
     """begin, end and kind of the literals that reach a sensitive name, directly or as constants."""
     if "=" not in text and ":" not in text:
         return []
-    constants: dict[str, list[tuple[int, int, str]]] = {}
+    lexer = _Lexer(text)
     found: set[Span] = set()
-    for name, terms in assignments(text):
-        literals: list[tuple[int, int, str]] = []
-        for begin, end, value, ref in terms:
-            literals += constants[ref] if ref in constants else [(begin, end, value)]
-        literals = literals[:64]
-        if score(name, "".join(v for *_, v in literals)) >= least_score:
-            found |= {(b, e, "literal") for b, e, v in literals if e > b}
-        constants[name] = literals
+    for sign in _SIGN.finditer(text):
+        names = names_before(text, sign.start())
+        value = lexer.expression(sign.end()) if names else None
+        if value is None:
+            continue
+        if any(value.score(name) >= least_score for name in names):
+            value.gather(found)
+        for name in names:
+            lexer.constants[name] = value
     return sorted(found)
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -184,6 +185,33 @@ def test_literals_reach_names_through_constants():
     assert base == [] and secret_scan.redacted(text, every).count("[secret]") == 3
 
 
+def test_literals_of_any_length_and_names_of_any_form():
+    def told(text):
+        return [text[b:e] for b, e, _ in secret_scan.literal_spans(text)]
+
+    long = "".join(random.Random(4).choices("abcXYZ0189+/", k=5000))
+    assert told(f'private_key = "{long}"') == told(f"pwd = '{long}'") == told(f"credential = {long}\n") == [long]
+    pieces = [f"p{i}Q" for i in range(100)]
+    assert sorted(told("token = " + " + ".join(f'"{p}"' for p in pieces))) == sorted(pieces)
+    names = "".join(f'c{i} = "{p}"\n' for i, p in enumerate(pieces))
+    assert sorted(told(names + "token = " + " + ".join(f"c{i}" for i in range(100)))) == sorted(pieces)
+    key = r"-----BEGIN PRIVATE KEY-----\nMIIEvQ\n-----END PRIVATE KEY-----\n"
+    assert told('{"private_key": "' + key + '"}') == [key]
+    assert told('passphrase = "correct horse battery staple"') == ["correct horse battery staple"]
+    assert told('config["password"] = "Zx81!qrs"') == told('os.environ["API_KEY"] = "Zx81!qrs"') == ["Zx81!qrs"]
+    assert told('password: str = "Zx81!qrs"') == told('secret: dict[str, str] | None = "Zx81!qrs"') == ["Zx81!qrs"]
+    assert told('let token: &str = "Zx81!qrs"') == told('var password string = "Zx81!qrs"') == ["Zx81!qrs"]
+    assert told('config["label"] = "Zx81!qrs"') == told('password: "changeme"') == []
+
+
+def test_long_lines_of_signs_in_linear_time():
+    for text in ("token=" * 50_000, 'a = "x=1" + ' * 20_000, "a0 = 'Zx81!q'\n" + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(300)) + "pwd = a300"):
+        begin = time.monotonic()
+        secret_scan.literal_spans(text)
+        assert time.monotonic() - begin < 20
+    assert secret_scan.literal_spans(text) == [(6, 12, "literal")]
+
+
 def test_secret_columns(spark):
     rows = [(1, None), (2, ""), (3, "é token = abcdef0123 x"), (3, "é token = abcdef0123 x"), (None, "x" * 200_000 + " secret: Q1w2e3r4")]
     got = {(r.doc_id, r.n_assign, r.spans, (r.redacted_text or "")[-12:]) for r in secret_scan.secrets(cases.frame(spark, rows)).collect()}
