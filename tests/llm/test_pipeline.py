@@ -3,8 +3,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from peoplemart.llm import language
+from tests.conftest import SMALL
 from tests.llm import cases
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -43,3 +46,22 @@ def test_near_copies_against_all_pairs(spark):
             break
     got = {r.doc_id for r in STAGES["near_dedup"](spark, frame(spark, rows), "").collect()}
     assert got == set(root.values())
+
+
+@pytest.mark.parametrize("labels", [["en", "de", "fr", "es"], ["en", "de"]])
+def test_texts_of_no_learned_language_go(spark, labels):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").filter(F.col("lang").isin(labels))
+    rng = random.Random(1)
+    letters = lambda signs, n: "".join(rng.choice(signs) for _ in range(n))
+    odd = [" ".join(letters("bcdfghjklmnpqrstvwxz", rng.randint(2, 10)) for _ in range(60)),
+           "девочка идет через лес и видит большую птицу которая летит над деревьями к воде",
+           "dziewczyna idzie przez las i widzi wielkiego ptaka który leci nad drzewami w stronę wody"]
+    rows = docs.unionAll(frame(spark, [(10**6 + i, t) for i, t in enumerate(odd)]))
+    kept = {r.doc_id for r in STAGES["language_id"](spark, rows, SMALL).collect()}
+    clean = {r.doc_id for r in docs.collect()}
+    print(labels, sorted(i for i in kept if i >= 10**6), len(clean - kept))
+    assert len(clean - kept) <= 0.01 * len(clean)
+    if len(labels) == 4:
+        assert kept <= clean
+    network = language.trained(*language.sample(docs, "doc_id", "text", "lang"))
+    assert 1 / len(labels) + 0.1 < corpus_pipeline.least_language_score(network, docs) < 0.95
