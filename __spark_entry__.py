@@ -284,7 +284,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = library_queries()
     if corpus_queries:
-        found |= corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+        found |= corpus_queries.QUERIES | corpus_queries.FURTHER | {"pipeline": corpus_pipeline.run}
     return found
 
 

@@ -77,6 +77,12 @@ def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", F.round("score", 6).alias("score"))
 
 
+def op9_lm_scores_longer(spark: SparkSession, folder: str) -> DataFrame:
+    """Of contexts of two words too, by three words in a row, which the SQL of op9_lm_scores doesn't state."""
+    found = ngram_scores.scored(table(spark, folder, "documents"), order=3)
+    return found.select("doc_id", "n_words", F.round("score", 6).alias("score"))
+
+
 LM_SQL = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -118,4 +124,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scores": op9_lm_scores,
     "op10_secret_scan": op10_secret_scan,
 }
+#: Of the same operators, over more than their queries' SQL states.
+FURTHER: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op9_lm_scores_longer": op9_lm_scores_longer}
 ORACLE_SQL = {"op8_substring_dedup": SUBSTRING_SQL, "op9_lm_scores": LM_SQL}

@@ -9,7 +9,7 @@ import corpus_pipeline
 from peoplemart.llm.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SMALL
 from tests.llm import cases
-from tests.llm.test_counting import without_repeats
+from tests.llm.test_counting import scores, without_repeats
 from verification.compare import compare
 
 
@@ -24,6 +24,15 @@ def test_same_rows(spark, name):
     assert compare(spark, SMALL, [name]) == []
 
 
+def test_longer_contexts_are_registered(spark):
+    """Scores by up to three words in a row, held against plain Python."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    got = registered.queries()["op9_lm_scores_longer"](spark, SMALL).collect()
+    expected = sorted((i, n, s) for (i, _), (n, s) in zip(rows, scores(rows, 3), strict=True))
+    assert [(i, n) for i, n, _ in sorted(map(tuple, got))] == [(i, n) for i, n, _ in expected]
+    assert [s for *_, s in sorted(map(tuple, got))] == pytest.approx([s for *_, s in expected], abs=2e-6)
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     given = {r.doc_id: r.text for r in docs.collect()}
