@@ -25,9 +25,9 @@ LEAST_DOCUMENTS = 30
 TOP_TERMS = 50
 SMOOTHING = 5
 SCALE = 1_000_000_000
-#: Counts of a task are passed on when it holds so many terms, corrections when it holds so many.
+#: Counts of a task are passed on when it holds so many terms, sums of pairs when they are of so many sources.
 MOST_TERMS = 200_000
-MOST_CORRECTIONS = 500_000
+MOST_SOURCES = 2048
 _WIDE = "decimal(38,0)"
 #: Letters A-Z become small, all else of ASCII parts terms, and bytes of other characters belong to terms.
 _FOLD = bytes(c if c >= 0x80 or 0x61 <= c <= 0x7A else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
@@ -93,70 +93,67 @@ def corrections(paths: DataFrame, tasks: int) -> DataFrame:
     shipped(paths.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: dict[str, int] = {}
-        found: list[tuple[np.ndarray, int, np.ndarray]] = []
-        held, lang = 0, None
-        # the path from the root to the row at hand, by depth
-        items: list[tuple] = []
-        terms: list[int] = []
-        columns = np.zeros((3, 64), np.int64)  # number of the source, p, base
-
-        def left(depth: int) -> None:
-            """Leaves the nodes below depth: each has now seen all its terms."""
-            nonlocal held
-            while len(items) > depth:
-                items.pop()
-                n, d = terms.pop(), len(items)
-                if terms:
-                    terms[-1] += n
-                    source, p, base = columns[:, d]
-                    shared = np.minimum(columns[1, :d], p) - np.maximum(columns[2, :d], base)
-                    found.append((columns[0, :d].copy(), int(source), -2 * n * np.maximum(shared, 0)))
-                    held += d
+        lang, names, depth = None, {}, 0
+        # the path from the root to the row at hand: number of the source, n, p, base, and terms that have ended at or below
+        path = np.zeros((5, 64), np.int64)
+        sums = np.zeros((64, 64), np.int64)  # by number of the ancestor's source and of the node's
+
+        def leave(upto: int) -> None:
+            """Leaves the nodes at depth upto and below it: each has now seen all its terms."""
+            nonlocal depth
+            source, _, p, base, terms = path[:, :depth]
+            terms[upto:] = np.cumsum(terms[upto:][::-1])[::-1]
+            if upto < depth:
+                shared = np.minimum(p[:, None], p[upto:]) - np.maximum(base[:, None], base[upto:])
+                above = np.arange(depth)[:, None] < np.arange(upto, depth)
+                # the sources of a path differ
+                sums[np.ix_(source, source[upto:])] -= 2 * np.where(above, np.maximum(shared, 0), 0) * terms[upto:]
+                if upto:
+                    terms[upto - 1] += terms[upto]
+            depth = upto
 
         def summed() -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            if not found:
-                return
-            upper = np.concatenate([a for a, _, _ in found])
-            lower = np.repeat([b for _, b, _ in found], [len(a) for a, _, _ in found])
-            pairs, which = np.unique(upper * len(names) + lower, return_inverse=True)
-            sums = np.zeros(len(pairs), np.int64)
-            np.add.at(sums, which, np.concatenate([v for _, _, v in found]))
+            leave(0)
+            upper, lower = np.nonzero(sums)
             known = np.array(list(names), object)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(pairs), pa.string()), pa.array(known[pairs // len(names)], pa.string()),
-                 pa.array(known[pairs % len(names)], pa.string()), pa.array(sums)], ["lang", "a", "b", "correction"])
-            found.clear()
-            held = 0
+            if len(upper):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(upper), pa.string()), pa.array(known[upper], pa.string()), pa.array(known[lower], pa.string()),
+                     pa.array(sums[upper, lower])], ["lang", "a", "b", "correction"])
+            names.clear()
+            sums[:] = 0
 
         for batch in batches:
-            for own, path, n in zip(*(batch[c].to_pylist() for c in ("lang", "path", "terms")), strict=True):
-                if own != lang:
-                    left(0)
+            items = batch["path"].flatten()
+            at = np.asarray(batch["path"].offsets) - batch["path"].offsets[0].as_py()
+            sources = items.field("source").dictionary_encode()
+            texts, which = sources.dictionary.to_pylist(), np.asarray(sources.indices)
+            values = np.stack([np.asarray(items.field(name)) for name in ("n", "p", "base")])
+            for i, (own, n) in enumerate(zip(batch["lang"].to_pylist(), batch["terms"].to_pylist(), strict=True)):
+                begin, length = at[i], at[i + 1] - at[i]
+                used = [texts[k] for k in which[begin: at[i + 1]]]
+                if own != lang or len(names) + sum(text not in names for text in used) > max(MOST_SOURCES, length):
                     yield from summed()
-                    names.clear()
                     lang = own
-                path = [(x["source"], x["n"], x["p"], x["base"]) for x in path]
-                common = 0
-                while common < min(len(items), len(path)) and items[common] == path[common]:
-                    common += 1
-                left(common)
-                if len(path) > columns.shape[1]:
-                    columns = np.pad(columns, ((0, 0), (0, len(path))))
-                for d in range(common, len(path)):
-                    source, _, p, base = path[d]
-                    columns[:, d] = names.setdefault(source, len(names)), p, base
-                    items.append(path[d])
-                    terms.append(0)
-                terms[-1] += n
-                if held >= MOST_CORRECTIONS:
-                    yield from summed()
-        left(0)
+                for text in used:
+                    names.setdefault(text, len(names))
+                if length > path.shape[1]:
+                    path = np.pad(path, ((0, 0), (0, length)))
+                if len(names) > len(sums):
+                    sums = np.pad(sums, (0, len(names)))
+                row = np.vstack([[names[text] for text in used], values[:, begin: at[i + 1]], np.zeros(length, np.int64)])
+                least = min(depth, length)
+                differs = np.flatnonzero((path[:2, :least] != row[:2, :least]).any(0))
+                common = int(differs[0]) if len(differs) else least
+                leave(common)
+                path[:, common: length] = row[:, common:]
+                depth = length
+                path[4, length - 1] += n
         yield from summed()
 
-    # rows of one path's beginning are neighbours; a cut between ranges costs the nodes on one path at most
-    forest = paths.repartitionByRange(tasks, "lang", "path").sortWithinPartitions("lang", "path")
+    # Rows of one path's beginning are neighbours; a cut between ranges costs the nodes on one path at most. The first
+    # items tell ranges apart, and a hash where very many terms begin alike.
+    forest = paths.repartitionByRange(tasks, "lang", F.slice("path", 1, 3), F.xxhash64("path")).sortWithinPartitions("lang", "path")
     return forest.mapInArrow(run, "lang string, a string, b string, correction long").groupBy("lang", "a", "b").agg(
         F.sum("correction").alias("correction"))
 

@@ -142,7 +142,7 @@ def plain_audit(rows, least):
 @pytest.mark.parametrize("least", [1, 3, 30])
 def test_audit_agrees_with_all_pairs(spark, least, monkeypatch):
     monkeypatch.setattr(divergence, "MOST_TERMS", 50)
-    monkeypatch.setattr(divergence, "MOST_CORRECTIONS", 40)
+    monkeypatch.setattr(divergence, "MOST_SOURCES", 3)
     rows = awkward_documents() + [(900, "ÀÉ àé STRASSE straße x_y-z 12", "en", "a"), (901, "only here", "fr", None)]
     found = divergence.audit(documents(spark, rows), least_documents=least)
     assert found.columns == ["lang", "source", "part", "item", "value", "rank"]
