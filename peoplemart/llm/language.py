@@ -176,8 +176,10 @@ def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, rows: in
     # no task sees all rows of a frequent label: each of its parts offers a share
     order = Window.partitionBy("label", "part").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = known.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(SAMPLE_PARTS))).withColumn(
-        "turn", F.row_number().over(order)).filter(F.col("turn") <= pieces(rows, SAMPLE_PARTS)).orderBy(
-        "turn", "part", "label").limit(rows).select("doc_id", "label").distinct()
+        "turn", F.row_number().over(order)).filter(F.col("turn") <= pieces(rows, SAMPLE_PARTS))
+    # of what a label's parts offer, about `rows` rows, each label gives one in turn
+    chosen = chosen.withColumn("turn", F.row_number().over(Window.partitionBy("label").orderBy("turn", "part", "doc_id"))).orderBy(
+        "turn", "label").limit(rows).select("doc_id", "label").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
