@@ -1,10 +1,10 @@
 """Fingerprints of documents as multisets of paragraphs, by DataFrame functions alone.
 
-Each paragraph is hashed to a wide vector of small lanes; a fingerprint is the vectors' sum, lane by
-lane modulo a power of two. So it doesn't depend on the paragraphs' order, and paragraphs are put in
-or taken out by adding or subtracting theirs. 32 lanes hold hash bits and tell texts apart; 128 lanes
-hold a bit each, as plus or minus one: the sums' cosine estimates the likeness of two multisets. Four
-lanes of 14 bits share a 64-bit word, with room between them for the carry.
+Each paragraph is hashed to a wide vector; a fingerprint is the vectors' sum, lane by lane modulo a power of
+two. So it doesn't depend on the paragraphs' order, and paragraphs are put in or taken out by adding or
+subtracting theirs. Eight lanes of 62 bits tell texts apart, also where a paragraph repeats very often. 128 lanes count
+the paragraphs that have a bit: as plus or minus one, the sums' cosine estimates the likeness of two multisets. These
+lanes hold any number of paragraphs that a text can have; two share a 64-bit word, with room between them for the carry.
 """
 
 from __future__ import annotations
@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from peoplemart.llm.common import id_bounds, pieces, shuffle_tasks, text_bytes
 
-LANE_BITS = 14
-_ROOM = 16
-_LANES = sum(((1 << LANE_BITS) - 1) << (_ROOM * i) for i in range(4))
-_ONES = sum(1 << (_ROOM * i) for i in range(4))
+_HASH = (1 << 62) - 1
+LANE_BITS = 30
+_ROOM = 32
+_LANES = sum(((1 << LANE_BITS) - 1) << (_ROOM * i) for i in range(2))
+_ONES = sum(1 << (_ROOM * i) for i in range(2))
 HASH_WORDS = 8
 SIGN_HASHES = 2
-#: Words of a fingerprint: hash lanes, sign lanes, and the number of paragraphs.
+#: Words of a fingerprint: hash lanes, sign lanes (two a word), and the number of paragraphs.
 WORDS = HASH_WORDS + SIGN_HASHES * _ROOM + 1
 BUCKET_BYTES = 8 << 20
 MOST_BUCKETS = 4096
@@ -34,9 +35,9 @@ def _hashes(text: Column) -> Column:
         F.xxhash64(p).alias("a"), F.xxhash64(F.lit("second"), p).alias("b")))
 
 
-def _sum(hashes: Column, lanes: Callable[[Column], Column]) -> Column:
+def _sum(hashes: Column, lanes: Callable[[Column], Column], mask: int) -> Column:
     return F.aggregate(hashes, F.lit(0).cast("long"),
-                       lambda total, h: (total + lanes(h)).bitwiseAND(F.lit(_LANES)))
+                       lambda total, h: (total + lanes(h)).bitwiseAND(F.lit(mask)))
 
 
 def _signs(hashes: Column, number: int) -> Column:
@@ -44,9 +45,9 @@ def _signs(hashes: Column, number: int) -> Column:
 
 
 def _words(hashes: Column) -> Column:
-    found = [_sum(hashes, lambda h, j=j: F.xxhash64(h["a"], F.lit(j), h["b"]).bitwiseAND(F.lit(_LANES)))
+    found = [_sum(hashes, lambda h, j=j: F.xxhash64(h["a"], F.lit(j), h["b"]).bitwiseAND(F.lit(_HASH)), _HASH)
              for j in range(HASH_WORDS)]
-    found += [_sum(_signs(hashes, s), lambda g, k=k: F.shiftrightunsigned(g, k).bitwiseAND(F.lit(_ONES)))
+    found += [_sum(_signs(hashes, s), lambda g, k=k: F.shiftrightunsigned(g, k).bitwiseAND(F.lit(_ONES)), _LANES)
               for s in range(SIGN_HASHES) for k in range(_ROOM)]
     return F.array(*found, F.size(hashes).cast("long"))
 
@@ -56,17 +57,23 @@ def with_fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
     return df.withColumn("_hashes", _hashes(F.col(text_col))).withColumn(name, _words(F.col("_hashes"))).drop("_hashes")
 
 
+def _by_word(one: Column, other: Column, hashes: Callable[[Column, Column], Column], signs: Callable[[Column, Column], Column],
+             number: Callable[[Column, Column], Column]) -> Column:
+    return F.transform(F.arrays_zip(one.alias("x"), other.alias("y")), lambda p, i: F.when(i < HASH_WORDS, hashes(p["x"], p["y"])).when(
+        i < WORDS - 1, signs(p["x"], p["y"])).otherwise(number(p["x"], p["y"])))
+
+
 def added(one: Column, other: Column) -> Column:
     """The fingerprint of both multisets together."""
-    return F.transform(F.arrays_zip(one.alias("x"), other.alias("y")), lambda p, i: F.when(
-        i < WORDS - 1, (p["x"] + p["y"]).bitwiseAND(F.lit(_LANES))).otherwise(p["x"] + p["y"]))
+    return _by_word(one, other, lambda x, y: (x + y).bitwiseAND(F.lit(_HASH)), lambda x, y: (x + y).bitwiseAND(F.lit(_LANES)),
+                    lambda x, y: x + y)
 
 
 def removed(one: Column, other: Column) -> Column:
     """The fingerprint of one without the paragraphs of other, which it must hold."""
     guard = F.lit(_ONES << LANE_BITS)
-    return F.transform(F.arrays_zip(one.alias("x"), other.alias("y")), lambda p, i: F.when(
-        i < WORDS - 1, (p["x"].bitwiseOR(guard) - p["y"]).bitwiseAND(F.lit(_LANES))).otherwise(p["x"] - p["y"]))
+    return _by_word(one, other, lambda x, y: (x - y).bitwiseAND(F.lit(_HASH)),
+                    lambda x, y: (x.bitwiseOR(guard) - y).bitwiseAND(F.lit(_LANES)), lambda x, y: x - y)
 
 
 def as_text(words: Column) -> Column:
@@ -74,15 +81,12 @@ def as_text(words: Column) -> Column:
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """0 to 1: the cosine of the sign lanes' sums, where it is above 0; 1 for equal fingerprints.
-
-    A lane counts ones modulo 2**14; its sum is taken as the value nearest to nothing it can be."""
+    """0 to 1: the cosine of the sign lanes' sums, where it is above 0; 1 for equal fingerprints."""
     def sums(words: Column) -> Column:
         n = F.element_at(words, WORDS)
         lanes = F.flatten(F.transform(F.slice(words, HASH_WORDS + 1, WORDS - HASH_WORDS - 1), lambda w: F.array(*[
-            F.shiftrightunsigned(w, _ROOM * i).bitwiseAND(F.lit((1 << LANE_BITS) - 1)) for i in range(4)])))
-        whole = 1 << (LANE_BITS + 1)
-        return F.transform(lanes, lambda v: (F.pmod(2 * v - n + whole // 2, F.lit(whole)) - whole // 2).cast("double"))
+            F.shiftrightunsigned(w, _ROOM * i).bitwiseAND(F.lit((1 << LANE_BITS) - 1)) for i in range(2)])))
+        return F.transform(lanes, lambda v: (2 * v - n).cast("double"))
 
     def dot(x: Column, y: Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v)

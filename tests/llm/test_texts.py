@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -154,6 +155,64 @@ def test_edited_fingerprints(spark):
     assert alone[0].edited_sha256 == hashlib.sha256(b"one one").hexdigest() and alone[0].near_next == 1
 
 
+def plain_fingerprint(text: str) -> list[int]:
+    """The words of a fingerprint, paragraph by paragraph."""
+    def hashed(*values):
+        seed = 42
+        for v in values:
+            data = v.encode() if isinstance(v, str) else v[1].to_bytes(v[0], "little", signed=v[0] == 4)
+            seed = xxhash.xxh64_intdigest(data, seed)
+        return seed
+
+    words, paragraphs = [0] * multiset.WORDS, text.split("\n")
+    for p in paragraphs:
+        a, b = (8, hashed(p)), (8, hashed("second", p))
+        for j in range(8):
+            words[j] = (words[j] + hashed(a, (4, j), b)) % 2**62
+        for s in range(2):
+            g = hashed(b, (4, s), a)
+            for k in range(32):
+                words[8 + 32 * s + k] += (g >> k & 1) + ((g >> k + 32 & 1) << 32)
+    return [*words[:-1], len(paragraphs)]
+
+
+def plain_likeness(x: list[int], y: list[int]) -> float:
+    def signs(words):
+        return np.array([2 * (w >> 32 * i & (1 << 32) - 1) - words[-1] for w in words[8:-1] for i in range(2)], float)
+
+    size = np.sqrt(signs(x) @ signs(x) * (signs(y) @ signs(y)))
+    return 1.0 if x == y else 0.0 if size == 0 else min(1.0, max(0.0, signs(x) @ signs(y) / size))
+
+
+def test_fingerprints_and_likeness_of_awkward_texts(spark):
+    given = texts() + ["p\n" * n + "q" for n in range(9)] + ["\n".join(f"line {i % 7}" for i in range(n)) for n in (3, 8, 40)]
+    rows = [(i, text) for i, text in enumerate(given)]
+    docs = cases.frame(spark, rows)
+    got = {r.doc_id: r for r in multiset.edited_fingerprints(docs).collect()}
+    plain = [plain_fingerprint(text or "") for text in given]
+    for i, text in rows:
+        own, after = text or "", given[i - 1] or ""
+        half = len(own) // 2
+        edited = plain_fingerprint(own[: len(own) - half] + after[:half])
+        row = got[i]
+        assert row.fingerprint == "".join(f"{w:016x}" for w in plain[i]) and row.edited_fingerprint == "".join(f"{w:016x}" for w in edited)
+        assert row.near_next == pytest.approx(plain_likeness(plain[i], plain[i - 1])) and row.near_edited == pytest.approx(plain_likeness(plain[i], edited))
+
+
+def test_paragraphs_that_repeat_very_often(spark):
+    """No number of copies of a paragraph makes it vanish, or its likeness turn."""
+    given = ["a\n" * 16_384 + "z", "b\n" * 16_384 + "z", "a\n" * 65_536 + "z", "\n" * 19_999, "\n" * 9_999, "a\n" * 8192, "b\n" * 8192]
+    df = cases.frame(spark, list(enumerate(given)))
+    words = {r.doc_id: r.f for r in multiset.with_fingerprint(df, "text", "f").select("doc_id", "f").collect()}
+    assert len({tuple(w) for w in words.values()}) == len(given)
+    assert len({tuple(w[:8]) for w in words.values()}) == len(given)
+    pairs = spark.createDataFrame([(words[i], words[j]) for i, j in ((0, 1), (3, 4), (0, 2))], "x array<long>, y array<long>")
+    likes = [r[0] for r in pairs.select(multiset.likeness(F.col("x"), F.col("y"))).collect()]
+    assert likes[0] < 0.6 and likes[1] == 1 and likes[2] > 0.999
+    back = pairs.select((multiset.removed(multiset.added(F.col("x"), F.col("y")), F.col("y")) == F.col("x")).alias("same"))
+    assert all(r.same for r in back.collect())
+
+
 def test_paragraphs_put_in_and_taken_out(spark):
     one, other = "a\nb\nb\n\nlong " + "x" * 999, "b\nc\na"
     df = spark.createDataFrame([(one, other, one + "\n" + other, "c\n" * 3 + one)], "x string, y string, both string, z string")
@@ -265,3 +324,14 @@ def test_bounded_sample(spark):
     words, labels = language.sample(docs.unionAll(docs), "doc_id", "text", "lang", rows=20, words=3)
     assert 20 < len(words) <= 60 and set(labels) == {"en", "de", "fr", "es"}
     assert not any(re.search(rb"[A-Z0-9 ]", w) for w in words)
+
+
+def test_every_label_is_learned(spark):
+    """60 labels, one of them with three rows: each gives rows to a small sample."""
+    rows = [(i, f"text {i}", f"l{i % 59}") for i in range(5900)] + [(10_000 + i, "rare words here", "rare") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    kept = docs.filter(~language.held_out(F.col("doc_id")) & (F.col("label") == "rare")).limit(3).unionAll(docs.filter("label <> 'rare'"))
+    _, labels = language.sample(kept, "doc_id", "text", "label", rows=180)
+    found = Counter(labels)
+    # three rows of each: of one word, or of three
+    assert len(found) == 60 and found.pop("rare") == 9 and set(found.values()) == {3}
