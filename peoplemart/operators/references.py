@@ -8,8 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peoplemart.functions.numeric import how_many
+from peoplemart.operators.bitmaps import BUCKET_BYTES, bucket_of, buckets_within, is_in, known_keys
 from peoplemart.sources.schemas import Reference
 
+#: Bitmaps of a parent's keys are sent to every executor up to this size: about two milliards of dense keys.
+MOST_BITMAP_BYTES = 256 << 20
+
 
 def lost(number: int) -> str:
     """The profile's column with the rows whose reference of that number has a value the parent lacks."""
@@ -25,25 +29,47 @@ def reference_profile(
     """One row: Filas (rows), Huerfanas (rows with any reference that is NULL or lost), the counters,
     and for each reference the rows that lost it; there, NULL refers to nothing and isn't lost.
 
-    One scan, and a left join to the distinct values of each parent. The planner broadcasts parents
-    whose files are small; the others are joined by shuffles, in which adaptive execution splits the
-    rows of a hot key.
+    One scan. A parent whose range of keys is known without reading it (parents.key_range) and narrow enough is a table of
+    bitmaps that every executor gets, so no row of df is shuffled for it. Of the others the distinct values are joined:
+    broadcast where their files are small, else by a shuffle, in which adaptive execution splits the rows of a hot key.
     """
     rows = df.select(
         *[F.col(r.column).alias(f"_to_{i}") for i, r in enumerate(references)],
         *[condition.alias(name) for name, condition in counters.items()])
-    broken = F.lit(False)
     for i, reference in enumerate(references):
-        known = parents[reference.parent].select(F.col(reference.parent_column).alias(f"_known_{i}"))
-        # distinct over one column more, so that the join deals both sides anew and can split a hot key
-        known = known.filter(F.col(f"_known_{i}").isNotNull()).withColumn(f"_hash_{i}", F.hash(f"_known_{i}")).distinct()
-        rows = rows.join(known, F.col(f"_to_{i}") == F.col(f"_known_{i}"), "left")
-        broken = broken | F.col(f"_known_{i}").isNull()
+        parent = parents[reference.parent]
+        join = _by_bitmaps if _fits(parents, reference, parent) else _by_values
+        rows = join(rows, i, parent, reference.parent_column)
+    found = [F.col(f"_found_{i}") for i in range(len(references))]
+    broken = F.lit(False)
+    for known in found:
+        broken = broken | ~known
     return rows.agg(
         F.count("*").alias("Filas"), how_many(broken).alias("Huerfanas"),
         *[how_many(F.col(name)).alias(name) for name in counters],
-        *[how_many(F.col(f"_known_{i}").isNull() & F.col(f"_to_{i}").isNotNull()).alias(lost(i))
-          for i in range(len(references))])
+        *[how_many(~known & F.col(f"_to_{i}").isNotNull()).alias(lost(i)) for i, known in enumerate(found)])
+
+
+def _fits(parents: Mapping[str, DataFrame], reference: Reference, parent: DataFrame) -> bool:
+    """Whether the bitmaps of a parent's keys have a size that is known to be small enough."""
+    key_range = getattr(parents, "key_range", None)
+    span = key_range(reference.parent, reference.parent_column) if key_range else None
+    whole = parent.schema[reference.parent_column].dataType.typeName() in ("integer", "long")
+    return whole and span is not None and buckets_within(*span) * BUCKET_BYTES <= MOST_BITMAP_BYTES
+
+
+def _by_bitmaps(rows: DataFrame, i: int, parent: DataFrame, column: str) -> DataFrame:
+    key = F.col(f"_to_{i}").cast("long")
+    joined = rows.join(F.broadcast(known_keys(parent, column)), bucket_of(key) == F.col("_bucket"), "left")
+    return joined.select(*rows.columns, is_in(F.col("_words"), key).alias(f"_found_{i}"))
+
+
+def _by_values(rows: DataFrame, i: int, parent: DataFrame, column: str) -> DataFrame:
+    known = parent.select(F.col(column).alias("_known")).filter(F.col("_known").isNotNull())
+    # distinct over one column more, so that the join deals both sides anew and can split a hot key
+    known = known.withColumn("_hash", F.hash("_known")).distinct()
+    joined = rows.join(known, F.col(f"_to_{i}") == F.col("_known"), "left")
+    return joined.select(*rows.columns, F.col("_known").isNotNull().alias(f"_found_{i}"))
 
 
 def orphans(child: DataFrame, reference: Reference, parent: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from peoplemart.functions.numeric import (
     how_many, in_units, mean_rank_key, percent, ratio, sample_deviation, shifted, sum_where)
 from peoplemart.functions.text import joined
+from peoplemart.operators.bitmaps import member_bitmaps, member_counts
 
 Tables = Mapping[str, DataFrame]
 
@@ -65,14 +66,21 @@ def _labelled(df: DataFrame, dim: DataFrame, key: str, *labels: str) -> DataFram
 def _grouped(fact: DataFrame, dim: DataFrame, key: str, labels: list[str]):
     """fact with a number per distinct label combination, and the labels of each number.
 
-    Counting distinct employees shuffles a row per employee and group, so groups travel as one
-    number (the lowest key with these labels) and get their labels after they are counted.
+    Counting distinct employees shuffles bitmaps per group, so groups travel as one number (the
+    lowest key with these labels) and get their labels after they are counted.
     """
     numbers = dim.select(key, *labels, F.min(key).over(Window.partitionBy(*labels)).alias("_group"))
     named = numbers.filter(F.col(key) == F.col("_group")).select("_group", *labels)
     return fact.join(numbers.select(key, "_group"), key), named
 
 
+def _people(events: DataFrame, groups: list[str], name: str, **sums: Column) -> DataFrame:
+    """The distinct employees of each group, exactly, and sums over its rows. What is shuffled is a
+    bitmap for each group and 32,768 neighbouring employees, however many rows they have."""
+    parts = member_bitmaps(events, groups, "EmpleadoKey", *[total.alias(alias) for alias, total in sums.items()])
+    return member_counts(parts, groups, name, *[F.sum(alias).alias(alias) for alias in sums])
+
+
 def _rating_histogram(ratings: DataFrame, *group: str) -> DataFrame:
     """Rows per group and rating: a few dozen rows per group, from which all statistics follow."""
     return ratings.groupBy(*group, "Calificacion").agg(F.count("*").alias("n")).withColumn("tenths", _tenths())
@@ -139,10 +147,7 @@ def monthly_absences(mart: Tables) -> DataFrame:
     events = _labelled(mart["FactAusencias"], mart["DimFecha"], "FechaKey", *month)
     names = mart["DimFecha"].select(*month, "NombreMes").distinct()  # one per month
     return (
-        events.groupBy(*month)
-        .agg(F.count("*").alias("CantidadEventos"),
-             F.sum(_days()).alias("TotalDiasAusentes"),
-             F.count_distinct("EmpleadoKey").alias("EmpleadosAfectados"))
+        _people(events, month, "EmpleadosAfectados", CantidadEventos=F.count("*"), TotalDiasAusentes=F.sum(_days()))
         .join(names, month)
         .select(*month, "NombreMes", "CantidadEventos", "TotalDiasAusentes", "EmpleadosAfectados",
                 _mean_of("TotalDiasAusentes", "EmpleadosAfectados", 2).alias("DiasPromPorEmpleado"))
@@ -186,11 +191,8 @@ def top_absent_employees(mart: Tables, by_key: bool = False, limit: int = 10) ->
 def training_by_department_and_state(mart: Tables) -> DataFrame:
     trained, named = _grouped(mart["FactCapacitaciones"], mart["DimDepartamento"], "DepartamentoKey", _DEPARTMENT)
     return (
-        trained.groupBy("_group", "Estado")
-        .agg(F.count("*").alias("Asignaciones"),
-             F.count_distinct("EmpleadoKey").alias("EmpleadosParticipantes"),
-             F.sum(_cost_cents()).alias("cents"),
-             F.sum(_grade_cents()).alias("grades"), F.count("CalificacionObtenida").alias("graded"))
+        _people(trained, ["_group", "Estado"], "EmpleadosParticipantes", Asignaciones=F.count("*"), cents=F.sum(_cost_cents()),
+                grades=F.sum(_grade_cents()), graded=F.count("CalificacionObtenida"))
         .join(named, "_group")
         .select(
             "NombreDepartamento", "Estado", "Asignaciones", "EmpleadosParticipantes",
@@ -233,9 +235,7 @@ def absence_rate(mart: Tables, years: tuple[int, int] | None = None) -> DataFram
     events, named = _grouped(events, mart["DimDepartamento"], "DepartamentoKey", _DEPARTMENT)
     lost, available = F.col("TotalDiasAusentes"), F.col("DiasLaborablesDisponibles")
     return (
-        events.groupBy("_group")
-        .agg(F.count_distinct("EmpleadoKey").alias("TotalEmpleados"),
-             F.sum(_days()).alias("TotalDiasAusentes"))
+        _people(events, ["_group"], "TotalEmpleados", TotalDiasAusentes=F.sum(_days()))
         .join(named, "_group")
         .select("NombreDepartamento", "TotalEmpleados", "TotalDiasAusentes")
         .withColumn("DiasLaborablesDisponibles", F.col("TotalEmpleados") * WORKING_DAYS)
@@ -250,10 +250,7 @@ def absence_rate(mart: Tables, years: tuple[int, int] | None = None) -> DataFram
 def training_by_office(mart: Tables) -> DataFrame:
     trained, named = _grouped(mart["FactCapacitaciones"], mart["DimOficina"], "OficinaKey", _OFFICE)
     return (
-        trained.groupBy("_group")
-        .agg(F.count_distinct("EmpleadoKey").alias("EmpleadosCapacitados"),
-             F.count("*").alias("TotalAsignaciones"),
-             F.sum(_cost_cents()).alias("cents"))
+        _people(trained, ["_group"], "EmpleadosCapacitados", TotalAsignaciones=F.count("*"), cents=F.sum(_cost_cents()))
         .join(named, "_group")
         .select(
             *_OFFICE, "EmpleadosCapacitados", "TotalAsignaciones",
@@ -372,9 +369,7 @@ def yearly_dashboard(mart: Tables) -> DataFrame:
     def by_year(fact: str) -> DataFrame:
         return _labelled(mart[fact], mart["DimFecha"], "FechaKey", "Anio")
 
-    absences = by_year("FactAusencias").groupBy("Anio").agg(
-        F.count_distinct("EmpleadoKey").alias("EmpleadosConAusencias"),
-        F.sum(_days()).alias("TotalDiasAusentes"), F.count("*").alias("n"))
+    absences = _people(by_year("FactAusencias"), ["Anio"], "EmpleadosConAusencias", TotalDiasAusentes=F.sum(_days()), n=F.count("*"))
     ratings = by_year("FactEvaluaciones").groupBy("Anio").agg(
         F.sum(_tenths()).alias("total"), F.count("*").alias("rated"))
     training = by_year("FactCapacitaciones").groupBy("Anio").agg(

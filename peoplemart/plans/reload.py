@@ -66,6 +66,16 @@ class Mart(SavedTables):
         self.loaded_rows[name] = write_table(table, self.folder, name, *layout)
         return super()._declared(name)
 
+    def key_range(self, name: str, column: str) -> tuple[int, int] | None:
+        """Surrogate keys are dense from 1, and days lie in the settings' calendar."""
+        if column != MART[name].key or name in FACTS:
+            return None
+        if name == "DimFecha":
+            first, last = self.settings.calendar_start, self.settings.calendar_end
+            return tuple(day.year * 10000 + day.month * 100 + day.day for day in (first, last))
+        self[name]  # loads it
+        return 1, self.loaded_rows[name]
+
     def in_years(self, name: str, first: int, last: int) -> DataFrame:
         self[name]  # loads it
         return super().in_years(name, first, last)

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 # Partition column of tables written by year; readers of the declared columns don't see it.
 YEAR = "_anio"
-# Employees of a year are dealt into so many groups, so that a file holds all rows of an employee and year.
+# Runs of neighbouring employees of a year are dealt into so many groups, so that a file holds all rows of an employee and
+# year, and those of the 32,768 that share a bitmap.
 _GROUPS = 16
 
 _staging: ContextVar[str | None] = ContextVar("staging", default=None)
@@ -60,7 +61,7 @@ def write_table(df: DataFrame, folder: str, name: str, dated_by: str | None = No
         counted.write.mode("overwrite").parquet(path)
     else:
         dealt = counted.withColumn(YEAR, (F.col(dated_by) / 10000).cast("int")).withColumn(
-            "_group", F.pmod(F.hash(cluster), F.lit(_GROUPS)))
+            "_group", F.pmod(F.hash(F.bitmap_bucket_number(cluster)), F.lit(_GROUPS)))
         dealt = dealt.hint("rebalance", F.col(YEAR), F.col("_group")).drop("_group").sortWithinPartitions(YEAR, cluster)
         dealt.write.mode("overwrite").partitionBy(YEAR).parquet(path)
     return int(loaded.get.get("Registros", 0))
@@ -112,6 +113,10 @@ class Tables(Mapping[str, DataFrame]):
         """The rows of a table whose FechaKey lies in a closed range of years."""
         return self[name].filter(F.col("FechaKey").between(first * 10000 + 101, last * 10000 + 1231))
 
+    def key_range(self, name: str, column: str) -> tuple[int, int] | None:
+        """The least and greatest value that a key column can have, if that is known without reading rows."""
+        return None
+
     def __contains__(self, name: object) -> bool:
         return name in self._makers
 
@@ -123,9 +128,17 @@ class Tables(Mapping[str, DataFrame]):
 
     def replaced(self, **tables: DataFrame) -> Tables:
         """The same tables with some of them exchanged."""
-        makers = {name: (lambda n=name: self[n]) for name in self}
-        makers.update({name: (lambda t=table: t) for name, table in tables.items()})
-        return Tables(makers)
+        return _Replaced(self, tables)
+
+
+class _Replaced(Tables):
+    def __init__(self, former: Tables, tables: Mapping[str, DataFrame]):
+        super().__init__({**{name: (lambda n=name: former[n]) for name in former},
+                          **{name: (lambda t=table: t) for name, table in tables.items()}})
+        self._former, self._new = former, set(tables)
+
+    def key_range(self, name: str, column: str) -> tuple[int, int] | None:
+        return None if name in self._new else self._former.key_range(name, column)
 
 
 class SavedTables(Tables):
