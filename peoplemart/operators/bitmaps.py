@@ -7,8 +7,6 @@ look-up in a table of one row for 32,768 keys.
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,20 +42,20 @@ def member_counts(bitmaps: DataFrame, groups: list[str], name: str, *sums: Colum
     return bitmaps.groupBy(*groups).agg(F.sum(F.bitmap_count(_BITS)).alias(name), *sums)
 
 
-def known_keys(df: DataFrame, column: str) -> DataFrame:
-    """The keys of a column as _bucket and _words, 512 numbers of 64 bits, in which a bit is found without a copy."""
-    found = member_bitmaps(df.filter(F.col(column).isNotNull()), [], column)
-    digits = F.hex(_BITS)
-    half = partial(F.conv, fromBase=16, toBase=10)
-    words = F.transform(F.sequence(F.lit(0), F.lit(BUCKET_BYTES // 8 - 1)), lambda i: F.shiftleft(
-        half(F.substring(digits, i * 16 + 1, F.lit(8))).cast("long"), 32).bitwiseOR(
-        half(F.substring(digits, i * 16 + 9, F.lit(8))).cast("long")))
-    return found.select(_BUCKET, words.alias("_words"))
+#: The eight bytes of _bits from byte 8 i on as one number, the first byte on top.
+_WORD = " | ".join(f"shiftleft(CAST(conv(hex(substring(_bits, i * 8 + {first}, 4)), 16, 10) AS BIGINT), {shift})" for first, shift in ((1, 32), (5, 0)))
+
+
+def known_keys(df: DataFrame, column: str, suffix: str = "") -> DataFrame:
+    """The keys of a column as _bucket and _words (with suffix): of 32,768 keys 512 numbers of 64 bits, in which a bit
+    is found without a copy. Rows of no key have no bucket."""
+    folded = df.selectExpr(f"bitmap_bucket_number({column}) AS {_BUCKET}{suffix}", f"bitmap_bit_position({column}) AS _at")
+    folded = folded.groupBy(f"{_BUCKET}{suffix}").agg(F.expr(f"bitmap_construct_agg(_at) AS {_BITS}"))
+    return folded.selectExpr(f"{_BUCKET}{suffix}", f"transform(sequence(0, {BUCKET_BYTES // 8 - 1}), i -> {_WORD}) AS _words{suffix}")
 
 
-def is_in(words: Column, key: Column) -> Column:
-    """Whether the words of a key's bucket hold it; false without a bucket."""
-    at = F.bitmap_bit_position(key)
-    # eight bytes are read as one number, the first byte on top
-    bit = (F.lit(7) - F.shiftright(at, 3).bitwiseAND(F.lit(7))) * 8 + at.bitwiseAND(F.lit(7))
-    return F.coalesce(F.getbit(F.get(words, F.shiftright(at, 6).cast("int")), bit.cast("int")) == 1, F.lit(False))
+def is_in(words: str, key: str) -> str:
+    """An expression: whether the words of a key's bucket hold it; false without a bucket."""
+    at = f"bitmap_bit_position({key})"
+    bit = f"CAST((7 - (shiftright({at}, 3) & 7)) * 8 + ({at} & 7) AS INT)"
+    return f"coalesce(getbit(get({words}, CAST(shiftright({at}, 6) AS INT)), {bit}) = 1, false)"

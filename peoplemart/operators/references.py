@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peoplemart.functions.numeric import how_many
-from peoplemart.operators.bitmaps import BUCKET_BYTES, bucket_of, buckets_within, is_in, known_keys
+from peoplemart.operators.bitmaps import BUCKET_BYTES, buckets_within, is_in, known_keys
 from peoplemart.sources.schemas import Reference
 
 #: Bitmaps of a parent's keys are sent to every executor up to this size: about two milliards of dense keys.
@@ -36,10 +36,19 @@ def reference_profile(
     rows = df.select(
         *[F.col(r.column).alias(f"_to_{i}") for i, r in enumerate(references)],
         *[condition.alias(name) for name, condition in counters.items()])
-    for i, reference in enumerate(references):
-        parent = parents[reference.parent]
-        join = _by_bitmaps if _fits(parents, reference, parent) else _by_values
-        rows = join(rows, i, parent, reference.parent_column)
+    fitting = {i for i, r in enumerate(references) if _fits(parents, r)}
+    # bitmaps last: they never travel through an exchange with the rows
+    for i in sorted(range(len(references)), key=lambda i: i in fitting):
+        parent, column = parents[references[i].parent], references[i].parent_column
+        if i in fitting:
+            known = F.broadcast(known_keys(parent, column, f"_{i}"))
+            rows = rows.join(known, F.expr(f"bitmap_bucket_number(_to_{i}) = _bucket_{i}"), "left")
+        else:
+            # distinct over one column more, so that the join deals both sides anew and can split a hot key
+            known = parent.selectExpr(f"{column} AS _known_{i}", f"hash({column}) AS _hash_{i}").filter(f"_known_{i} IS NOT NULL").distinct()
+            rows = rows.join(known, F.expr(f"_to_{i} = _known_{i}"), "left")
+    rows = rows.selectExpr(*[f"_to_{i}" for i in range(len(references))], *counters, *[
+        f"{is_in(f'_words_{i}', f'_to_{i}') if i in fitting else f'_known_{i} IS NOT NULL'} AS _found_{i}" for i in range(len(references))])
     found = [F.col(f"_found_{i}") for i in range(len(references))]
     broken = F.lit(False)
     for known in found:
@@ -50,28 +59,14 @@ def reference_profile(
         *[how_many(~known & F.col(f"_to_{i}").isNotNull()).alias(lost(i)) for i, known in enumerate(found)])
 
 
-def _fits(parents: Mapping[str, DataFrame], reference: Reference, parent: DataFrame) -> bool:
+def _fits(parents: Mapping[str, DataFrame], reference: Reference) -> bool:
     """Whether the bitmaps of a parent's keys have a size that is known to be small enough."""
     key_range = getattr(parents, "key_range", None)
     span = key_range(reference.parent, reference.parent_column) if key_range else None
-    whole = parent.schema[reference.parent_column].dataType.typeName() in ("integer", "long")
+    whole = parents[reference.parent].schema[reference.parent_column].dataType.typeName() in ("integer", "long")
     return whole and span is not None and buckets_within(*span) * BUCKET_BYTES <= MOST_BITMAP_BYTES
 
 
-def _by_bitmaps(rows: DataFrame, i: int, parent: DataFrame, column: str) -> DataFrame:
-    key = F.col(f"_to_{i}").cast("long")
-    joined = rows.join(F.broadcast(known_keys(parent, column)), bucket_of(key) == F.col("_bucket"), "left")
-    return joined.select(*rows.columns, is_in(F.col("_words"), key).alias(f"_found_{i}"))
-
-
-def _by_values(rows: DataFrame, i: int, parent: DataFrame, column: str) -> DataFrame:
-    known = parent.select(F.col(column).alias("_known")).filter(F.col("_known").isNotNull())
-    # distinct over one column more, so that the join deals both sides anew and can split a hot key
-    known = known.withColumn("_hash", F.hash("_known")).distinct()
-    joined = rows.join(known, F.col(f"_to_{i}") == F.col("_known"), "left")
-    return joined.select(*rows.columns, F.col("_known").isNotNull().alias(f"_found_{i}"))
-
-
 def orphans(child: DataFrame, reference: Reference, parent: DataFrame) -> DataFrame:
     """Referred values that the parent lacks, with the rows that carry them (Filas).
 
