@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peoplemart.functions.numeric import how_many
+from peoplemart.operators.duplicates import suspect_rows
 from peoplemart.operators.references import lost, reference_profile
 from peoplemart.sources.schemas import Reference, Table
 
@@ -26,7 +27,7 @@ def breaking(df: DataFrame, condition: Column) -> DataFrame:
 
 def repeated(df: DataFrame, columns: list[str]) -> DataFrame:
     """Values of the columns that occur more than once, with their number of rows."""
-    return df.groupBy(*columns).agg(F.count("*").alias("Filas")).filter("Filas > 1")
+    return suspect_rows(df, columns).groupBy(*columns).agg(F.count("*").alias("Filas")).filter("Filas > 1")
 
 
 def domain_rules(table: Table) -> Rules:
@@ -80,7 +81,7 @@ def rule_report(df: DataFrame, table: str, rules: Rules) -> DataFrame:
 def key_report(df: DataFrame, table: str, key: str) -> DataFrame:
     rows = F.col("Filas")
     problems = F.sum(F.when(F.col(key).isNull(), rows).when(rows > 1, 1).otherwise(0))
-    counts = df.groupBy(key).agg(F.count("*").alias("Filas")).agg(F.coalesce(problems, F.lit(0)).alias("n"))
+    counts = suspect_rows(df, [key]).groupBy(key).agg(F.count("*").alias("Filas")).agg(F.coalesce(problems, F.lit(0)).alias("n"))
     return counts.select(F.inline(F.array(_report_row(table, f"PRIMARY KEY ({key})", F.col("n")))))
 
 

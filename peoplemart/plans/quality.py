@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from peoplemart.functions.numeric import how_many, percent
 from peoplemart.functions.text import joined
-from peoplemart.operators.checks import united
+from peoplemart.operators.checks import repeated, united
 from peoplemart.operators.references import reference_profile
 from peoplemart.sources.schemas import MART
 
@@ -96,10 +96,7 @@ def _fact_verdicts(
     counts = reference_profile(
         mart[fact], tested, mart, {"Fuera": broken} if rule in chosen else {})
     if match in chosen:
-        # two one-row counts side by side, without a join
-        total = source[origin].agg(F.count("*").alias("Fuente"))
-        counts = counts.unionByName(total, allowMissingColumns=True)
-        counts = counts.agg(*[F.max(name).alias(name) for name in counts.columns])
+        counts = _side_by_side(counts, source[origin].agg(F.count("*").alias("Fuente")))
     verdicts = {
         references: lambda: _count_verdict(references, "Huerfanas"),
         rule: lambda: _count_verdict(rule, "Fuera"),
@@ -108,6 +105,12 @@ def _fact_verdicts(
     return _exploded(counts, [verdicts[number]() for number in sorted(chosen)])
 
 
+def _side_by_side(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Two rows of counts as one, without a join."""
+    both = one.unionByName(other, allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in both.columns])
+
+
 def _exploded(counts: DataFrame, verdicts: list[Column]) -> DataFrame:
     return counts.select(F.inline(F.array(*verdicts)))
 
@@ -124,13 +127,11 @@ def _employee_verdicts(mart: Tables, wanted: Collection[int]) -> DataFrame | Non
     rules = {number: rule for number, rule in rules.items() if number in wanted}
     people = mart["DimEmpleado"]
     counts = [how_many(rule).alias(f"_{number}") for number, rule in rules.items()]
+    row = people.agg(*counts) if rules else None
     if 7 in wanted:
-        folded = people.groupBy("EmpleadoID_OLTP").agg(F.count("*").alias("Filas"), *counts)
-        sums = [F.coalesce(F.sum(f"_{number}"), F.lit(0)).alias(f"_{number}") for number in rules]
-        row = folded.agg(how_many(F.col("Filas") > 1).alias("_7"), *sums)
-    elif rules:
-        row = people.agg(*counts)
-    else:
+        twice = repeated(people, ["EmpleadoID_OLTP"]).agg(F.count("*").alias("_7"))
+        row = _side_by_side(row, twice) if row else twice
+    if row is None:
         return None
     numbers = sorted([*rules, *({7} & set(wanted))])
     return _exploded(row, [_count_verdict(number, f"_{number}") for number in numbers])
