@@ -19,6 +19,7 @@ from peoplemart.functions.text import joined
 from peoplemart.operators.checks import repeated, united
 from peoplemart.operators.references import reference_profile
 from peoplemart.sources.schemas import MART
+from peoplemart.sources.storage import counted
 
 Tables = Mapping[str, DataFrame]
 
@@ -92,11 +93,13 @@ def _fact_verdicts(
     chosen = {references, rule, match} & set(wanted)
     if not chosen:
         return None
-    tested = MART[fact].references if references in chosen else ()
-    counts = reference_profile(
-        mart[fact], tested, mart, {"Fuera": broken} if rule in chosen else {})
+    if chosen == {match}:
+        counts = counted(mart, fact).agg(F.count("*").alias("Filas"))
+    else:
+        tested = MART[fact].references if references in chosen else ()
+        counts = reference_profile(mart[fact], tested, mart, {"Fuera": broken} if rule in chosen else {})
     if match in chosen:
-        counts = _side_by_side(counts, source[origin].agg(F.count("*").alias("Fuente")))
+        counts = _side_by_side(counts, counted(source, origin).agg(F.count("*").alias("Fuente")))
     verdicts = {
         references: lambda: _count_verdict(references, "Huerfanas"),
         rule: lambda: _count_verdict(rule, "Fuera"),
@@ -140,7 +143,7 @@ def _employee_verdicts(mart: Tables, wanted: Collection[int]) -> DataFrame | Non
 def _calendar_verdict(mart: Tables, wanted: Collection[int], start: date, end: date) -> DataFrame | None:
     if 12 not in wanted:
         return None
-    row = mart["DimFecha"].agg(F.min("FechaCompleta").alias("first"), F.max("FechaCompleta").alias("last"))
+    row = counted(mart, "DimFecha").agg(F.min("FechaCompleta").alias("first"), F.max("FechaCompleta").alias("last"))
     first, last = F.col("first"), F.col("last")
     covered = (first <= F.lit(start)) & (last >= F.lit(end))
     detail = joined("Rango real: ", first, " a ", last)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from peoplemart.plans import dims, facts
 from peoplemart.plans.calendar import calendar
 from peoplemart.sources.schemas import MART
-from peoplemart.sources.storage import SavedTables, removed, saved_tables, write_table
+from peoplemart.sources.storage import SavedTables, counted, removed, saved_tables, write_table
 
 SCHEMAS = {name: spec.schema for name, spec in MART.items()}
 FACTS = tuple(name for name, spec in MART.items() if spec.references)
@@ -76,6 +76,10 @@ class Mart(SavedTables):
         self[name]  # loads it
         return 1, self.loaded_rows[name]
 
+    def counted(self, name: str) -> DataFrame:
+        self[name]  # loads it
+        return super().counted(name)
+
     def in_years(self, name: str, first: int, last: int) -> DataFrame:
         self[name]  # loads it
         return super().in_years(name, first, last)
@@ -146,10 +150,10 @@ def _published(spark: SparkSession, root: str) -> list:
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows of each table, with its kind told by its name (Tabla, Tipo, Registros)."""
+    """Rows of each table, with its kind told by its name (Tabla, Tipo, Registros); of tables in files, by their statistics."""
     counts = None
-    for name, table in tables.items():
-        one = table.agg(F.count("*").alias("Registros")).withColumn("Tabla", F.lit(name))
+    for name in tables:
+        one = counted(tables, name).agg(F.count("*").alias("Registros")).withColumn("Tabla", F.lit(name))
         counts = one if counts is None else counts.unionByName(one)
     kind = F.when(F.col("Tabla").like("Dim%"), "Dimensión").otherwise("Hecho")
     return counts.select("Tabla", kind.alias("Tipo"), "Registros")

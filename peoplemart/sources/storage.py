@@ -48,6 +48,22 @@ def read_table(spark: SparkSession, folder: str, name: str, schema: T.StructType
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
+_counting: dict[str, SparkSession] = {}
+
+
+def counting_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application in which counts, least and greatest values of Parquet tables come from
+    the files' footers. Its options don't touch spark's own."""
+    key = spark.sparkContext.applicationId
+    if key not in _counting:
+        session = spark.newSession()
+        row_based = [name for name in session.conf.get("spark.sql.sources.useV1SourceList").split(",") if name != "parquet"]
+        session.conf.set("spark.sql.sources.useV1SourceList", ",".join(row_based))
+        session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        _counting[key] = session
+    return _counting[key]
+
+
 def write_table(df: DataFrame, folder: str, name: str, dated_by: str | None = None, cluster: str | None = None) -> int:
     """Overwrites folder/name.parquet and returns the rows written, counted during the write.
 
@@ -117,6 +133,11 @@ class Tables(Mapping[str, DataFrame]):
         """The least and greatest value that a key column can have, if that is known without reading rows."""
         return None
 
+    def counted(self, name: str) -> DataFrame:
+        """The table, for an aggregate without groups of COUNT, MIN and MAX: where it lies in files, these answer from
+        their statistics, and no column is read."""
+        return self[name]
+
     def __contains__(self, name: object) -> bool:
         return name in self._makers
 
@@ -131,6 +152,11 @@ class Tables(Mapping[str, DataFrame]):
         return _Replaced(self, tables)
 
 
+def counted(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """Tables.counted, or the table itself of a plain mapping."""
+    return tables.counted(name) if isinstance(tables, Tables) else tables[name]
+
+
 class _Replaced(Tables):
     def __init__(self, former: Tables, tables: Mapping[str, DataFrame]):
         super().__init__({**{name: (lambda n=name: former[n]) for name in former},
@@ -140,6 +166,9 @@ class _Replaced(Tables):
     def key_range(self, name: str, column: str) -> tuple[int, int] | None:
         return None if name in self._new else self._former.key_range(name, column)
 
+    def counted(self, name: str) -> DataFrame:
+        return self[name] if name in self._new else self._former.counted(name)
+
 
 class SavedTables(Tables):
     """Tables in a folder. Those of dated were written by year, and a range of years reads its folders only."""
@@ -147,16 +176,29 @@ class SavedTables(Tables):
     def __init__(self, spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType], dated: Collection[str] = ()):
         super().__init__({name: partial(self._declared, name) for name in schemas})
         self.spark, self.folder, self.schemas, self.dated = spark, folder, schemas, dated
+        self._ranges: dict[tuple[str, str], tuple[int, int] | None] = {}
 
-    def _stored(self, name: str) -> DataFrame:
+    def _stored(self, name: str, spark: SparkSession | None = None) -> DataFrame:
         schema = self.schemas[name]
         if name in self.dated:
             schema = T.StructType([*schema.fields, T.StructField(YEAR, T.IntegerType())])
-        return read_table(self.spark, self.folder, name, schema)
+        return read_table(spark or self.spark, self.folder, name, schema)
+
+    def counted(self, name: str) -> DataFrame:
+        return self._stored(name, counting_session(self.spark)).select(self.schemas[name].names)
 
     def _declared(self, name: str) -> DataFrame:
         return self._stored(name).select(self.schemas[name].names)
 
+    def key_range(self, name: str, column: str) -> tuple[int, int] | None:
+        """Of whole numbers, from the files' statistics; one small job on first use."""
+        if self.schemas[name][column].dataType.typeName() not in ("integer", "long"):
+            return None
+        if (name, column) not in self._ranges:
+            found = self.counted(name).agg(F.min(column), F.max(column)).first()
+            self._ranges[name, column] = None if found[0] is None else (found[0], found[1])
+        return self._ranges[name, column]
+
     def in_years(self, name: str, first: int, last: int) -> DataFrame:
         if name not in self.dated:
             return super().in_years(name, first, last)
