@@ -66,6 +66,12 @@ def length_rules(table: Table) -> Rules:
             for spec in table.columns if "max_length" in spec.metadata]
 
 
+def row_rules(table: Table) -> Rules:
+    """All rules that a row keeps or breaks by itself."""
+    return [rule for rules_of in (filled_rules, length_rules, domain_rules, amount_rules, order_rules, range_rules, pairing_rules)
+            for rule in rules_of(table)]
+
+
 def _report_row(table: str, label: str, problems: Column) -> Column:
     return F.struct(F.lit(table).alias("Tabla"), F.lit(label).alias("Restriccion"),
                     problems.cast("bigint").alias("Problemas"))

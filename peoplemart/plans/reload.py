@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
@@ -12,14 +12,16 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peoplemart.operators import checks
 from peoplemart.plans import dims, facts
 from peoplemart.plans.calendar import calendar
-from peoplemart.sources.schemas import MART
-from peoplemart.sources.storage import SavedTables, counted, removed, saved_tables, write_table
+from peoplemart.sources.schemas import MART, Table
+from peoplemart.sources.storage import SavedTables, counted, removed, saved_tables, write_checked
 
 SCHEMAS = {name: spec.schema for name, spec in MART.items()}
 FACTS = tuple(name for name, spec in MART.items() if spec.references)
 _POINTERS = "complete_loads"
+BROKEN = "Restricciones"
 
 
 @dataclass(frozen=True)
@@ -47,6 +49,8 @@ class Mart(SavedTables):
         self.settings = settings
         self.staging = f"{folder}/_staging"
         self.loaded_rows: dict[str, int] = {}
+        self.broken_rows: dict[str, dict[str, int]] = {}  # of each table, by the label of a rule
+        self.quarantine = f"{folder}/_quarantine"
 
     def load_all(self) -> DataFrame:
         """Loads every table and reports the rows written to each (Tabla, Registros).
@@ -63,8 +67,28 @@ class Mart(SavedTables):
     def _declared(self, name: str) -> DataFrame:
         table = self._built(name).select(MART[name].schema.names)
         layout = ("FechaKey", "EmpleadoKey") if name in FACTS else ()
-        self.loaded_rows[name] = write_table(table, self.folder, name, *layout)
-        return super()._declared(name)
+        rules = checks.row_rules(MART[name])
+        self.loaded_rows[name], self.broken_rows[name] = write_checked(table, self.folder, name, rules, *layout)
+        saved = super()._declared(name)
+        if any(self.broken_rows[name].values()):
+            labels = F.filter(F.array(*[F.when(~holds, label) for label, holds in rules]), lambda label: label.isNotNull())
+            saved.withColumn(BROKEN, labels).filter(F.size(BROKEN) > 0).write.mode("overwrite").parquet(f"{self.quarantine}/{name}.parquet")
+        return saved
+
+    def quarantined(self, name: str) -> DataFrame:
+        """The rows of a table that break a rule, with the labels of the rules (Restricciones). They are in the table too."""
+        saved = self[name]
+        if any(self.broken_rows[name].values()):
+            return self.spark.read.parquet(f"{self.quarantine}/{name}.parquet")
+        return saved.withColumn(BROKEN, F.array().cast("array<string>")).limit(0)
+
+    def rule_report(self, rules_of: Callable[[Table], checks.Rules]) -> DataFrame:
+        """The rows of all mart tables that break a rule, as counted while they were written: Tabla, Restriccion, Problemas."""
+        rows = []
+        for name, spec in MART.items():
+            self[name]  # loads it
+            rows += [(name, label, self.broken_rows[name][label]) for label, _ in rules_of(spec)]
+        return self.spark.createDataFrame(rows, "Tabla string, Restriccion string, Problemas bigint")
 
     def key_range(self, name: str, column: str) -> tuple[int, int] | None:
         """Surrogate keys are dense from 1, and days lie in the settings' calendar."""
@@ -110,14 +134,26 @@ class Mart(SavedTables):
         raise KeyError(name)
 
 
-def reloaded(spark: SparkSession, source: Mapping[str, DataFrame], root: str, settings: Settings) -> DataFrame:
+class BrokenRules(ValueError):
+    """A load was not published, since rows of it break declared rules."""
+
+
+def reloaded(spark: SparkSession, source: Mapping[str, DataFrame], root: str, settings: Settings, reject: bool = False) -> DataFrame:
     """Loads a new mart beside the last one and then makes it the current one; reports the rows written.
 
+    With reject, a load with rows that break a rule is not published; the rows are left in a folder of root that the error names.
+
     The step that readers see is one small file that names the complete load. A load that fails
     leaves the former mart in place."""
     name = f"load-{uuid.uuid4().hex}"
+    mart = Mart(spark, source, f"{root}/{name}", settings)
+    if reject:
+        mart.quarantine = f"{root}/quarantine-{name}"
     try:
-        report = Mart(spark, source, f"{root}/{name}", settings).load_all()
+        report = mart.load_all()
+        broken = {f"{table}: {label}": n for table, found in mart.broken_rows.items() for label, n in found.items() if n}
+        if reject and broken:
+            raise BrokenRules(f"rows that break rules, in {mart.quarantine}: {broken}")
     except BaseException:
         removed(spark, f"{root}/{name}")
         raise

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Collection, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
 from contextvars import ContextVar
 from functools import partial
 from threading import Lock
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,13 +65,21 @@ def counting_session(spark: SparkSession) -> SparkSession:
 
 
 def write_table(df: DataFrame, folder: str, name: str, dated_by: str | None = None, cluster: str | None = None) -> int:
-    """Overwrites folder/name.parquet and returns the rows written, counted during the write.
+    """Overwrites folder/name.parquet and returns the rows written; see write_checked."""
+    return write_checked(df, folder, name, (), dated_by, cluster)[0]
+
+
+def write_checked(df: DataFrame, folder: str, name: str, rules: Sequence[tuple[str, Column]], dated_by: str | None = None,
+                  cluster: str | None = None) -> tuple[int, dict[str, int]]:
+    """Overwrites folder/name.parquet. Returns the rows written and, for each rule (a label and a condition), the rows for
+    which it is false, all counted during the write.
 
     dated_by, a column of numbers like 20241231, makes a folder for each year, and cluster sorts the
     rows inside. Adaptive execution joins small years into one task and splits large ones.
     """
     loaded = Observation(f"load {name}")
-    counted = df.observe(loaded, F.count(F.lit(1)).alias("Registros"))
+    broken = [F.count(F.when(~holds, 1)).alias(f"_{i}") for i, (_, holds) in enumerate(rules)]
+    counted = df.observe(loaded, F.count(F.lit(1)).alias("Registros"), *broken)
     path = f"{folder}/{name}.parquet"
     if dated_by is None:
         counted.write.mode("overwrite").parquet(path)
@@ -80,7 +88,8 @@ def write_table(df: DataFrame, folder: str, name: str, dated_by: str | None = No
             "_group", F.pmod(F.hash(F.bitmap_bucket_number(cluster)), F.lit(_GROUPS)))
         dealt = dealt.hint("rebalance", F.col(YEAR), F.col("_group")).drop("_group").sortWithinPartitions(YEAR, cluster)
         dealt.write.mode("overwrite").partitionBy(YEAR).parquet(path)
-    return int(loaded.get.get("Registros", 0))
+    found = loaded.get
+    return int(found.get("Registros", 0)), {label: int(found.get(f"_{i}", 0)) for i, (label, _) in enumerate(rules)}
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
