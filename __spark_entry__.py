@@ -23,7 +23,8 @@ from peoplemart.plans.reload import Mart, Settings, table_counts
 from peoplemart.sources.roles import (
     AS_OF, CALENDAR_END, CALENDAR_START, LINE_ORDER, enrolment_lines, role_tables)
 from peoplemart.sources.schemas import MART, SOURCE
-from peoplemart.sources.storage import Tables, new_folder, numbers_up_to, read_table, removed
+from peoplemart.sources.storage import (
+    Tables, append_batch, appended_table, catalog_tables, new_folder, numbers_up_to, read_table, removed)
 from verification.faults import faulty_mart, faulty_source
 from verification.oracle import oracle_statements
 
@@ -160,6 +161,28 @@ def _load_audit(spark: SparkSession, folder: str) -> DataFrame:
     return report
 
 
+def _appended(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders appended in two batches, the second of them twice, as after a failure."""
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
+    home = new_folder(spark, "append")
+    append_batch(orders.filter("year < 1995"), home, "orders", "until-1994")
+    for _ in range(2):
+        append_batch(orders.filter("year >= 1995"), home, "orders", "from-1995")
+    return appended_table(spark, home, "orders", orders.schema)
+
+
+def _by_catalog_name(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders per market segment, from tables of two namespaces of the session's catalog."""
+    spaces = {"peoplemart_sales": "orders", "peoplemart_people": "customer"}
+    schemas = {name: read_table(spark, folder, name).schema for name in spaces.values()}
+    for space, name in spaces.items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {space} LOCATION '{new_folder(spark, space)}'")
+        spark.sql(f"DROP TABLE IF EXISTS {space}.{name}")
+        spark.catalog.createTable(f"{space}.{name}", f"{folder}/{name}.parquet", "parquet")
+    orders, customer = (catalog_tables(spark, space, {name: schemas[name]})[name] for space, name in spaces.items())
+    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment").agg(F.count("*").alias("orders"))
+
+
 def _unique_pairs(mart: Mart, spark: SparkSession, folder: str) -> DataFrame:
     raw = checks.unique_report(enrolment_lines(spark, folder), "lineitem", ("o_custkey", "l_partkey"))
     return checks.unique_checks(_all_tables(mart), _EVERY, composite=True).unionByName(raw)
@@ -265,6 +288,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "c11_not_null": _all_rules(checks.filled_rules),
         "c12_status_pairing": _source_rules(checks.pairing_rules),
         "c_len": _all_rules(checks.length_rules),
+        "s02_catalog_names": _on_tables(_by_catalog_name),
+        "s07_append": _on_tables(_appended),
         "s03_dump": _on_mart(lambda mart: mart["FactAusencias"].select("*")),
         "s05_sequence": _on_tables(lambda spark, folder: numbers_up_to(
             spark, read_table(spark, folder, "customer").count())),

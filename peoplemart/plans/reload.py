@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -16,7 +17,7 @@ from peoplemart.operators import checks
 from peoplemart.plans import dims, facts
 from peoplemart.plans.calendar import calendar
 from peoplemart.sources.schemas import MART, Table
-from peoplemart.sources.storage import SavedTables, counted, removed, saved_tables, write_checked
+from peoplemart.sources.storage import SavedTables, counted, create_once, removed, saved_tables, write_checked
 
 SCHEMAS = {name: spec.schema for name, spec in MART.items()}
 FACTS = tuple(name for name, spec in MART.items() if spec.references)
@@ -138,14 +139,20 @@ class BrokenRules(ValueError):
     """A load was not published, since rows of it break declared rules."""
 
 
-def reloaded(spark: SparkSession, source: Mapping[str, DataFrame], root: str, settings: Settings, reject: bool = False) -> DataFrame:
+class ConcurrentLoad(RuntimeError):
+    """A load was not published, since another one was while it ran."""
+
+
+def reloaded(spark: SparkSession, source: Mapping[str, DataFrame], root: str, settings: Settings, reject: bool = False,
+             replace_newer: bool = False) -> DataFrame:
     """Loads a new mart beside the last one and then makes it the current one; reports the rows written.
 
     With reject, a load with rows that break a rule is not published; the rows are left in a folder of root that the error names.
-
-    The step that readers see is one small file that names the complete load. A load that fails
-    leaves the former mart in place."""
+    What readers see is one small file with a number, which names the complete load, and which only one load can
+    create. If another load has taken the next number since this one began, this one fails and leaves that mart in
+    place; with replace_newer it takes the number after. A load that fails leaves the former mart in place."""
     name = f"load-{uuid.uuid4().hex}"
+    number = _last_number(spark, root) + 1
     mart = Mart(spark, source, f"{root}/{name}", settings)
     if reject:
         mart.quarantine = f"{root}/quarantine-{name}"
@@ -154,12 +161,13 @@ def reloaded(spark: SparkSession, source: Mapping[str, DataFrame], root: str, se
         broken = {f"{table}: {label}": n for table, found in mart.broken_rows.items() for label, n in found.items() if n}
         if reject and broken:
             raise BrokenRules(f"rows that break rules, in {mart.quarantine}: {broken}")
+        while not create_once(spark, f"{root}/{_POINTERS}/{number:018d}.json", json.dumps({"number": number, "name": name})):
+            if not replace_newer:
+                raise ConcurrentLoad(f"another load was published as number {number} while {name} ran")
+            number = max(number, _last_number(spark, root)) + 1
     except BaseException:
         removed(spark, f"{root}/{name}")
         raise
-    number = max((row.number for row in _published(spark, root)), default=0) + 1
-    spark.createDataFrame([(number, name)], "number long, name string").coalesce(1).write.mode("append").parquet(
-        f"{root}/{_POINTERS}")
     return report
 
 
@@ -182,7 +190,11 @@ def _published(spark: SparkSession, root: str) -> list:
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{_POINTERS}")
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return []
-    return spark.read.schema("number long, name string").parquet(path.toString()).orderBy("number", "name").collect()
+    return spark.read.schema("number long, name string").json(path.toString()).orderBy("number").collect()
+
+
+def _last_number(spark: SparkSession, root: str) -> int:
+    return max((load.number for load in _published(spark, root)), default=0)
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
@@ -9,12 +10,15 @@ from contextvars import ContextVar
 from functools import partial
 from threading import Lock
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Partition column of tables written by year; readers of the declared columns don't see it.
 YEAR = "_anio"
+# Partition column of tables that are appended to: the name of the batch.
+BATCH = "_lote"
 # Runs of neighbouring employees of a year are dealt into so many groups, so that a file holds all rows of an employee and
 # year, and those of the 32,768 that share a bitmap.
 _GROUPS = 16
@@ -109,6 +113,56 @@ def removed(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file unless there is one of its name; whether it did. Readers see it complete or not at all, and of
+    several writers at once one succeeds: by a hard link on a local disk, elsewhere by a rename that replaces nothing."""
+    files, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target = files.Path(path)
+    system = target.getFileSystem(conf)
+    draft = files.Path(target.getParent(), f"_draft-{uuid.uuid4().hex}")
+    stream = system.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        if system.getUri().getScheme() == "file":
+            local = [spark._jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, draft)]
+            spark._jvm.java.nio.file.Files.createLink(*local)
+        else:
+            kind = getattr(files, "Options$Rename")
+            options = spark.sparkContext._gateway.new_array(kind, 1)
+            options[0] = kind.valueOf("NONE")
+            files.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, options)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        system.delete(draft, False)
+
+
+def append_batch(df: DataFrame, folder: str, name: str, batch: str) -> int:
+    """Appends df to folder/name.parquet as the batch of that name (letters, digits, '.', '_', '-') and returns its rows.
+
+    A batch that is appended again, for instance after a failure, takes the place of its former rows; other batches
+    aren't touched. Each batch is a folder of its own, replaced when all its files are written."""
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", batch):
+        raise ValueError(f"not a name for a batch: {batch!r}")
+    loaded = Observation(f"append {name}")
+    rows = df.observe(loaded, F.count(F.lit(1)).alias("Registros")).withColumn(BATCH, F.lit(batch))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(f"{folder}/{name}.parquet")
+    found = int(loaded.get.get("Registros", 0))
+    if not found:  # no row replaces former ones
+        removed(df.sparkSession, f"{folder}/{name}.parquet/{BATCH}={batch}")
+    return found
+
+
+def appended_table(spark: SparkSession, folder: str, name: str, schema: T.StructType, batches: Collection[str] | None = None) -> DataFrame:
+    """The rows of all batches, or of those named, whose folders alone are read."""
+    stored = read_table(spark, folder, name, T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())]))
+    return (stored if batches is None else stored.filter(F.col(BATCH).isin(*batches))).select(schema.names)
+
+
 def numbers_up_to(spark: SparkSession, last: int) -> DataFrame:
     """The numbers 1..last in a column n."""
     return spark.range(1, last + 1).withColumnRenamed("id", "n")
@@ -214,6 +268,13 @@ class SavedTables(Tables):
         return self._stored(name).filter(F.col(YEAR).between(first, last)).select(self.schemas[name].names)
 
 
+def catalog_tables(spark: SparkSession, namespace: str, schemas: Mapping[str, T.StructType]) -> Tables:
+    """Tables by name in a namespace of the session's catalog, with their declared columns, whatever store and format
+    the catalog keeps them in: namespace may have several parts, such as catalog.schema."""
+    parts = ".".join(f"`{part}`" for part in namespace.split("."))
+    return Tables({name: (lambda n=name: spark.read.table(f"{parts}.`{n}`").select(schemas[n].names)) for name in schemas})
+
+
 def saved_tables(
     spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType], dated: Collection[str] = ()
 ) -> SavedTables:

@@ -401,6 +401,9 @@ def _load_sql() -> dict[str, str]:
     FROM FactCapacitaciones {place} JOIN DimPuesto USING (PuestoKey) JOIN DimCapacitacion USING (CapacitacionKey)""",
         "e11_counts": _counts(list(MART), True),
         "e11_source_counts": _counts(list(SOURCE), False),
+        "s02_catalog_names": """
+    SELECT c_mktsegment, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""",
+        "s07_append": "SELECT o_orderkey, o_custkey, year(o_orderdate) AS year FROM orders",
         "s03_dump": "SELECT * FROM FactAusencias",
         "s05_sequence": "SELECT unnest(generate_series(1, (SELECT count(*) FROM customer))) AS n",
         "s10_load_audit": _counts(list(MART), False),
