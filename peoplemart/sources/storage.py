@@ -96,6 +96,13 @@ def write_checked(df: DataFrame, folder: str, name: str, rules: Sequence[tuple[s
     return int(found.get("Registros", 0)), {label: int(found.get(f"_{i}", 0)) for i, (label, _) in enumerate(rules)}
 
 
+def write_bucketed(df: DataFrame, namespace: str, name: str, key: str, buckets: int) -> None:
+    """Writes df as a table of the catalog, dealt by key into so many files, each sorted by it. Tables dealt alike are
+    joined and grouped by the key without a shuffle; since no shuffle is left that adaptive execution could split, a key
+    of very many rows is one task's work until it is folded."""
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(f"{namespace}.{name}")
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """df written to the shared folder and read back: short lineage, sizes known to the planner.
 

@@ -262,6 +262,7 @@ def _kpi_sql() -> dict[str, str]:
            {_ratio("sum(DiasAusencia)", "count(DISTINCT EmpleadoKey)", 2)} AS DiasPromPorEmpleado
     FROM FactAusencias JOIN DimFecha USING (FechaKey) GROUP BY Anio, Mes, NombreMes""",
         "q04": _top_absent(""),
+        "q04_bucketed": _top_absent(""),
         "q04_by_key": _top_absent("EmpleadoID_OLTP, "),
         "q05": f"""
     SELECT NombreDepartamento, Estado, count(*) AS Asignaciones, count(DISTINCT EmpleadoKey) AS EmpleadosParticipantes,
@@ -307,6 +308,7 @@ def _kpi_sql() -> dict[str, str]:
     FROM FactCapacitaciones JOIN DimCapacitacion USING (CapacitacionKey)
     GROUP BY NombreCapacitacion, Proveedor, DuracionDias""",
         "q13": _alerts(""),
+        "q13_bucketed": _alerts(""),
         "q13_by_key": _alerts("EmpleadoID_OLTP, "),
         "q14": f"""
     SELECT a.Anio, EmpleadosConAusencias, TotalDiasAusentes, DiasPromPorEvento, PromedioDesempeno,
