@@ -27,10 +27,12 @@ from peoplemart.sources.storage import removed
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 PART_BYTES = 16 << 20
-FILE_BYTES = 4 << 20
+FILE_BYTES = 1 << 20
+#: Texts that are encoded together.
+RUN_BYTES = 2 << 20
 MOST_PARTS = 4096
 #: Pieces of text whose ids a Python worker keeps, at most.
-REMEMBERED = 600_000
+REMEMBERED = 150_000
 MAGIC = b"FRVB"
 _HEAD = struct.Struct("<4sIQQQQ")
 
@@ -210,7 +212,7 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, end_id)
         for b in batches:
-            for begin, end in runs_of(b["text"], PART_BYTES // 2):
+            for begin, end in runs_of(b["text"], RUN_BYTES):
                 part = b.slice(begin, end - begin)
                 tokens = own.encode(part["text"])
                 yield _one([("doc_ids", part["doc_id"].to_pylist(), pa.list_(pa.int64())),
