@@ -105,10 +105,10 @@ class _Groups:
     def __init__(self, sketch: _Sketch, segments: int):
         self.sketch, self.segments, self.size = sketch, segments, sketch.size
 
-    def candidates(self, t: pa.Table, answers: dict[int, bytes]):
-        """Distinct windows that may repeat, sorted, each with its smallest doc_id here; and of every
-        such window in a text the place among the distinct, its doc_id and the place of its first word."""
-        first, second, rows, places, counts = _windows(t, self.size, exact=True)
+    def ask(self, t: pa.Table, answers: dict[int, bytes]):
+        """The distinct windows that may repeat, sorted, each with its smallest doc_id here. With them go the places of all
+        such windows in the block's words, for the answer to bring back: so no window is hashed again when it comes."""
+        first, second, rows, places, _ = _windows(t, self.size, exact=True)
         may = np.flatnonzero(self.sketch.maybe_repeated(first, answers))
         ids = t["doc_id"].combine_chunks().fill_null(0).to_numpy()[rows[may]]
         first, second, places = first[may], second[may], places[may]
@@ -116,26 +116,23 @@ class _Groups:
         first, second, ids, places = first[order], second[order], ids[order], places[order]
         new = np.ones(len(first), bool)
         new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
-        return first[new], second[new], ids[new], np.cumsum(new) - 1, ids, places, counts
-
-    def ask(self, t: pa.Table, answers: dict[int, bytes]):
-        first, second, ids, *_ = self.candidates(t, answers)
         at = exchange.cuts(first, self.segments, 64)
         for s in np.flatnonzero(np.diff(at)):
             part = slice(at[s], at[s + 1])
-            sent = [packed_sorted(first[part]), packed(second[part]), packed(ids[part])]
-            sizes = b"".join(len(x).to_bytes(4, "little") for x in sent[:2])
-            yield int(s), sizes + b"".join(sent)
+            own = np.flatnonzero(new[part]) + at[s]
+            back = _joined([packed(places[part]), np.packbits(new[part]).tobytes()])
+            yield int(s), _joined([packed_sorted(first[own]), packed(second[own]), packed(ids[own]), back])
 
     @staticmethod
     def reply(payloads: list[bytes]) -> list[bytes]:
-        """How far below a block's own smallest doc_id the smallest of all is."""
-        firsts, seconds, ids = [], [], []
+        """The smallest doc_id of all for each of a block's windows, and what the block sent along."""
+        firsts, seconds, ids, along = [], [], [], []
         for p in payloads:
-            a, b = (int.from_bytes(p[i: i + 4], "little") for i in (0, 4))
-            firsts.append(unpacked_sorted(p[8: 8 + a]))
-            seconds.append(unpacked(p[8 + a: 8 + a + b], np.uint32))
-            ids.append(unpacked(p[8 + a + b:], np.int64))
+            first, second, own, back = _split(p)
+            firsts.append(unpacked_sorted(first))
+            seconds.append(unpacked(second, np.uint32))
+            ids.append(unpacked(own, np.int64))
+            along.append(back)
         ends = np.cumsum([len(x) for x in firsts])[:-1]
         first, second, own = np.concatenate(firsts), np.concatenate(seconds), np.concatenate(ids)
         order = np.lexsort((own, second, first))
@@ -143,35 +140,52 @@ class _Groups:
         new[1:] = (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])
         least = np.empty_like(own)
         least[order] = own[order][new][np.cumsum(new) - 1]
-        return [packed(x) for x in np.split(own - least, ends)]
+        return [_joined([packed(low), back]) for low, back in zip(np.split(least, ends), along, strict=True)]
 
     def finish(self, t: pa.Table, answers: dict[int, bytes]) -> pa.Table:
-        first, _, ids, which, own, places, counts = self.candidates(t, {s: p for s, p in answers.items() if s >= 0})
-        n = np.diff(exchange.cuts(first, self.segments, 64))
-        parts = [unpacked(answers[-1 - s], np.int64) for s in np.flatnonzero(n)]
-        least = ids - np.concatenate(parts) if parts else ids
+        texts = t["text"].combine_chunks()
+        counts = [exchange.word_bounds(texts.slice(begin, end - begin))[3] for begin, end in exchange.batches(texts)]
+        counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+        ends = np.cumsum(counts)
+        doc_ids = t["doc_id"].combine_chunks().fill_null(0).to_numpy()
         covered = np.zeros(counts.sum() + 1, np.int32)
-        begin = places[least[which] < own]
-        np.add.at(covered, begin, 1)
-        np.add.at(covered, begin + self.size, -1)
+        for answer in answers.values():
+            least, back = _split(answer)
+            places, new = _split(back)
+            places = unpacked(places, np.int32)
+            which = np.cumsum(np.unpackbits(np.frombuffer(new, np.uint8), count=len(places)).astype(np.int32)) - 1
+            begin = places[unpacked(least, np.int64)[which] < doc_ids[np.searchsorted(ends, places, "right")]]
+            np.add.at(covered, begin, 1)
+            np.add.at(covered, begin + self.size, -1)
         keep = np.cumsum(covered)[:-1] == 0
-        texts, removed, shas = [], [], []
+        kept_texts, removed, shas = [], [], []
         at = 0
-        for text, words in zip(t["text"].to_pylist(), counts.tolist(), strict=True):
+        for text, words in zip(texts.to_pylist(), counts.tolist(), strict=True):
             own_words, flags = text.encode().split(), keep[at: at + words]
             if not flags.all():
                 own_words = list(compress(own_words, flags.tolist()))
             kept = b" ".join(own_words)
-            texts.append(kept if len(own_words) < words else text.encode())
+            kept_texts.append(kept if len(own_words) < words else text.encode())
             removed.append(words - len(own_words))
             shas.append(hashlib.sha256(kept).hexdigest())
             at += words
         return pa.table({
-            "row": t["row"], "kept_text": pa.array(texts, pa.binary()).cast(pa.string()),
+            "row": t["row"], "kept_text": pa.array(kept_texts, pa.binary()).cast(pa.string()),
             "n_words": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
             "kept_sha256": pa.array(shas, pa.string())})
 
 
+def _joined(parts: list[bytes]) -> bytes:
+    """Parts after their number and sizes."""
+    return np.array([len(parts), *map(len, parts)], "<u4").tobytes() + b"".join(parts)
+
+
+def _split(data: bytes) -> list[bytes]:
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    ends = np.cumsum(np.frombuffer(data, "<u4", n, 4).astype(np.int64)) + 4 * (n + 1)
+    return [data[end - size: end] for end, size in zip(ends.tolist(), np.frombuffer(data, "<u4", n, 4).tolist(), strict=True)]
+
+
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                     depth: int = DEPTH, cells_per_byte: float = CELLS_PER_BYTE) -> DataFrame:
     """The rows of docs, the text replaced by kept_text, with n_words, n_removed and kept_sha256.
@@ -191,7 +205,5 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     blocked = exchange.in_blocks(docs, id_col, text_col, blocks)
     counted = exchange.answered(exchange.sent(blocked, sketch.ask), sketch.reply)
     grouped = exchange.answered(exchange.sent(blocked, groups.ask, counted), groups.reply)
-    # the second answers are told from the first by negative numbers
-    both = counted.unionByName(grouped.selectExpr("block", "-1 - segment AS segment", "payload"))
-    found = exchange.finished(blocked, both, groups.finish, exchange.result_schema(docs, text_col, RESULTS))
+    found = exchange.finished(blocked, grouped, groups.finish, exchange.result_schema(docs, text_col, RESULTS))
     return exchange.unfolded(found, docs, text_col, RESULTS)
