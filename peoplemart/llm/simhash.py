@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from peoplemart.llm.common import checkpointed, identified, shipped
 from peoplemart.llm.components import components
+from peoplemart.sources.storage import staged
 
 SHINGLE = 3
 DISTANCE = 2
@@ -186,3 +187,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = of.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(of.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    distance: int = DISTANCE) -> DataFrame:
+    """docs with one row of each group of near-duplicates: of the smallest id (rows without one come last), of several
+    such rows any one. All columns pass through, whatever their names."""
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    # rows are numbered once, in what is written, so that rows of one id are told apart
+    numbered = staged(docs.toDF(*plain).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(numbered, "row", plain[docs.columns.index(text_col)], shingle, distance)
+    ids = numbered.select("row", F.col(plain[docs.columns.index(id_col)]).cast("long").alias("id"))
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    stays = groups.join(ids, groups["doc_id"] == ids["row"]).groupBy("component_id").agg(F.min(order).alias("first")).select(
+        F.col("first.row").alias("row"))
+    return numbered.join(stays, "row", "left_semi").select(*plain).toDF(*docs.columns)

@@ -1,12 +1,14 @@
 """Stages of the pipeline that do more than their operator's query."""
 
 import random
+from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from peoplemart.llm import language
+from peoplemart.llm import language, simhash
 from tests.conftest import SMALL
 from tests.llm import cases
 
@@ -18,34 +20,50 @@ def frame(spark, rows):
     return spark.createDataFrame([(i, t, None, None, len(t or "")) for i, t in rows], SCHEMA)
 
 
-def sets(text):
-    own = cases.words(text.lower())
-    return {tuple(own[i: i + 5]) for i in range(max(1, len(own) - 4))}
+def bits(text):
+    """The fingerprint of op6's contract, as plain Python."""
+    own = cases.words("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    grams = [" ".join(own[i: i + 3]) for i in range(max(1, len(own) - 2))] if own else []
+    hashes = [xxhash.xxh64_intdigest(gram.encode(), 42) for gram in grams]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
 
 
-def test_near_copies_against_all_pairs(spark):
+def test_one_document_of_each_group_stays(spark):
+    """Against all pairs of fingerprints; repeated ids, ids that are missing, copies, empty and NULL texts."""
     rng = random.Random(8)
-    rows = []
-    for k in range(60):
-        own = cases.sentence(rng, rng.randint(60, 400), 5000).split()
-        rows.append((10 * k, " ".join(own)))
-        for c in range(1, 6):  # of likeness 0.6 to 0.99
+    rows = [(7, None), (3, ""), (None, ""), (None, "only here and nowhere else"), (12, "some words"), (12, "some words"), (12, "other words")]
+    for k in range(40):
+        own = cases.sentence(rng, rng.randint(60, 900), 5000).split()
+        rows += [(100 * k + 50, " ".join(own)), (100 * k + 20, " ".join(own).upper())]
+        for c in range(1, 8):
             changed = list(own)
-            for at in rng.sample(range(len(own)), max(1, len(own) * c // 150)):
-                changed[at] = f"new{rng.random()}"
-            rows.append((10 * k + c, " ".join(changed)))
+            changed[rng.randrange(len(own))] = f"new{c}"
+            rows.append((100 * k + 50 + c, " ".join(changed)))
     rng.shuffle(rows)
-    own = {i: sets(t) for i, t in rows}
-    root = {i: i for i in own}
-    near = [(a, b) for a in own for b in own if a < b and len(own[a] & own[b]) >= 0.8 * len(own[a] | own[b])]
-    assert len(near) > 100
-    for _ in own:
+    prints = [bits(text or "") for _, text in rows]
+    root = list(range(len(rows)))
+    near = [(a, b) for a in range(len(rows)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    assert any(prints[a] != prints[b] for a, b in near)
+    changed = True
+    while changed:
+        changed = False
         for a, b in near:
-            root[a] = root[b] = min(root[a], root[b])
-        if all(root[a] == root[b] for a, b in near):
-            break
-    got = {r.doc_id for r in STAGES["near_dedup"](spark, frame(spark, rows), "").collect()}
-    assert got == set(root.values())
+            if root[a] != root[b]:
+                root[a] = root[b] = min(root[a], root[b])
+                changed = True
+    least = {}
+    for (i, text), r in zip(rows, root, strict=True):
+        least[r] = min(least.get(r, (True, 0)), (i is None, i or 0))
+    kept = STAGES["near_dedup"](spark, frame(spark, rows).repartition(6), "")
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    got = Counter(r.doc_id for r in kept.collect())
+    assert got == Counter(None if none else i for none, i in least.values()) and got[12] == 2
+    assert STAGES["near_dedup"](spark, frame(spark, []), "").count() == 0
+
+
+def test_all_columns_of_the_rows_that_stay(spark):
+    found = simhash.first_of_groups(cases.frame(spark, cases.awkward_texts()))
+    assert found.columns == cases.frame(spark, []).columns and {r.row for r in found.collect()} == {"x"}
 
 
 @pytest.mark.parametrize("labels", [["en", "de", "fr", "es"], ["en", "de"]])
