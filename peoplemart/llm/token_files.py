@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,10 +30,10 @@ END_ID = 2
 PART_BYTES = 16 << 20
 FILE_BYTES = 1 << 20
 #: Texts that are encoded together.
-RUN_BYTES = 2 << 20
+RUN_BYTES = 4 << 20
 MOST_PARTS = 4096
 #: Pieces of text whose ids a Python worker keeps, at most.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 MAGIC = b"FRVB"
 _HEAD = struct.Struct("<4sIQQQQ")
 
@@ -68,7 +69,7 @@ class Encoder:
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32).tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """The distinct pieces, which of them the texts are made of, and how many each text has."""
@@ -89,7 +90,7 @@ class Encoder:
 
     def of_pieces(self, found: pa.Array) -> list[bytes]:
         words = found.to_pylist()
-        ids = [self.known.get(w) for w in words]
+        ids = list(map(self.known.get, words))
         new = [i for i, x in enumerate(ids) if x is None]
         for at in range(0, len(new), 10_000):
             part = new[at: at + 10_000]
@@ -106,7 +107,7 @@ class Encoder:
         found, which, counts = self.pieces(texts)
         ids = self.of_pieces(found)
         flat = np.frombuffer(b"".join(ids), np.uint32)
-        size = np.fromiter((len(x) >> 2 for x in ids), np.int64, len(ids))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
         start = np.cumsum(size) - size
         # an end id after the pieces of each text
         ends = np.cumsum(counts) + np.arange(len(counts))
