@@ -123,9 +123,9 @@ def removed(spark: SparkSession, folder: str) -> bool:
 def create_once(spark: SparkSession, path: str, text: str) -> bool:
     """Writes a small file unless there is one of its name; whether it did. Readers see it complete or not at all, and of
     several writers at once one succeeds: by a hard link on a local disk, elsewhere by a rename that replaces nothing."""
-    files, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    files = spark._jvm.org.apache.hadoop.fs
     target = files.Path(path)
-    system = target.getFileSystem(conf)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
     draft = files.Path(target.getParent(), f"_draft-{uuid.uuid4().hex}")
     stream = system.create(draft, False)
     stream.write(bytearray(text.encode()))
@@ -135,10 +135,7 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
             local = [spark._jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, draft)]
             spark._jvm.java.nio.file.Files.createLink(*local)
         else:
-            kind = getattr(files, "Options$Rename")
-            options = spark.sparkContext._gateway.new_array(kind, 1)
-            options[0] = kind.valueOf("NONE")
-            files.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, options)
+            _renamed(spark, draft, target)
         return True
     except Py4JJavaError as error:
         if "FileAlreadyExists" not in error.java_exception.getClass().getName():
@@ -148,6 +145,15 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
         system.delete(draft, False)
 
 
+def _renamed(spark: SparkSession, source, target) -> None:
+    """Renames a file in whatever store it is; an error if target is there."""
+    kind = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.valueOf("NONE")
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(source, target, options)
+
+
 def append_batch(df: DataFrame, folder: str, name: str, batch: str) -> int:
     """Appends df to folder/name.parquet as the batch of that name (letters, digits, '.', '_', '-') and returns its rows.
 

@@ -3,6 +3,7 @@
 import threading
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from peoplemart.plans import kpis
 from peoplemart.plans.reload import ConcurrentLoad, Mart, current, reloaded
 from peoplemart.sources.schemas import MART, SOURCE
 from peoplemart.sources.storage import (
-    Tables, append_batch, appended_table, catalog_tables, create_once, new_folder, read_table, write_table)
+    Tables, _renamed, append_batch, appended_table, catalog_tables, create_once, new_folder, read_table, write_table)
 from tests.test_scale import plan_of
 
 
@@ -31,6 +32,18 @@ def test_one_of_many_writers_creates_a_file(spark, tmp_path):
     assert not create_once(spark, path, "late") and create_once(spark, path.replace("1.json", "2.json"), "next")
 
 
+def test_stores_without_links_rename(spark, tmp_path):
+    """The way of other stores, tried on local files: a name that is taken is kept, and said to be."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for name in ("a", "b"):
+        (tmp_path / name).write_text(name)
+    _renamed(spark, path(f"file://{tmp_path}/a"), path(f"file://{tmp_path}/taken"))
+    with pytest.raises(Py4JJavaError) as refused:
+        _renamed(spark, path(f"file://{tmp_path}/b"), path(f"file://{tmp_path}/taken"))
+    assert "FileAlreadyExists" in refused.value.java_exception.getClass().getName()
+    assert (tmp_path / "taken").read_text() == "a" and (tmp_path / "b").exists() and not (tmp_path / "a").exists()
+
+
 def two_loads(spark, source, settings, root, **options):
     """Two loads that both begin before either is published, the second with an employee less; their outcomes."""
     begun, outcome = threading.Barrier(2), {}
