@@ -271,6 +271,46 @@ def test_long_lines_of_signs_in_linear_time():
     assert secret_scan.literal_spans(text) == [(6, 12, "literal")]
 
 
+KEY = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB\n\nMIIEvQabc+/\nQ1w2e3r4==\n-----END RSA PRIVATE KEY-----"
+
+
+@pytest.mark.parametrize("text, found", [
+    ('password = """Zx81!qrs"""', ["Zx81!qrs"]), ("pwd = '''Zx81!qrs'''", ["Zx81!qrs"]), ("secret = `Zx81!qrs`;", ["Zx81!qrs"]),
+    ('password = f"Zx81!qrs"', ["Zx81!qrs"]), ('password = rb"Zx81!qrs"', ["Zx81!qrs"]), ('password = f"{value}"', []),
+    ("db:\n  password: |\n    Zx81!qrs\n    TuV99\n  user: joe\n", ["Zx81!qrs\n    TuV99"]),
+    ('password = (\n    "Zx81!"\n    "qrs"\n)\n', ["Zx81!", "qrs"]), ('password = "Zx81!" +\n  "qrs"', ["Zx81!", "qrs"]),
+    ('passwords = [\n  "Zx81!qrs",  # "the first\n  "k9$Ab2cd",\n]\n', ["Zx81!qrs", "k9$Ab2cd"]),
+    ('password = os.getenv("DB_PASSWORD", "Zx81!qrs")', ["Zx81!qrs"]), ('token = SecretStr("Zx81!qrs")', ["Zx81!qrs"]),
+    ('password = os.environ.get("DB_PASSWORD") or "Zx81!qrs"', ["Zx81!qrs"]), ('api_key = process.env.API_KEY || "Zx81!qrs"', ["Zx81!qrs"]),
+    ('let secret = new Secret("Zx81!qrs")', ["Zx81!qrs"]), ('key = connect(host="Ab12Cd34", password="Zx81!qrs")', ["Zx81!qrs"]),
+    ("<password>Zx81!qrs</password>", ["Zx81!qrs"]), ('<add key="password" value="Zx81!qrs"/>', ["Zx81!qrs"]),
+    ('pwd = base\nbase = inner\ninner = "Zx81!qrs"', ["Zx81!qrs"]), ("pwd = a\na = b\nb = a\n", []), ("pwd = pwd", []),
+    ('x = "Zx81!qrs"\nx = x + "TuV"\npwd = x\n', ["Zx81!qrs", "TuV"]), ('x = "Zx81!qrs"\npwd = x\nx = "harmless"\n', ["Zx81!qrs"]),
+    (f"x\n{KEY}\ny", [KEY]), (f'private_key = """{KEY}"""\n', [KEY]), (f"note {KEY[:-29]} and words", [KEY[:31]]),
+    ("secret = compute_value(arg)", []), ('token = request.headers.get("X-Auth-Token")', []), ('password = getpass.getpass("Password:")', []),
+    ('password = config["db"]["pw"]', []), ('secret = load(path="Zx81!qrs9")', []), ('token_error = ValueError("Invalid token given")', []),
+    ("the token: understanding of words", []), ('password = ("not closed Zx81', []), ('secret = [")', []),
+    ('p' * 500 + '_password = "Zx81!qrs"', ["Zx81!qrs"]),
+])
+def test_forms_of_literals_and_code_that_is_none(text, found):
+    assert [text[b:e] for b, e, _ in secret_scan.literal_spans(text)] == found
+
+
+def test_names_of_calls_are_not_redacted():
+    *_, (text,) = secret_scan._scan(["secret = compute_value(arg)\npassword = Zx81qrs9\ntoken = Zx81qrs9(x"])
+    assert text == "secret = compute_value(arg)\n[secret]\n[secret](x"
+
+
+@pytest.mark.parametrize("text", [
+    "pwd = (" * 30_000, "pwd = [ ) " * 20_000, "pwd = ('b' " * 20_000, "token = f(" * 20_000 + ")" * 20_000, 'token = """' * 20_001,
+    "pwd = a0\n" + "".join(f"a{i} = a{i + 1}\n" for i in range(10_000)) + "a10000 = 'Zx81!qrs'", "-----BEGIN PRIVATE KEY-----\nMIIE" * 20_000,
+    "pwd = 'x' or " * 20_000, "A" * 200_000 + " = x"])
+def test_brackets_chains_and_keys_in_linear_time(text):
+    begin = time.monotonic()
+    secret_scan.literal_spans(text)
+    assert time.monotonic() - begin < 20
+
+
 def test_secret_columns(spark):
     rows = [(1, None), (2, ""), (3, "é token = abcdef0123 x"), (3, "é token = abcdef0123 x"), (None, "x" * 200_000 + " secret: Q1w2e3r4")]
     got = {(r.doc_id, r.n_assign, r.spans, (r.redacted_text or "")[-12:]) for r in secret_scan.secrets(cases.frame(spark, rows)).collect()}
