@@ -1,9 +1,11 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads a word's UTF-8 bytes in both directions and labels every byte; a document's
-probabilities are the mean over all its bytes. It is trained in numpy by backpropagation through time
-on a bounded sample of labelled words. Bytes of ASCII other than letters part words, and letters are
-lower-cased; the state begins anew with each word, so equal words of a batch are read once.
+A document's stream is its UTF-8 bytes, ASCII letters lower-cased, with one blank for each run of other ASCII
+signs. The network reads the stream in both directions and labels every position, blanks too; a document's
+probabilities are the mean over all positions. States carry over words: a stream is labelled in windows of STRIDE
+positions, and each is read with MARGIN more positions on either side, so memory is bounded whatever a text's
+length. The network is trained in numpy by backpropagation through time on passages of a bounded sample, joined in
+random order, so the label changes within the sequences it sees.
 """
 
 from __future__ import annotations
@@ -13,7 +15,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,27 +23,52 @@ from pyspark.sql import types as T
 from peoplemart.llm.common import mapped, pieces, shipped
 
 UNKNOWN = "und"
-#: The sample: rows of all languages together, evenly from each, and words of each row, evenly over its whole text.
+#: The sample: rows of all languages together, in turn from each, and passages of each row, evenly over its whole text.
 SAMPLE_ROWS = 3000
-SAMPLE_WORDS = 40
+SAMPLE_PASSAGES = 8
 SAMPLE_PARTS = 64
-#: Longer words are cut into pieces of so many bytes.
-LONGEST = 24
+#: Bytes of a passage, at most, and of a sequence in training.
+PASSAGE = 32
+SEQUENCE = 64
+#: Positions labelled together, and read besides on either side.
+STRIDE = 256
+MARGIN = 32
+#: Windows read together.
+WINDOWS = 1024
 WIDTH = 8
 #: Of training, at least.
-STEPS = 1500
+STEPS = 500
 
 _LETTER = regex.compile(r"\p{L}")
-_FOLD = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
+_BLANK = 0x20
+_FOLD = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else _BLANK for b in range(256))
 
 
-def words_in(text: str) -> list[bytes]:
-    return text.encode().translate(_FOLD).split()
+def stream_of(text: str) -> np.ndarray:
+    """The bytes that the network reads."""
+    codes = np.frombuffer(text.encode().translate(_FOLD), np.uint8)
+    blank = codes == _BLANK
+    codes = codes[~(blank & np.insert(blank[:-1], 0, True))] if len(codes) else codes
+    return codes[:-1] if len(codes) and codes[-1] == _BLANK else codes
+
+
+def passages_of(stream: np.ndarray, most: int) -> list[bytes]:
+    """So many passages of whole words, evenly over the stream, or fewer if they would meet; a longer word is cut."""
+    count = min(most, pieces(len(stream), PASSAGE, 0))
+    begins = np.insert(np.flatnonzero(stream == _BLANK) + 1, 0, 0)
+    found = []
+    for i in range(min(count, len(begins))):
+        at = begins[i * len(begins) // count]
+        passage = stream[at: at + PASSAGE + 1].tobytes()
+        found.append(passage[: passage.rindex(b" ")] if len(passage) > PASSAGE and b" " in passage else passage[:PASSAGE])
+    return found
 
 
 @dataclass
 class Network:
-    """Weights by name, for one direction each: w (byte to gates), u (state to gates); out and bias of the labels."""
+    """Weights by name, for one direction each: w (byte to gates), u (state to gates); out and bias of the labels.
+
+    Byte 0, which no stream has, stands for no position: it adds nothing, so a state that is zero stays zero."""
     labels: list[str]
     weights: dict[str, np.ndarray]
 
@@ -52,107 +78,124 @@ class Network:
         weights = {}
         for side in "fb":
             weights |= {f"w{side}": scale(256, 3 * width), f"u{side}": scale(width, 3 * width)}
+            weights[f"w{side}"][0] = 0
         weights |= {"out": scale(2 * width, len(labels)), "bias": np.zeros(len(labels), np.float32)}
         return Network(labels, weights)
 
-    def _run(self, side: str, codes: np.ndarray, keep: list | None) -> np.ndarray:
-        """States after each byte: steps, words, width."""
-        w, u = self.weights[f"w{side}"], self.weights[f"u{side}"]
-        n, steps = codes.shape
-        width = u.shape[0]
-        h = np.zeros((n, width), np.float32)
-        states = np.empty((steps, n, width), np.float32)
-        for t in (range(steps) if side == "f" else range(steps - 1, -1, -1)):
-            x = w[codes[:, t]]
-            g = h @ u
-            gates = 1 / (1 + np.exp(-(x[:, : 2 * width] + g[:, : 2 * width])))
-            z, r = gates[:, :width], gates[:, width:]
-            candidate = np.tanh(x[:, 2 * width:] + r * g[:, 2 * width:])
+    def _run(self, side: str, codes: np.ndarray, states: np.ndarray, keep: list | None) -> None:
+        """Fills states (steps, width, sequences) with those after each byte of codes (steps, sequences)."""
+        w, u = np.ascontiguousarray(self.weights[f"w{side}"].T), np.ascontiguousarray(self.weights[f"u{side}"].T)
+        width = u.shape[1]
+        h = np.zeros((width, codes.shape[1]), u.dtype)
+        for t in (range(len(codes)) if side == "f" else range(len(codes) - 1, -1, -1)):
+            x = w.take(codes[t], 1)
+            g = u @ h
+            gates = x[: 2 * width]
+            gates += g[: 2 * width]
+            np.negative(gates, gates)
+            np.exp(gates, gates)
+            gates += 1
+            np.reciprocal(gates, gates)
+            z, r = gates[:width], gates[width:]
+            candidate = np.tanh(x[2 * width:] + r * g[2 * width:])
             if keep is not None:
-                keep.append((t, h, z, r, candidate, g[:, 2 * width:]))
+                keep.append((t, h, z, r, candidate, g[2 * width:]))
             h = candidate + z * (h - candidate)
             states[t] = h
-        return states
 
-    def probabilities(self, codes: np.ndarray, keep: dict | None = None) -> np.ndarray:
-        """Of each label at each byte of words of one length: steps, words, labels."""
-        states = np.concatenate([self._run(s, codes, None if keep is None else keep.setdefault(s, [])) for s in "fb"], 2)
+    def _labelled(self, codes: np.ndarray, begin: int, end: int, keep: dict | None = None) -> np.ndarray:
+        """Of each label at each step from begin to end: steps, labels, sequences."""
+        width = len(self.weights["uf"])
+        states = np.empty((len(codes), 2 * width, codes.shape[1]), self.weights["uf"].dtype)
+        for i, side in enumerate("fb"):
+            self._run(side, codes, states[:, i * width: (i + 1) * width], None if keep is None else keep.setdefault(side, []))
         if keep is not None:
             keep["states"] = states
-        raw = states @ self.weights["out"] + self.weights["bias"]
-        raw = np.exp(raw - raw.max(2, keepdims=True))
-        return raw / raw.sum(2, keepdims=True)
+        p = self.weights["out"].T @ states[begin: end] + self.weights["bias"][:, None]
+        p -= p.max(1, keepdims=True)
+        np.exp(p, p)
+        p /= p.sum(1, keepdims=True)
+        return p
+
+    def probabilities(self, codes: np.ndarray) -> np.ndarray:
+        """Of each label at each byte of sequences of one length: steps, sequences, labels."""
+        return self._labelled(np.ascontiguousarray(codes.T), 0, codes.shape[1]).transpose(0, 2, 1)
 
     def gradients(self, codes: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean cross entropy over all bytes, backwards through time."""
-        keep: dict = {}
-        p = self.probabilities(codes, keep)
+        """Of the mean cross entropy over all bytes (sequences, steps; so are targets), backwards through time."""
         n, steps = codes.shape
-        p[:, np.arange(n), targets] -= 1
+        codes, keep = np.ascontiguousarray(codes.T), {}
+        p = self._labelled(codes, 0, steps, keep)
+        p[np.arange(steps)[:, None], targets.T, np.arange(n)] -= 1
         p /= n * steps
-        grads = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        width = self.weights["uf"].shape[0]
-        grads["out"] = np.einsum("tnh,tnc->hc", keep["states"], p)
-        grads["bias"] = p.sum((0, 1))
-        into = p @ self.weights["out"].T
+        width = len(self.weights["uf"])
+        grads = {"out": np.tensordot(keep["states"], p, ([0, 2], [0, 2])), "bias": p.sum((0, 2))}
+        into = self.weights["out"] @ p
+        order = np.argsort(codes.ravel(), kind="stable")
+        begins = np.flatnonzero(np.diff(codes.ravel()[order], prepend=-1))
         for i, side in enumerate("fb"):
-            u, later = self.weights[f"u{side}"], np.zeros((n, width), np.float32)
+            u, later = self.weights[f"u{side}"], np.zeros((width, n), p.dtype)
+            grads[f"u{side}"], grads[f"w{side}"] = np.zeros_like(u), np.zeros_like(self.weights[f"w{side}"])
+            of_bytes = np.empty((steps, n, 3 * width), p.dtype)
             for t, h, z, r, candidate, gn in reversed(keep[side]):
-                d = later + into[t, :, i * width: (i + 1) * width]
+                d = later + into[t, i * width: (i + 1) * width]
                 dc = d * (1 - z) * (1 - candidate**2)
                 dz = d * (h - candidate) * z * (1 - z)
                 dr = dc * gn * r * (1 - r)
-                dx = np.concatenate([dz, dr, dc], 1)
-                dg = np.concatenate([dz, dr, dc * r], 1)
-                np.add.at(grads[f"w{side}"], codes[:, t], dx)
-                grads[f"u{side}"] += h.T @ dg
-                later = d * z + dg @ u.T
+                of_bytes[t] = np.concatenate([dz, dr, dc]).T
+                dg = np.concatenate([dz, dr, dc * r])
+                grads[f"u{side}"] += h @ dg.T
+                later = d * z + u @ dg
+            grads[f"w{side}"][codes.ravel()[order[begins]]] = np.add.reduceat(of_bytes.reshape(-1, 3 * width)[order], begins)
         return grads
 
-    def pooled(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """For each word, the sum of its bytes' probabilities, and how many bytes it has."""
-        sums = np.zeros((len(words), len(self.labels)))
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        for length, index, codes in by_length(words):
-            for at in range(0, len(index), 8192):
-                # a word cut in pieces has several
-                np.add.at(sums, index[at: at + 8192], self.probabilities(codes[at: at + 8192]).sum(0))
-        return sums, lengths
-
-
-def by_length(words: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Of each length: which words have a piece of it, and the pieces' bytes."""
-    found: dict[int, tuple[list[int], list[bytes]]] = {}
-    for i, word in enumerate(words):
-        for at in range(0, len(word), LONGEST):
-            piece = word[at: at + LONGEST]
-            which, parts = found.setdefault(len(piece), ([], []))
-            which.append(i)
-            parts.append(piece)
-    for length, (which, parts) in sorted(found.items()):
-        yield length, np.array(which), np.frombuffer(b"".join(parts), np.uint8).reshape(-1, length)
-
-
-def trained(words: list[bytes], labels: list[str], width: int = WIDTH, steps: int = STEPS, batch: int = 256,
+    def pooled(self, streams: list[np.ndarray]) -> np.ndarray:
+        """For each stream, the sum of its positions' probabilities."""
+        counts = np.array([pieces(len(s), STRIDE, 0) for s in streams], np.int64)
+        margin = np.zeros(MARGIN, np.uint8)
+        padded = [x for s, k in zip(streams, counts, strict=True) for x in (margin, s, np.zeros(k * STRIDE - len(s), np.uint8), margin)]
+        flat = np.concatenate(padded) if padded else margin
+        owners = np.repeat(np.arange(len(streams)), counts)
+        # the windows of a stream follow each other, and each stream before adds two margins
+        begins = np.arange(len(owners)) * STRIDE + owners * 2 * MARGIN
+        sums = np.zeros((len(streams), len(self.labels)))
+        most = max(1, min(WINDOWS, (1 << 24) // (STRIDE * len(self.labels))))
+        for at in range(0, len(owners), most):
+            codes = flat[begins[at: at + most] + np.arange(STRIDE + 2 * MARGIN)[:, None]]
+            p = self._labelled(codes, MARGIN, MARGIN + STRIDE)
+            p *= (codes[MARGIN: MARGIN + STRIDE] != 0)[:, None]
+            np.add.at(sums, owners[at: at + most], p.sum(0, dtype=np.float64).T)
+        return sums
+
+
+def sequences(passages: list[bytes], targets: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Passages joined by blanks in an order, cut into sequences, and the label of each position; what is wanting
+    at the end is taken from the begin."""
+    joined = [passages[i] + b" " for i in order]
+    codes = np.frombuffer(b"".join(joined), np.uint8)
+    of = np.repeat(targets[order], [len(x) for x in joined])
+    shape = (pieces(len(codes), SEQUENCE), SEQUENCE)
+    return np.resize(codes, shape), np.resize(of, shape)
+
+
+def trained(passages: list[bytes], labels: list[str], width: int = WIDTH, steps: int = STEPS, batch: int = 256,
             rate: float = 0.02, seed: int = 7) -> Network:
-    """A network that has seen words, each with its label, for so many steps and each word at least twice."""
+    """A network that has seen passages, each with its label, for so many steps and each passage at least twice."""
     rng = np.random.default_rng(seed)
     names = sorted(set(labels))
     network = Network.new(names, width, rng)
     target = np.array([names.index(x) for x in labels], np.int64)
-    groups = [(codes, target[index]) for _, index, codes in by_length(words)]
-    parts = [(g, at) for g, (codes, _) in enumerate(groups) for at in range(0, len(codes), batch)]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.weights.items()}
-    step, rounds = 0, max(2, -(-steps // len(parts)))
+    step, rounds = 0, max(2, -(-steps * batch * SEQUENCE // sum(len(x) + 1 for x in passages)))
+    # few passages make small batches, and no more steps
+    rounds = min(rounds, max(2, steps))
     for r in range(rounds):
-        orders = [rng.permutation(len(codes)) for codes, _ in groups]
-        for k in rng.permutation(len(parts)):
-            g, at = parts[k]
-            pick = orders[g][at: at + batch]
+        codes, of = sequences(passages, target, rng.permutation(len(passages)))
+        for at in range(0, len(codes), batch):
             step += 1
-            grads = network.gradients(groups[g][0][pick], groups[g][1][pick])
-            # a batch of few words moves the weights little
-            size = rate * 0.02 ** (r / rounds) * min(1.0, (len(pick) / batch) ** 0.5)
+            grads = network.gradients(codes[at: at + batch], of[at: at + batch])
+            # a batch of few sequences moves the weights little
+            size = rate * 0.02 ** (r / rounds) * min(1.0, (len(codes[at: at + batch]) / batch) ** 0.5)
             for name, grad in grads.items():
                 m, v = moments[name]
                 m += 0.1 * (grad - m)
@@ -167,9 +210,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = SAMPLE_ROWS,
-           words: int = SAMPLE_WORDS) -> tuple[list[bytes], list[str]]:
-    """Words and their labels from a bounded sample: rows are taken in turn from each label, in an order
-    given by a hash of their ids; then words evenly over the whole text of each."""
+           passages: int = SAMPLE_PASSAGES) -> tuple[list[bytes], list[str]]:
+    """Passages and their labels from a bounded sample: rows are taken in turn from each label, in an order
+    given by a hash of their ids; then passages evenly over the whole text of each. Of rows equal in id and label
+    one is taken, that of the least passages."""
     shipped(docs.sparkSession)
     known = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[label_col].cast("string").alias("label")).filter(
         "doc_id IS NOT NULL AND label IS NOT NULL").filter(~held_out(F.col("doc_id")))
@@ -183,44 +227,29 @@ def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, rows: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = []
-            for text in b["text"]:
-                own = words_in(text.as_py())
-                found.append([own[i * len(own) // words] for i in range(words)] if len(own) > words else own)
-            yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], b["label"], pa.array([b" ".join(x[:LONGEST] for x in own) for own in found])], ["doc_id", "label", "words"])
+            found = [b"\n".join(passages_of(stream_of(text.as_py()), passages)) for text in b["text"]]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["label"], pa.array(found, pa.binary())], ["doc_id", "label", "passages"])
 
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[label_col].cast("string").alias("label"),
                         F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    picked = texts.join(F.broadcast(chosen), ["doc_id", "label"]).mapInArrow(run, "doc_id long, label string, words binary")
-    gathered = picked.groupBy("doc_id", "label").agg(F.min("words").alias("words")).orderBy("doc_id", "label").collect()
-    pairs = [(word, row.label) for row in gathered for word in bytes(row.words).split()]
-    return [w for w, _ in pairs], [x for _, x in pairs]
+    picked = texts.join(F.broadcast(chosen), ["doc_id", "label"]).mapInArrow(run, "doc_id long, label string, passages binary")
+    gathered = picked.groupBy("doc_id", "label").agg(F.min("passages").alias("passages")).orderBy("doc_id", "label").collect()
+    pairs = [(passage, row.label) for row in gathered for passage in bytes(row.passages).split(b"\n") if passage]
+    return [p for p, _ in pairs], [x for _, x in pairs]
 
 
 RESULTS = {"lang_pred": T.StringType(), "score": T.DoubleType()}
 
 
 def identified_by(network: Network | None, docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score (the probability of lang_pred, the mean over the text's bytes)."""
+    """docs with lang_pred and score (the probability of lang_pred, the mean over its stream's positions)."""
     def run(texts: list[str | None]) -> list[list]:
-        own = [text is not None and network is not None and bool(_LETTER.search(text)) for text in texts]
-        folded = pa.array([text.encode().translate(_FOLD) if ok else b"" for text, ok in zip(texts, own, strict=True)],
-                          pa.binary()).cast(pa.string())
-        split = pc.ascii_split_whitespace(folded)
-        flat = split.flatten()
-        filled = flat.filter(pc.greater(pc.binary_length(flat), 0)).dictionary_encode()
-        ends = np.insert(np.cumsum(np.asarray(pc.not_equal(flat, ""))), 0, 0)[np.asarray(split.offsets) - split.offsets[0].as_py()]
+        streams = [stream_of(text if text is not None and network is not None and _LETTER.search(text) else "") for text in texts]
         labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        if len(filled):
-            sums, lengths = network.pooled([w.encode() for w in filled.dictionary.to_pylist()])
-            index = np.asarray(filled.indices)
-            for i, ok in enumerate(own):
-                which = index[ends[i]: ends[i + 1]]
-                if ok and len(which):
-                    p = sums[which].sum(0) / lengths[which].sum()
-                    best = int(p.argmax())
-                    labels[i], scores[i] = network.labels[best], float(min(1.0, p[best]))
+        for i, sums in enumerate(network.pooled(streams)) if network is not None else ():
+            if len(streams[i]):
+                best = int(sums.argmax())
+                labels[i], scores[i] = network.labels[best], float(min(1.0, sums[best] / len(streams[i])))
         return [labels, scores]
 
     return mapped(docs, text_col, RESULTS, run)
@@ -231,8 +260,9 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     id, a label and are not held out.
 
     lang_pred is a learned label, or 'und' with score 0 where the text is NULL or has no letter, and
-    everywhere if nothing is labelled. Only the text decides; equal texts get equal results. Very long
-    texts are read whole."""
-    words, labels = sample(docs, id_col, text_col, label_col)
-    network = trained(words, labels) if words else None
+    everywhere if nothing is labelled. Only the text decides, so repeated rows, also of one id, are labelled each;
+    of labels with the same probability the smaller is taken. Very long texts are read whole. Columns named held_out,
+    lang_pred or score are replaced."""
+    passages, labels = sample(docs, id_col, text_col, label_col)
+    network = trained(passages, labels) if passages else None
     return identified_by(network, docs, text_col).withColumn("held_out", held_out(F.col(id_col)))

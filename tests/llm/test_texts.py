@@ -323,8 +323,8 @@ def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     network = language.Network.new(["a", "b", "c"], 3, rng)
     network.weights = {k: v.astype(np.float64) for k, v in network.weights.items()}
-    codes, targets = rng.integers(97, 101, (5, 4)).astype(np.uint8), rng.integers(0, 3, 5)
-    loss = lambda: -np.log(network.probabilities(codes)[:, np.arange(5), targets]).mean()
+    codes, targets = rng.integers(97, 101, (5, 4)).astype(np.uint8), rng.integers(0, 3, (5, 4))
+    loss = lambda: -np.log(network.probabilities(codes)[np.arange(4)[:, None], np.arange(5), targets.T]).mean()
     grads = network.gradients(codes, targets)
     for name, weight in network.weights.items():
         at = np.unravel_index(np.abs(grads[name]).argmax(), weight.shape)
@@ -361,9 +361,9 @@ def test_languages_of_awkward_texts(spark):
 
 def test_bounded_sample(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
-    words, labels = language.sample(docs.unionAll(docs), "doc_id", "text", "lang", rows=20, words=3)
-    assert 20 < len(words) <= 60 and set(labels) == {"en", "de", "fr", "es"}
-    assert not any(re.search(rb"[A-Z0-9 ]", w) for w in words)
+    passages, labels = language.sample(docs.unionAll(docs), "doc_id", "text", "lang", rows=20, passages=3)
+    assert 20 < len(passages) <= 60 and set(labels) == {"en", "de", "fr", "es"}
+    assert all(0 < len(p) <= language.PASSAGE and p == p.strip() and not re.search(rb"[A-Z0-9]|  ", p) for p in passages)
 
 
 def test_every_label_is_learned(spark):
@@ -373,5 +373,26 @@ def test_every_label_is_learned(spark):
     kept = docs.filter(~language.held_out(F.col("doc_id")) & (F.col("label") == "rare")).limit(3).unionAll(docs.filter("label <> 'rare'"))
     _, labels = language.sample(kept, "doc_id", "text", "label", rows=180)
     found = Counter(labels)
-    # three rows of each: of one word, or of three
-    assert len(found) == 60 and found.pop("rare") == 9 and set(found.values()) == {3}
+    # three rows of each, and one passage of a short row
+    assert len(found) == 60 and set(found.values()) == {3}
+
+
+def test_streams_and_passages():
+    assert language.stream_of("  Der\t12  Straße,\nÀ! ").tobytes() == "der straße À".encode()
+    assert language.stream_of("").tobytes() == language.stream_of("12 34").tobytes() == b""
+    assert language.passages_of(language.stream_of("one two"), 3) == [b"one two"]
+    assert language.passages_of(language.stream_of("x" * 100), 3) == [b"x" * language.PASSAGE]
+    assert language.passages_of(language.stream_of("word " * 100), 3) == [b"word word word word word word"] * 3
+    assert language.passages_of(language.stream_of(""), 3) == []
+
+
+def test_labels_change_within_a_text():
+    """Every position has its own label: a text of two languages is told apart in the middle."""
+    words = {"a": ["der", "und", "nicht", "ist"], "b": ["the", "and", "not", "is"]}
+    rng = random.Random(3)
+    passages, labels = zip(*((" ".join(rng.choices(words[x], k=6)).encode()[:32], x) for x in "ab" * 200), strict=True)
+    network = language.trained(list(passages), list(labels), steps=150)
+    text = language.stream_of(" ".join(rng.choices(words["a"], k=20)) + " " + " ".join(rng.choices(words["b"], k=20)))
+    best = network.probabilities(text[None])[:, 0].argmax(1)
+    middle = text.tobytes().index(b" ", 65)
+    assert (best[: middle - 20] == 0).mean() > 0.95 and (best[middle + 30:] == 1).mean() > 0.95
