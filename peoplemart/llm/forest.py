@@ -20,14 +20,16 @@ from pyspark.sql import functions as F
 from peoplemart.llm.common import pieces, shipped
 
 NEAREST = 10
-TREES = 64
+TREES = 256
+#: Trees hashed together.
+HASHED = 32
 BITS = 24
 SHARD_ROWS = 8192
 QUERY_ROWS = 256
 #: Share of a shard that a query takes as candidates at least, before the rest of the level it has come to.
-SHARE = 0.4
+SHARE = 0.2
 #: Candidates of a shard at least, if it has so many.
-LEAST = 512
+LEAST = 768
 SEED = 2
 
 
@@ -49,12 +51,16 @@ class Forest:
         self.points, self.trees, self.bits = points, trees, bits
         self.planes = rng.standard_normal((points.shape[1], trees * bits))
         hashes = self.hashed(points)
-        self.order = np.argsort(hashes, axis=0, kind="stable")
+        self.order = np.argsort(hashes, axis=0, kind="stable").astype(np.int32)
         self.strings = np.take_along_axis(hashes, self.order, 0)
 
     def hashed(self, vectors: np.ndarray) -> np.ndarray:
-        signs = (vectors @ self.planes > 0).reshape(len(vectors), self.trees, self.bits)
-        return signs @ (1 << np.arange(self.bits - 1, -1, -1, dtype=np.int64))
+        places = 1 << np.arange(self.bits - 1, -1, -1, dtype=np.int64)
+        strings = np.empty((len(vectors), self.trees), np.int64)
+        for t in range(0, self.trees, HASHED):
+            signs = vectors @ self.planes[:, t * self.bits: (t + HASHED) * self.bits] > 0
+            strings[:, t: t + HASHED] = signs.reshape(len(vectors), -1, self.bits) @ places
+        return strings
 
     def ranges(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per query, tree and prefix length from 0 to bits: where the strings that share it begin and end."""
@@ -68,18 +74,16 @@ class Forest:
     def candidates(self, queries: np.ndarray, enough: int) -> Iterator[np.ndarray]:
         """For each query, the rows met by the level at which they are enough."""
         begins, ends = self.ranges(queries)
-        for low, high in zip(begins, ends, strict=True):
+        for low, high, sizes in zip(begins, ends, (ends - begins).sum(1), strict=True):
             found = np.zeros(len(self.points), bool)
-            count = 0
             for level in range(self.bits, -1, -1):
                 if level == 0:
                     found[:] = True
-                elif (high[:, level] - low[:, level]).max() * self.trees >= count:  # else nothing new is likely to be enough
-                    for t in range(self.trees):
+                elif sizes[level] >= enough:  # with fewer, met rows told apart can't be enough; the next level has them too
+                    for t in np.flatnonzero(high[:, level] > low[:, level]):
                         found[self.order[low[t, level]: high[t, level], t]] = True
-                count = int(np.count_nonzero(found))
-                if count >= enough:
-                    break
+                    if np.count_nonzero(found) >= enough:
+                        break
             yield np.flatnonzero(found)
 
 
