@@ -1,137 +1,140 @@
 """Stupid-backoff scores of documents by the n-gram counts of all other documents.
 
-Count tables are partitioned by the n-grams' hash: every block of documents sends each distinct n-gram
-once with its count, the segment that owns the hash adds up, and the totals come back to the block,
-where they meet the n-grams of the texts again and are summed per document. A document's own
-occurrences are taken off, so it isn't its own evidence.
+Texts are exploded to n-grams, one row for each distinct n-gram of a text with its count there. Grouped by
+n-gram they are the count table, partitioned by the n-grams' hash and added up in the map tasks first.
+The n-grams that more than one text has are joined back to the texts' rows, and a text's own occurrences
+are taken off, so it isn't its own evidence; they are gathered per text, where each word is scored and
+the scores are summed. A frequent n-gram has one row per text, and adaptive execution splits its join.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peoplemart.llm import exchange
-from peoplemart.llm.common import mixed, packed, packed_sorted, text_bytes, unpacked, unpacked_sorted
+from peoplemart.llm.common import checkpointed, mixed, shipped
 
 ORDER = 2
 BACKOFF = 0.4
+#: The n-gram of no words, the context of single words; a text has it as often as it has words.
+EMPTY = 0
 _ROLLING = exchange.Rolling(9)
 RESULTS = {"n_words": T.LongType(), "score": T.DoubleType()}
-
-
-class _Counts:
-    def __init__(self, order: int, backoff: float, segments: int):
-        self.order, self.backoff, self.segments = order, backoff, segments
-
-    def _runs(self, t: pa.Table):
-        """Of runs of texts: the hashes of the n-grams of each length that begin at each word (0 where
-        the text ends before), the row of each word, and the first row and words of each row."""
-        texts = t["text"].combine_chunks()
-        for begin, end in exchange.batches(texts):
-            data, starts, ends, n = exchange.word_bounds(texts.slice(begin, end - begin))
-            row = np.repeat(np.arange(begin, end), n)
-            words = _ROLLING.words(data, starts, ends)
-            grams = []
-            for k in range(1, self.order + 1):
-                hashes = np.zeros(len(words), np.uint64)
-                if len(words) >= k:
-                    whole = row[k - 1:] == row[: len(row) - k + 1]
-                    hashes[: len(whole)][whole] = np.maximum(_ROLLING.runs(words, k)[whole], np.uint64(1))
-                grams.append(hashes)
-            yield grams, row, begin, n
-
-    def _distinct(self, t: pa.Table):
-        """For each length: the distinct n-grams of the block and their counts; and the block's words."""
-        parts: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(self.order)]
-        total = 0
-        for grams, row, _, _ in self._runs(t):
-            total += len(row)
-            for k, hashes in enumerate(grams):
-                parts[k].append(np.unique(hashes[hashes > 0], return_counts=True))
-        return [_summed([x for x, _ in p], [c for _, c in p]) for p in parts], total
-
-    def ask(self, t: pa.Table):
-        every, total = self._distinct(t)
-        for k, (hashes, counts) in enumerate(every):
-            at = exchange.cuts(hashes, self.segments, 64)
-            for s in np.flatnonzero(np.diff(at)):
-                part = slice(at[s], at[s + 1])
-                keys = packed_sorted(hashes[part])
-                yield int(k * self.segments + s), len(keys).to_bytes(4, "little") + keys + packed(counts[part])
-        yield -1, (-1).to_bytes(4, "little", signed=True) + total.to_bytes(8, "little")
-
-    @staticmethod
-    def reply(payloads: list[bytes]) -> list[bytes]:
-        """The totals of each block's n-grams; or to the blocks' numbers of words, their sum."""
-        if int.from_bytes(payloads[0][:4], "little", signed=True) < 0:
-            total = sum(int.from_bytes(p[4:], "little") for p in payloads)
-            return [total.to_bytes(8, "little")] * len(payloads)
-        sizes = [int.from_bytes(p[:4], "little") for p in payloads]
-        keys = [unpacked_sorted(p[4: 4 + n]) for p, n in zip(payloads, sizes, strict=True)]
-        counts = [unpacked(p[4 + n:], np.int64) for p, n in zip(payloads, sizes, strict=True)]
-        every, order = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.zeros(len(every), np.int64)
-        np.add.at(total, order, np.concatenate(counts))
-        ends = np.cumsum([len(k) for k in keys])[:-1]
-        return [packed(x) for x in np.split(total[order], ends)]
-
-    def finish(self, t: pa.Table, answers: dict[int, bytes]) -> pa.Table:
-        every, _ = self._distinct(t)
-        all_words = int.from_bytes(answers[-1], "little")
-        totals = []
-        for k, (hashes, _) in enumerate(every):
-            filled = np.flatnonzero(np.diff(exchange.cuts(hashes, self.segments, 64)))
-            parts = [unpacked(answers[int(k * self.segments + s)], np.int64) for s in filled]
-            totals.append(np.concatenate(parts) if parts else np.zeros(0, np.int64))
-        n_words, sums = np.zeros(len(t), np.int64), np.zeros(len(t))
-        for grams, row, begin, n in self._runs(t):
-            others = []  # of each length, how often the n-gram at each word occurs in other documents
-            for k, hashes in enumerate(grams):
-                count = np.zeros(len(hashes), np.int64)
-                ok = hashes > 0
-                _, which, own = np.unique(mixed(hashes[ok] + mixed(row[ok].astype(np.uint64))), return_inverse=True, return_counts=True)
-                count[ok] = totals[k][np.searchsorted(every[k][0], hashes[ok])] - own[which]
-                others.append(count)
-            rest = np.maximum(1, all_words - n[row - begin])
-            value = np.maximum(1, others[0]) / rest
-            for k in range(1, self.order):
-                longer, context = others[k][: len(row) - k], others[k - 1][: len(row) - k]
-                fits = np.zeros(len(row), bool)
-                fits[k:] = row[k:] == row[: len(row) - k]  # the word has a context of k words
-                seen = np.zeros(len(row), bool)
-                seen[k:] = fits[k:] & (longer > 0)
-                value = np.where(fits, self.backoff * value, value)
-                value[k:][seen[k:]] = (longer / np.maximum(1, context))[seen[k:]]
-            n_words[begin: begin + len(n)] = n
-            sums[begin: begin + len(n)] = np.bincount(row - begin, np.log(value), len(n))
-        score = pa.array(sums / np.maximum(1, n_words), mask=n_words == 0)
-        return pa.table({"row": t["row"], "n_words": pa.array(n_words), "score": score})
-
-
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    every, order = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.zeros(len(every), np.int64)
-    np.add.at(total, order, np.concatenate(counts))
-    return every, total
-
-
-def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
-           backoff: float = BACKOFF) -> DataFrame:
+#: Rows of an Arrow batch that a text's n-grams are sent in.
+_SENT = 1 << 16
+
+
+def _runs(texts: pa.Array, order: int):
+    """Of runs of texts: the hashes of the n-grams of each length that begin at each word (EMPTY where
+    the text ends before), the row of each word, and the first row and words of each row."""
+    for begin, end in exchange.batches(texts):
+        data, starts, ends, n = exchange.word_bounds(texts.slice(begin, end - begin))
+        row = np.repeat(np.arange(begin, end), n)
+        words = _ROLLING.words(data, starts, ends)
+        grams = []
+        for k in range(1, order + 1):
+            hashes = np.full(len(words), EMPTY, np.uint64)
+            if len(words) >= k:
+                whole = row[k - 1:] == row[: len(row) - k + 1]
+                hashes[: len(whole)][whole] = np.maximum(_ROLLING.runs(words, k)[whole], np.uint64(EMPTY + 1))
+            grams.append(hashes)
+        yield grams, row, begin, n
+
+
+def _pairs(gram: np.ndarray, row: np.ndarray) -> np.ndarray:
+    return mixed(gram + mixed(row.astype(np.uint64)))
+
+
+def n_grams(numbered: DataFrame, order: int) -> DataFrame:
+    """n, gram (hash), own: the distinct n-grams of each text, of up to order words, and their counts there."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            numbers, texts = b.column(0).to_numpy(), b.column(1)
+            for grams, row, begin, n in _runs(texts, order):
+                gram, at = np.concatenate(grams), np.tile(row, order)
+                gram, at = gram[gram != EMPTY], at[gram != EMPTY]
+                _, first, own = np.unique(_pairs(gram, at), return_index=True, return_counts=True)
+                filled = np.flatnonzero(n)
+                table = pa.record_batch({
+                    "n": numbers[np.append(at[first], begin + filled)],
+                    "gram": np.append(gram[first], np.full(len(filled), EMPTY, np.uint64)).view(np.int64),
+                    "own": np.append(own, n[filled]).astype(np.int64)})
+                for k in range(0, len(table), _SENT):
+                    yield table.slice(k, _SENT)
+
+    return numbered.select("n", "text").mapInArrow(each, "n long, gram long, own long")
+
+
+def _scores(texts: pa.Array, found: pa.Array, order: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
+    """The words of each text and the sum of their scores' logarithms. found lists for each text how often
+    its n-grams occur in other texts, if they do."""
+    n_words, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    sizes = np.asarray(pc.list_value_length(found).fill_null(0), np.int64)
+    for grams, row, begin, n in _runs(texts, order):
+        end = begin + len(n)
+        lists = found.slice(begin, len(n)).flatten()
+        keys = _pairs(lists.field("gram").to_numpy().view(np.uint64), np.repeat(np.arange(begin, end), sizes[begin:end]))
+        by_key = np.argsort(keys)
+        keys, counts = keys[by_key], lists.field("others").to_numpy()[by_key]
+
+        def elsewhere(gram: np.ndarray, at: np.ndarray, keys=keys, counts=counts) -> np.ndarray:
+            """How often other texts have each n-gram."""
+            if not len(keys):
+                return np.zeros(len(gram), np.int64)
+            asked = _pairs(gram, at)
+            place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+            return np.where(keys[place] == asked, counts[place], 0)
+
+        others = [np.where(hashes != EMPTY, elsewhere(hashes, row), 0) for hashes in grams]
+        rest = elsewhere(np.full(len(n), EMPTY, np.uint64), np.arange(begin, end))
+        value = np.maximum(1, others[0]) / np.maximum(1, rest)[row - begin]
+        for k in range(1, order):
+            longer, context = others[k][: len(row) - k], others[k - 1][: len(row) - k]
+            fits = np.zeros(len(row), bool)
+            fits[k:] = row[k:] == row[: len(row) - k]  # the word has a context of k words
+            seen = np.zeros(len(row), bool)
+            seen[k:] = fits[k:] & (longer > 0)
+            value = np.where(fits, backoff * value, value)
+            value[k:][seen[k:]] = (longer / np.maximum(1, context))[seen[k:]]
+        n_words[begin:end] = n
+        sums[begin:end] = np.bincount(row - begin, np.log(value), len(n))
+    return n_words, sums
+
+
+def scored(docs: DataFrame, text_col: str = "text", order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
     """The rows of docs without the text, with n_words and score: the mean natural logarithm of the
     words' stupid-backoff scores, NULL for a text without words (NULL, empty).
 
     Words are parted by blanks and 0x09 to 0x0D. A word's score is the count of the longest n-gram (of
     its text, ending there, up to order words) that other rows have, over the count of its first words,
     times backoff for each shortening. A single word counts as seen once at least; its score is over
-    the words of all other rows. Every row is a document of its own, whatever its id."""
-    blocks = exchange.block_count(text_bytes(docs, text_col))
-    counts = _Counts(order, backoff, blocks)
-    blocked = exchange.in_blocks(docs, id_col, text_col, blocks)
-    totals = exchange.answered(exchange.sent(blocked, counts.ask), counts.reply)
-    found = exchange.finished(blocked, totals, counts.finish, exchange.result_schema(docs, text_col, RESULTS))
-    return exchange.unfolded(found, docs, text_col, RESULTS)
+    the words of all other rows. Every row is a document of its own, whatever its id. A result column
+    takes the place of a column of its name; other columns pass through. A word or n-gram that all texts
+    share is one row for each of them. An empty table gives an empty one."""
+    shipped(docs.sparkSession)
+    numbered = checkpointed(docs.select(
+        F.monotonically_increasing_id().alias("n"),
+        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
+        F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("row")))
+    grams = n_grams(numbered, order)
+    counts = grams.groupBy(F.col("gram").alias("counted")).agg(
+        F.sum("own").alias("total"), F.count("*").alias("texts")).filter("texts > 1")
+    found = grams.join(counts, F.col("gram") == F.col("counted")).groupBy(F.col("n").alias("of")).agg(
+        F.collect_list(F.struct("gram", (F.col("total") - F.col("own")).alias("others"))).alias("found"))
+    schema = exchange.result_schema(docs, text_col, RESULTS)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n_words, sums = _scores(b.column(1), b.column(2), order, backoff)
+            score = pa.array(sums / np.maximum(1, n_words), mask=n_words == 0)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words), score], ["row", "n_words", "score"])
+
+    out = numbered.join(found, F.col("n") == F.col("of"), "left").select("row", "text", "found").mapInArrow(each, schema)
+    return exchange.unfolded(out, docs, text_col, RESULTS)
