@@ -34,12 +34,13 @@ def block_count(total_bytes: int, block_bytes: int = BLOCK_BYTES) -> int:
 
 
 def in_blocks(docs: DataFrame, id_col: str, text_col: str, blocks: int) -> DataFrame:
-    """block, doc_id, text (NULL as empty), and the whole row as given."""
+    """block, doc_id, text (NULL as empty), and the whole row as given. Copies and rows without an id are
+    dealt by their text too, and rows that repeat by the partition that they are read in."""
     shipped(docs.sparkSession)
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     tasks = max(shuffle_tasks(docs.sparkSession), pieces(blocks, 3))
     return docs.select(
-        F.pmod(F.xxhash64(docs[id_col], F.length(text)), F.lit(blocks)).cast("int").alias("block"),
+        F.pmod(F.xxhash64(docs[id_col], text, F.spark_partition_id()), F.lit(blocks)).cast("int").alias("block"),
         docs[id_col].cast("long").alias("doc_id"), text.alias("text"),
         F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("row"),
     ).repartition(tasks, "block")
