@@ -1,34 +1,32 @@
 """Stupid-backoff scores of documents by the n-gram counts of all other documents.
 
-Texts are exploded to n-grams, one row for each distinct n-gram of a text with its count there. Grouped by
-n-gram they are the count table, partitioned by the n-grams' hash and added up in the map tasks first.
-The n-grams that more than one text has are joined back to the texts' rows, and a text's own occurrences
-are taken off, so it isn't its own evidence; they are gathered per text, where each word is scored and
-the scores are summed. A frequent n-gram has one row per text, and adaptive execution splits its join.
+Texts are exploded to n-grams, folded to one row for each distinct n-gram of a block of documents with its
+count there. Grouped by n-gram they are the count table, partitioned by the n-grams' hash; it is joined back
+to the blocks' rows without another shuffle, and the totals of n-grams that several blocks have return to
+those. There they meet the n-grams of the texts again, a text's own occurrences are taken off, so it isn't
+its own evidence, and the logarithms are summed per text. However frequent, an n-gram is one row per block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peoplemart.llm import exchange
-from peoplemart.llm.common import checkpointed, mixed, shipped
+from peoplemart.llm.common import mixed, pieces, shuffle_tasks, text_bytes
 
 ORDER = 2
 BACKOFF = 0.4
+#: Of text in a block, and in the texts whose n-grams one task of the count table adds up.
+BLOCK_BYTES = 16 << 20
+COUNTED_BYTES = 16 << 20
 #: The n-gram of no words, the context of single words; a text has it as often as it has words.
 EMPTY = 0
 _ROLLING = exchange.Rolling(9)
 RESULTS = {"n_words": T.LongType(), "score": T.DoubleType()}
-#: Rows of an Arrow batch that a text's n-grams are sent in.
-_SENT = 1 << 16
 
 
 def _runs(texts: pa.Array, order: int):
@@ -48,53 +46,52 @@ def _runs(texts: pa.Array, order: int):
         yield grams, row, begin, n
 
 
-def _pairs(gram: np.ndarray, row: np.ndarray) -> np.ndarray:
-    return mixed(gram + mixed(row.astype(np.uint64)))
+def _folded(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of the texts in ascending order, and their counts."""
+    keys, counts = [np.array([EMPTY], np.uint64)], [np.zeros(1, np.int64)]
+    for grams, row, _, _ in _runs(texts, order):
+        found = np.unique(np.concatenate([g[g != EMPTY] for g in grams]), return_counts=True)
+        keys += [found[0]]
+        counts += [found[1]]
+        counts[0] += len(row)
+    every, place = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.zeros(len(every), np.int64)
+    np.add.at(total, place, np.concatenate(counts))
+    return every, total
+
+
+def n_grams(blocked: DataFrame, order: int) -> DataFrame:
+    """block, gram (hash), n: the distinct n-grams of each block, of up to order words, and their counts there."""
+    def each(key: tuple, t: pa.Table) -> pa.Table:
+        every, counts = _folded(t["text"].combine_chunks(), order)
+        return pa.table({"block": pa.array(np.full(len(every), key[0].as_py(), np.int32)),
+                         "gram": every.view(np.int64), "n": counts})
 
+    return blocked.groupBy("block").applyInArrow(each, "block int, gram long, n long")
 
-def n_grams(numbered: DataFrame, order: int) -> DataFrame:
-    """n, gram (hash), own: the distinct n-grams of each text, of up to order words, and their counts there."""
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            numbers, texts = b.column(0).to_numpy(), b.column(1)
-            for grams, row, begin, n in _runs(texts, order):
-                gram, at = np.concatenate(grams), np.tile(row, order)
-                gram, at = gram[gram != EMPTY], at[gram != EMPTY]
-                _, first, own = np.unique(_pairs(gram, at), return_index=True, return_counts=True)
-                filled = np.flatnonzero(n)
-                table = pa.record_batch({
-                    "n": numbers[np.append(at[first], begin + filled)],
-                    "gram": np.append(gram[first], np.full(len(filled), EMPTY, np.uint64)).view(np.int64),
-                    "own": np.append(own, n[filled]).astype(np.int64)})
-                for k in range(0, len(table), _SENT):
-                    yield table.slice(k, _SENT)
 
-    return numbered.select("n", "text").mapInArrow(each, "n long, gram long, own long")
+def answered(grams: DataFrame, tasks: int) -> DataFrame:
+    """block, gram, others: how often other blocks have an n-gram of a block, if they do."""
+    dealt = grams.repartition(tasks, "gram")
+    # counting the blocks keeps the columns of both uses the same, so Spark shuffles the rows once
+    counts = dealt.groupBy(F.col("gram").alias("counted")).agg(
+        F.sum("n").alias("total"), F.count("block").alias("blocks")).filter("blocks > 1")
+    return dealt.join(counts, F.col("gram") == F.col("counted")).select(
+        "block", "gram", (F.col("total") - F.col("n")).alias("others"))
 
 
-def _scores(texts: pa.Array, found: pa.Array, order: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
-    """The words of each text and the sum of their scores' logarithms. found lists for each text how often
-    its n-grams occur in other texts, if they do."""
+def _scores(texts: pa.Array, every: np.ndarray, total: np.ndarray, order: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
+    """The words of each text and the sum of their scores' logarithms, by the totals of all n-grams."""
     n_words, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-    sizes = np.asarray(pc.list_value_length(found).fill_null(0), np.int64)
     for grams, row, begin, n in _runs(texts, order):
-        end = begin + len(n)
-        lists = found.slice(begin, len(n)).flatten()
-        keys = _pairs(lists.field("gram").to_numpy().view(np.uint64), np.repeat(np.arange(begin, end), sizes[begin:end]))
-        by_key = np.argsort(keys)
-        keys, counts = keys[by_key], lists.field("others").to_numpy()[by_key]
-
-        def elsewhere(gram: np.ndarray, at: np.ndarray, keys=keys, counts=counts) -> np.ndarray:
-            """How often other texts have each n-gram."""
-            if not len(keys):
-                return np.zeros(len(gram), np.int64)
-            asked = _pairs(gram, at)
-            place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-            return np.where(keys[place] == asked, counts[place], 0)
-
-        others = [np.where(hashes != EMPTY, elsewhere(hashes, row), 0) for hashes in grams]
-        rest = elsewhere(np.full(len(n), EMPTY, np.uint64), np.arange(begin, end))
-        value = np.maximum(1, others[0]) / np.maximum(1, rest)[row - begin]
+        others = []  # of each length, how often the n-gram at each word occurs in other texts
+        for hashes in grams:
+            count, ok = np.zeros(len(hashes), np.int64), hashes != EMPTY
+            _, which, own = np.unique(mixed(hashes[ok] + mixed(row[ok].astype(np.uint64))), return_inverse=True, return_counts=True)
+            count[ok] = total[np.searchsorted(every, hashes[ok])] - own[which]
+            others.append(count)
+        rest = np.maximum(1, total[0] - n[row - begin])
+        value = np.maximum(1, others[0]) / rest
         for k in range(1, order):
             longer, context = others[k][: len(row) - k], others[k - 1][: len(row) - k]
             fits = np.zeros(len(row), bool)
@@ -103,38 +100,34 @@ def _scores(texts: pa.Array, found: pa.Array, order: int, backoff: float) -> tup
             seen[k:] = fits[k:] & (longer > 0)
             value = np.where(fits, backoff * value, value)
             value[k:][seen[k:]] = (longer / np.maximum(1, context))[seen[k:]]
-        n_words[begin:end] = n
-        sums[begin:end] = np.bincount(row - begin, np.log(value), len(n))
+        n_words[begin: begin + len(n)] = n
+        sums[begin: begin + len(n)] = np.bincount(row - begin, np.log(value), len(n))
     return n_words, sums
 
 
-def scored(docs: DataFrame, text_col: str = "text", order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
+def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
+           backoff: float = BACKOFF) -> DataFrame:
     """The rows of docs without the text, with n_words and score: the mean natural logarithm of the
     words' stupid-backoff scores, NULL for a text without words (NULL, empty).
 
     Words are parted by blanks and 0x09 to 0x0D. A word's score is the count of the longest n-gram (of
     its text, ending there, up to order words) that other rows have, over the count of its first words,
     times backoff for each shortening. A single word counts as seen once at least; its score is over
-    the words of all other rows. Every row is a document of its own, whatever its id. A result column
-    takes the place of a column of its name; other columns pass through. A word or n-gram that all texts
-    share is one row for each of them. An empty table gives an empty one."""
-    shipped(docs.sparkSession)
-    numbered = checkpointed(docs.select(
-        F.monotonically_increasing_id().alias("n"),
-        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
-        F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("row")))
-    grams = n_grams(numbered, order)
-    counts = grams.groupBy(F.col("gram").alias("counted")).agg(
-        F.sum("own").alias("total"), F.count("*").alias("texts")).filter("texts > 1")
-    found = grams.join(counts, F.col("gram") == F.col("counted")).groupBy(F.col("n").alias("of")).agg(
-        F.collect_list(F.struct("gram", (F.col("total") - F.col("own")).alias("others"))).alias("found"))
-    schema = exchange.result_schema(docs, text_col, RESULTS)
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n_words, sums = _scores(b.column(1), b.column(2), order, backoff)
-            score = pa.array(sums / np.maximum(1, n_words), mask=n_words == 0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words), score], ["row", "n_words", "score"])
-
-    out = numbered.join(found, F.col("n") == F.col("of"), "left").select("row", "text", "found").mapInArrow(each, schema)
-    return exchange.unfolded(out, docs, text_col, RESULTS)
+    the words of all other rows. Every row is a document of its own, whatever its id. A result takes the
+    place of a column of its name; other columns pass through. An empty table gives an empty one."""
+    size = text_bytes(docs, text_col)
+    tasks = max(shuffle_tasks(docs.sparkSession), pieces(size, COUNTED_BYTES))
+    blocked = exchange.in_blocks(docs, id_col, text_col, pieces(size, BLOCK_BYTES))
+    totals = answered(n_grams(blocked, order), tasks)
+
+    def finish(_: tuple, t: pa.Table, a: pa.Table) -> pa.Table:
+        texts = t["text"].combine_chunks()
+        every, total = _folded(texts, order)
+        total[np.searchsorted(every, a["gram"].to_numpy().view(np.uint64))] += a["others"].to_numpy()
+        n_words, sums = _scores(texts, every, total, order, backoff)
+        score = pa.array(sums / np.maximum(1, n_words), mask=n_words == 0)
+        return pa.table({"row": t["row"], "n_words": n_words, "score": score})
+
+    found = blocked.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
+        finish, exchange.result_schema(docs, text_col, RESULTS))
+    return exchange.unfolded(found, docs, text_col, RESULTS)

@@ -102,7 +102,7 @@ def scores(rows, order, backoff=0.4):
 
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_backoff_scores(spark, monkeypatch, order):
-    monkeypatch.setattr(exchange, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(ngram_scores, "BLOCK_BYTES", 20_000)  # several blocks
     rows = cases.awkward_texts()
     got = ngram_scores.scored(cases.frame(spark, rows), order=order).select("doc_id", "n_words", "score").collect()
     key = lambda x: (str(x[0]), x[1], x[2] or 0)
@@ -111,6 +111,30 @@ def test_backoff_scores(spark, monkeypatch, order):
         assert mine[:2] == theirs[:2] and mine[2] == pytest.approx(theirs[2], abs=1e-9)
 
 
+def test_a_frequent_pair_is_one_row_of_a_block(spark):
+    """The n-grams' rows are shuffled once, and a pair of words that all texts have is a row per block."""
+    rows = [(i, "of the " * 30 + cases.sentence(random.Random(i), 5)) for i in range(2000)]
+    blocked = exchange.in_blocks(cases.frame(spark, rows), "doc_id", "text", 4)
+    grams = ngram_scores.n_grams(blocked, 2)
+    per_gram = grams.groupBy("gram").count().agg({"count": "max"}).first()[0]
+    assert per_gram == 4
+    totals = ngram_scores.answered(grams, 4)
+    assert totals.agg({"others": "max"}).first()[0] > 0
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(gram") == 2 and plan.count("hashpartitioning(counted") == 0
+    totals.collect()
+    assert "ReusedExchange" in totals._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_rows_without_an_id_share_blocks(spark):
+    """Rows that are equal in all columns are dealt by where they are read."""
+    docs = cases.frame(spark, [(None, "a b c")] * 400).repartition(8)
+    blocked = exchange.in_blocks(docs, "doc_id", "text", 8)
+    assert blocked.select("block").distinct().count() > 1
+    got = ngram_scores.scored(docs).collect()
+    assert len(got) == 400 and len({(r.n_words, round(r.score, 9)) for r in got}) == 1
+
+
 def plain_fingerprint(text, shingle=3):
     own = cases.words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(own[i: i + shingle]) for i in range(len(own) - shingle + 1)] or ([" ".join(own)] if own else [])
