@@ -21,8 +21,8 @@ from peoplemart.llm.common import mixed, pieces, shuffle_tasks, text_bytes
 ORDER = 2
 BACKOFF = 0.4
 #: Of text in a block, and in the texts whose n-grams one task of the count table adds up.
-BLOCK_BYTES = 16 << 20
-COUNTED_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+COUNTED_BYTES = 8 << 20
 #: The n-gram of no words, the context of single words; a text has it as often as it has words.
 EMPTY = 0
 _ROLLING = exchange.Rolling(9)
