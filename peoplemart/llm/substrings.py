@@ -31,6 +31,12 @@ RESULTS = {"kept_text": T.StringType(), "n_words": T.LongType(), "n_removed": T.
            "kept_sha256": T.StringType()}
 
 
+def _in_order(t: pa.Table) -> pa.Table:
+    """A block's rows by id and text, in which order places of words hold in every pass: a shuffle delivers a block's
+    rows in another order each time it is read. Rows equal in both have the same words and the same windows."""
+    return t.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+
+
 def _windows(t: pa.Table, size: int, exact: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a block: the first and second hash of each window, the row it is in, the place of its first
     word among all words of the block, and the words of each row. Rows without a doc_id have no window."""
@@ -108,6 +114,7 @@ class _Groups:
     def ask(self, t: pa.Table, answers: dict[int, bytes]):
         """The distinct windows that may repeat, sorted, each with its smallest doc_id here. With them go the places of all
         such windows in the block's words, for the answer to bring back: so no window is hashed again when it comes."""
+        t = _in_order(t)
         first, second, rows, places, _ = _windows(t, self.size, exact=True)
         may = np.flatnonzero(self.sketch.maybe_repeated(first, answers))
         ids = t["doc_id"].combine_chunks().fill_null(0).to_numpy()[rows[may]]
@@ -143,6 +150,7 @@ class _Groups:
         return [_joined([packed(low), back]) for low, back in zip(np.split(least, ends), along, strict=True)]
 
     def finish(self, t: pa.Table, answers: dict[int, bytes]) -> pa.Table:
+        t = _in_order(t)
         texts = t["text"].combine_chunks()
         counts = [exchange.word_bounds(texts.slice(begin, end - begin))[3] for begin, end in exchange.batches(texts)]
         counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)

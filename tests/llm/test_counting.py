@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -56,6 +57,28 @@ def test_prefilter_loses_nothing_when_full(spark):
     assert got == without_repeats(rows, 13)
 
 
+def test_order_of_a_blocks_rows_does_not_matter():
+    """A shuffle read again delivers the rows of a block in another order."""
+    rng = random.Random(5)
+    shared = [cases.sentence(rng, 30, 500) for _ in range(4)]
+    rows = [(i if i % 9 else None, f"{cases.sentence(rng, rng.randint(0, 40), 500)} {shared[i % 4]}") for i in range(40)] + [(3, shared[1]), (3, shared[1]), (5, "")]
+
+    def block():
+        rng.shuffle(rows)
+        return pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": [text for _, text in rows],
+                         "row": [{"doc_id": i} for i, _ in rows]})
+
+    sketch = substrings._Sketch(2, 16, 3, 13)
+    groups = substrings._Groups(sketch, 3)
+    sent = dict(sketch.ask(block()))
+    answers = {s: sketch.reply([payload])[0] for s, payload in sent.items()}
+    answers = {s: groups.reply([payload])[0] for s, payload in groups.ask(block(), answers)}
+    for _ in range(3):
+        found = groups.finish(block(), answers).to_pylist()
+        got = Counter((r["row"]["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found)
+        assert got == without_repeats(rows, 13) and any(r["n_removed"] for r in found)
+
+
 def test_one_row_for_hot_windows(spark):
     """A passage in most documents is sent once per block."""
     rows = [(i, "the same words in every text are here again and again for all of us " + cases.sentence(random.Random(i), 20))
