@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peoplemart.llm import language, packing, secret_scan, simhash, substrings
-from peoplemart.llm.common import pieces, shared_folder
+from peoplemart.llm.common import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: What 99 % of held-out rows reach, and a share of the way from chance (1 / labels) to it: the least score that keeps a document.
 HELD_OUT_REJECTED = 0.01
 SHARE_OVER_CHANCE = 0.6
-HELD_OUT_ROWS = 3000
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -24,24 +24,50 @@ def _documents(found: DataFrame, text_col: str) -> DataFrame:
         "n_chars", F.char_length(F.col(text_col)).cast("long")).select(*COLUMNS)
 
 
-def least_language_score(network: language.Network, docs: DataFrame) -> float:
+def score_of_rank(scored: DataFrame, share: float) -> float | None:
+    """The score that stands at this share of all rows, the least first (to 2**-32); None without rows. Rows are
+    counted by the upper and then, where the rank lies, by the lower half of 32 bits, so the driver gets 2**16 counts."""
+    at = F.floor(F.col("score") * F.lit(float(1 << 32))).cast("long")
+    steps = sorted(scored.groupBy(F.shiftright(at, 16).alias("step")).agg(F.count("*").alias("n")).collect())
+    rank = max(1, math.ceil(share * sum(r.n for r in steps)))
+    for step, n in steps:
+        if rank <= n:
+            inside = scored.filter(F.shiftright(at, 16) == step).groupBy(at.alias("step"))
+            for _, m, least in sorted(inside.agg(F.count("*").alias("n"), F.min("score").alias("least")).collect()):
+                if rank <= m:
+                    return least
+                rank -= m
+        rank -= n
+    return None
+
+
+def least_score(labels: list[str], scored: DataFrame) -> float:
     """Over chance for any number of labels, and below what nearly all held-out rows with a label reach. With
     one label every text scores 1, so none can be told apart."""
-    known = docs.filter(language.held_out(F.col("doc_id")) & F.col("lang").isin(network.labels))
-    part = pieces(known.count(), HELD_OUT_ROWS)
-    scored = language.identified_by(network, known.filter(F.pmod(F.xxhash64("doc_id", F.lit("score")), F.lit(part)) == 0))
-    usual = scored.filter(F.col("lang_pred") != language.UNKNOWN).agg(F.percentile_approx("score", HELD_OUT_REJECTED)).first()[0]
-    chance = 1 / len(network.labels)
+    known = language.held_out(F.col("doc_id")) & F.col("lang").isin(labels) & (F.col("lang_pred") != language.UNKNOWN)
+    usual = score_of_rank(scored.filter(known), HELD_OUT_REJECTED)
+    chance = 1 / len(labels)
     return chance + SHARE_OVER_CHANCE * ((1.0 if usual is None else usual) - chance)
 
 
+def least_language_score(network: language.Network, docs: DataFrame) -> float:
+    """least_score of docs by a network."""
+    return least_score(network.labels, language.identified_by(network, docs))
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts of no learned language: none (NULL), without a letter, or of a score that few texts of
-    the learned languages have. No row has a language if nothing is labelled."""
+    the learned languages have. No row has a language if nothing is labelled. Texts are scored once; all their
+    scores are written, since the least one comes from them."""
     words, labels = language.sample(docs, "doc_id", "text", "lang")
     network = language.trained(words, labels) if words else None
-    least = least_language_score(network, docs) if network else 1.0
     found = language.identified_by(network, docs)
+    least = 1.0
+    if network:
+        folder = shared_folder(spark, "language_scores")
+        found.select(*COLUMNS, *language.RESULTS).write.parquet(folder)
+        found = spark.read.parquet(folder)
+        least = least_score(network.labels, found)
     return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least)).select(*COLUMNS)
 
 

@@ -1,7 +1,9 @@
 """Stages of the pipeline that do more than their operator's query."""
 
+import math
 import random
 from collections import Counter
+from zlib import crc32
 
 import pytest
 import xxhash
@@ -83,3 +85,23 @@ def test_texts_of_no_learned_language_go(spark, labels):
         assert kept <= clean
     network = language.trained(*language.sample(docs, "doc_id", "text", "lang"))
     assert 1 / len(labels) + 0.1 < corpus_pipeline.least_language_score(network, docs) < 0.95
+
+
+def test_least_score_is_of_all_held_out_rows(spark, monkeypatch):
+    """13,340 held-out rows, of which a fifth was read before."""
+    monkeypatch.setattr(language, "identified_by", lambda network, docs, text_col="text": docs.withColumn(
+        "lang_pred", F.lit("en")).withColumn("score", F.pmod(F.col("doc_id") * 7919, F.lit(40009)) / 40009))
+    docs = spark.range(40000).selectExpr("id AS doc_id", "'x' AS text", "'en' AS lang", "'s' AS source", "1L AS n_chars")
+    held = sorted(i * 7919 % 40009 / 40009 for i in range(40000) if crc32(str(i).encode()) % 3 == 1)
+    usual = held[math.ceil(0.01 * len(held)) - 1]
+    network = language.Network.__new__(language.Network)
+    network.labels = ["de", "en"]
+    assert corpus_pipeline.least_language_score(network, docs) == pytest.approx(0.5 + 0.6 * (usual - 0.5), abs=1e-12)
+
+
+def test_score_of_rank(spark):
+    values = [0.0, 1.0, 1.0, 0.25, 0.25 + 1e-7, 0.25 + 2e-7, 0.5]
+    scored = spark.createDataFrame([(v,) for v in values * 3], "score double")
+    for share in (0.01, 0.2, 0.3, 0.4, 0.5, 0.9, 1.0):
+        assert corpus_pipeline.score_of_rank(scored, share) == sorted(values * 3)[math.ceil(share * 21) - 1]
+    assert corpus_pipeline.score_of_rank(scored.limit(0), 0.5) is None
