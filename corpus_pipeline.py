@@ -41,33 +41,24 @@ def score_of_rank(scored: DataFrame, share: float) -> float | None:
     return None
 
 
-def least_score(labels: list[str], scored: DataFrame) -> float:
-    """Over chance for any number of labels, and below what nearly all held-out rows with a label reach. With
-    one label every text scores 1, so none can be told apart."""
-    known = language.held_out(F.col("doc_id")) & F.col("lang").isin(labels) & (F.col("lang_pred") != language.UNKNOWN)
-    usual = score_of_rank(scored.filter(known), HELD_OUT_REJECTED)
-    chance = 1 / len(labels)
-    return chance + SHARE_OVER_CHANCE * ((1.0 if usual is None else usual) - chance)
-
-
 def least_language_score(network: language.Network, docs: DataFrame) -> float:
-    """least_score of docs by a network."""
-    return least_score(network.labels, language.identified_by(network, docs))
+    """Over chance for any number of labels, and below what nearly all held-out rows with a label reach, by the
+    scores of all of them, which are written once. With one label every text scores 1, so none can be told apart."""
+    known = docs.filter(language.held_out(F.col("doc_id")) & F.col("lang").isin(network.labels))
+    folder = shared_folder(docs.sparkSession, "held_out_scores")
+    language.identified_by(network, known).filter(F.col("lang_pred") != language.UNKNOWN).select("score").write.parquet(folder)
+    usual = score_of_rank(docs.sparkSession.read.parquet(folder), HELD_OUT_REJECTED)
+    chance = 1 / len(network.labels)
+    return chance + SHARE_OVER_CHANCE * ((1.0 if usual is None else usual) - chance)
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts of no learned language: none (NULL), without a letter, or of a score that few texts of
-    the learned languages have. No row has a language if nothing is labelled. Texts are scored once; all their
-    scores are written, since the least one comes from them."""
+    the learned languages have. No row has a language if nothing is labelled."""
     words, labels = language.sample(docs, "doc_id", "text", "lang")
     network = language.trained(words, labels) if words else None
+    least = least_language_score(network, docs) if network else 1.0
     found = language.identified_by(network, docs)
-    least = 1.0
-    if network:
-        folder = shared_folder(spark, "language_scores")
-        found.select(*COLUMNS, *language.RESULTS).write.parquet(folder)
-        found = spark.read.parquet(folder)
-        least = least_score(network.labels, found)
     return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least)).select(*COLUMNS)
 
 
