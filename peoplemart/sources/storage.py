@@ -52,6 +52,12 @@ def read_table(spark: SparkSession, folder: str, name: str, schema: T.StructType
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
+def stored_bytes(spark: SparkSession, folder: str, names: Collection[str]) -> int:
+    """The bytes of the files of some tables of a folder, in whatever store it is."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet") for name in names]
+    return sum(path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength() for path in paths)
+
+
 _counting: dict[str, SparkSession] = {}
 
 
@@ -223,8 +229,8 @@ class Tables(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._makers)
 
-    def replaced(self, **tables: DataFrame) -> Tables:
-        """The same tables with some of them exchanged."""
+    def replaced(self, **tables: DataFrame | Callable[[], DataFrame]) -> Tables:
+        """The same tables with some of them exchanged; what a function makes is made on first use."""
         return _Replaced(self, tables)
 
 
@@ -234,9 +240,9 @@ def counted(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
 
 
 class _Replaced(Tables):
-    def __init__(self, former: Tables, tables: Mapping[str, DataFrame]):
+    def __init__(self, former: Tables, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         super().__init__({**{name: (lambda n=name: former[n]) for name in former},
-                          **{name: (lambda t=table: t) for name, table in tables.items()}})
+                          **{name: table if callable(table) else (lambda t=table: t) for name, table in tables.items()}})
         self._former, self._new = former, set(tables)
 
     def key_range(self, name: str, column: str) -> tuple[int, int] | None:

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from peoplemart.operators import checks
 from peoplemart.sources.schemas import MART, SOURCE
+from peoplemart.sources.storage import Tables
+from verification.faults import faulty_mart, faulty_source
 
 
 def problems(report):
@@ -120,3 +122,12 @@ def test_orphans_in_the_mart_count_rows(mart):
     facts = mart["FactAusencias"].withColumn("OficinaKey", F.lit(99).cast("long"))
     assert problems(checks.reference_checks({**mart, "FactAusencias": facts}, MART)) == {
         ("FactAusencias", "FOREIGN KEY (OficinaKey) REFERENCES DimOficina"): 100}
+
+
+def test_faults_of_a_table_load_no_other(source, mart):
+    def other():
+        raise AssertionError("another table was asked for")
+
+    tables = lambda all_, name: Tables({n: (lambda n=n: all_[n]) if n == name else other for n in all_})
+    assert faulty_mart(tables(mart, "DimEmpleado"))["DimEmpleado"].filter("AntiguedadAnios = -1").count()
+    assert faulty_source(tables(source, "Puestos"))["Puestos"].columns == source["Puestos"].columns
