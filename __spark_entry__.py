@@ -24,8 +24,9 @@ from peoplemart.plans.reload import Mart, Settings, bucketed, table_counts
 from peoplemart.sources.roles import (
     AS_OF, CALENDAR_END, CALENDAR_START, LINE_ORDER, enrolment_lines, role_tables)
 from peoplemart.sources.schemas import MART, SOURCE
+from peoplemart.sources.session import fit_shuffles
 from peoplemart.sources.storage import (
-    Tables, append_batch, appended_table, catalog_tables, new_folder, numbers_up_to, read_table, removed)
+    Tables, append_batch, appended_table, catalog_tables, new_folder, numbers_up_to, read_table, removed, stored_bytes)
 from verification.faults import faulty_mart, faulty_source
 from verification.oracle import oracle_statements
 
@@ -46,7 +47,8 @@ _bucketed: dict[tuple[str, str], Tables] = {}
 
 def loaded_mart(spark: SparkSession, folder: str) -> Mart:
     """The mart over the test tables in folder. Its tables are loaded on first use, then shared
-    by the queries of this application."""
+    by the queries of this application, whose shuffles are as many as the tables' files ask for."""
+    fit_shuffles(spark, stored_bytes(spark, folder, ("customer", "part", "orders", "lineitem")))
     key = (spark.sparkContext.applicationId, folder)
     if key not in _marts:
         _marts[key] = Mart(spark, role_tables(spark, folder), new_folder(spark, "mart"), SETTINGS)

@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from peoplemart.sources.session import shuffle_parts
 from peoplemart.sources.storage import staged
 
 # monotonically_increasing_id: the partition number is above these bits, the row number in them
 _ROW_BITS = 33
 
 
-def dense_keys(df: DataFrame, order: list[str], key: str) -> DataFrame:
-    """df with a leading column `key` numbering its rows by `order`, which must be unique.
+def dense_keys(df: DataFrame, order: list[str], key: str, columns: list[str] | None = None) -> DataFrame:
+    """df, or these columns of it, with a leading column `key` numbering its rows by `order`, which must be unique.
 
     The rows are range partitioned, numbered within their partition and shifted by the rows of the
     partitions before it, so no task sees more than its range.
     """
-    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(2, shuffle_parts(df.sparkSession))
+    columns = df.columns if columns is None else columns
     # The row positions must not change between the count and the shift, so they are written once.
     ranged = staged(
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id()),
+        .select(*columns, F.monotonically_increasing_id().alias("_at")),
         "ranged",
     )
     part = F.shiftright("_at", _ROW_BITS)
@@ -37,5 +39,5 @@ def dense_keys(df: DataFrame, order: list[str], key: str) -> DataFrame:
     return (
         ranged.withColumn("_part", part)
         .join(F.broadcast(shifts), "_part")
-        .select((F.col("_shift") + row + 1).alias(key), *df.columns)
+        .select((F.col("_shift") + row + 1).alias(key), *columns)
     )

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
+
+_FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_MERGED_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+#: Bytes of Parquet files for a shuffle partition: rows take some ten times as much in memory, and a join and a window sort them at once.
+_FILE_BYTES = 8 * 1024 * 1024
 _PARTITION_BYTES = 128 * 1024 * 1024
 
 
@@ -21,3 +27,19 @@ def cluster_options(shuffled_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
+
+
+def shuffle_parts(spark: SparkSession) -> int:
+    """How many partitions a shuffle begins with, before adaptive execution merges small ones."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(_FIRST_PARTITIONS, None) or 0))
+
+
+def fit_shuffles(spark: SparkSession, file_bytes: int) -> None:
+    """Lets the shuffles of spark begin with a partition for 8 MB of input files at least, which adaptive execution merges up to
+    16 MB. It splits none outside of joins, so with a fixed number a task's sorts would grow with the input and spill.
+    Options that ask for smaller partitions stay, and for small inputs all do."""
+    parts = -(-file_bytes // _FILE_BYTES)
+    if parts > shuffle_parts(spark):
+        spark.conf.set(_FIRST_PARTITIONS, str(parts))
+        merged = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_MERGED_BYTES))
+        spark.conf.set(_MERGED_BYTES, str(min(merged, 2 * _FILE_BYTES)))

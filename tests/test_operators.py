@@ -4,6 +4,7 @@ from collections import Counter
 from datetime import date
 from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 from peoplemart.functions import dates, numeric, text
 from peoplemart.operators import assign, keys
 from peoplemart.plans.calendar import calendar
+from peoplemart.sources import session, storage
 from peoplemart.sources.schemas import SOURCE, conformed
 from peoplemart.sources.storage import numbers_up_to
+from tests.conftest import SMALL
 
 
 def half_up(value: Fraction, digits: int) -> Decimal:
@@ -137,3 +140,34 @@ def test_round_robin_spreads_evenly(spark):
     found = assign.round_robin(spark.range(1000), "id", spark.range(0, 70, 10).withColumnRenamed("id", "who"), "who")
     sizes = Counter(row.who for row in found.collect())
     assert sum(sizes.values()) == 1000 and max(sizes.values()) - min(sizes.values()) <= 1
+
+
+def test_dense_keys_of_some_columns(spark):
+    """What only orders the rows isn't written."""
+    rows = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "nk int, value string")
+    found = keys.dense_keys(rows, ["nk"], "k", ["value"])
+    assert found.columns == ["k", "value"] and sorted(map(tuple, found.collect())) == [(1, "a"), (2, "b"), (3, "c")]
+    assert "nk" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_shuffles_fit_the_files(spark):
+    """More partitions for large inputs, no larger merged ones; small inputs change nothing."""
+    first, merged = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    session_ = spark.newSession()
+    session_.conf.set("spark.sql.shuffle.partitions", "4")
+    before = session_.conf.get(merged)
+    session.fit_shuffles(session_, 30 << 20)
+    assert session_.conf.get(first, None) is None and session_.conf.get(merged) == before
+    session.fit_shuffles(session_, 800 << 20)
+    assert session.shuffle_parts(session_) == 100 and session_.conf.get(merged) == str(16 << 20)
+    session.fit_shuffles(session_, 80 << 20)
+    assert session.shuffle_parts(session_) == 100
+    session_.conf.set(merged, "8m")
+    session.fit_shuffles(session_, 1600 << 20)
+    assert session.shuffle_parts(session_) == 200 and session_.conf.get(merged) == str(8 << 20)
+    assert keys.dense_keys(session_.range(1000), ["id"], "k").agg({"k": "max"}).first()[0] == 1000
+
+
+def test_bytes_of_tables(spark):
+    sizes = [Path(f"{SMALL}/{name}.parquet").stat().st_size for name in ("orders", "part")]
+    assert storage.stored_bytes(spark, SMALL, ("orders", "part")) == sum(sizes)
