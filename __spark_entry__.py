@@ -24,7 +24,7 @@ from peoplemart.plans.reload import Mart, Settings, bucketed, table_counts
 from peoplemart.sources.roles import (
     AS_OF, CALENDAR_END, CALENDAR_START, LINE_ORDER, enrolment_lines, role_tables)
 from peoplemart.sources.schemas import MART, SOURCE
-from peoplemart.sources.session import fit_shuffles
+from peoplemart.sources.session import fit_shuffles, shuffle_parts
 from peoplemart.sources.storage import (
     Tables, append_batch, appended_table, catalog_tables, new_folder, numbers_up_to, read_table, removed, stored_bytes)
 from verification.faults import faulty_mart, faulty_source
@@ -61,7 +61,7 @@ def _bucketed_mart(spark: SparkSession, folder: str) -> Tables:
     key = (spark.sparkContext.applicationId, space)
     if key not in _bucketed:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {space} LOCATION '{new_folder(spark, 'bucketed')}'")
-        _bucketed[key] = bucketed(loaded_mart(spark, folder), space, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        _bucketed[key] = bucketed(loaded_mart(spark, folder), space, shuffle_parts(spark))
     return _bucketed[key]
 
 

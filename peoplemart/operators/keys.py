@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peoplemart.sources.session import shuffle_parts
@@ -12,9 +12,10 @@ from peoplemart.sources.storage import staged
 _ROW_BITS = 33
 
 
-def dense_keys(df: DataFrame, order: list[str], key: str, columns: list[str] | None = None) -> DataFrame:
+def dense_keys(df: DataFrame, order: list[str], key: str, columns: list[str | Column] | None = None) -> DataFrame:
     """df, or these columns of it, with a leading column `key` numbering its rows by `order`, which must be unique.
 
+    Columns that follow from others are best given as expressions here: they are computed after the shuffle.
     The rows are range partitioned, numbered within their partition and shifted by the rows of the
     partitions before it, so no task sees more than its range.
     """
@@ -39,5 +40,5 @@ def dense_keys(df: DataFrame, order: list[str], key: str, columns: list[str] | N
     return (
         ranged.withColumn("_part", part)
         .join(F.broadcast(shifts), "_part")
-        .select((F.col("_shift") + row + 1).alias(key), *columns)
+        .select((F.col("_shift") + row + 1).alias(key), *[c for c in ranged.columns if c != "_at"])
     )

@@ -82,10 +82,12 @@ def enrolments(source, mart) -> DataFrame:
         source["EmpleadosCapacitaciones"]
         .select("EmpleadoCapacitacionID", "EmpleadoID", "CapacitacionID", "FechaCompletado", "Estado", "CalificacionObtenida")
         .join(programmes, "CapacitacionID")
+        # one date and the programme's key are all that the next shuffle needs of it
+        .withColumn("FechaKey", date_key(F.coalesce("FechaCompletado", "FechaInicio")))
+        .drop("FechaCompletado", "FechaInicio", "CapacitacionID")
         .join(_employee_keys(mart, with_job=True), "EmpleadoID")
         .select(
-            F.col("EmpleadoCapacitacionID").alias("FactCapacitacionKey"),
-            date_key(F.coalesce("FechaCompletado", "FechaInicio")).alias("FechaKey"),
+            F.col("EmpleadoCapacitacionID").alias("FactCapacitacionKey"), "FechaKey",
             "EmpleadoKey", "CapacitacionKey", "OficinaKey", "DepartamentoKey", "PuestoKey",
             "Estado", "CalificacionObtenida",
             F.lit(1).alias("CantidadAsignaciones"),

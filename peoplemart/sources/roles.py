@@ -148,13 +148,12 @@ class _Roles:
         )
         tenths = F.col("l_quantity").cast("int") % 41 + 10
         lines = self._read("lineitem").join(reviewed, F.col("l_orderkey") == F.col("o_orderkey"))
-        reviews = lines.select(
-            *LINE_ORDER, F.col("o_custkey").alias("EmpleadoEvaluadoID"),
+        return dense_keys(lines, LINE_ORDER, "EvaluacionID", [
+            F.col("o_custkey").alias("EmpleadoEvaluadoID"),
             F.col("l_shipdate").cast("date").alias("FechaEvaluacion"),
             (tenths.cast("decimal(3,0)") * F.lit("0.1").cast("decimal(1,1)")).cast("decimal(3,1)").alias("Calificacion"),
             F.col("HeadID").alias("EvaluadorID"),
-        )
-        return dense_keys(reviews, LINE_ORDER, "EvaluacionID", [c for c in reviews.columns if c not in LINE_ORDER])
+        ])
 
     def programmes(self) -> DataFrame:
         start = _days_after(date(1995, 1, 1), F.col("p_partkey") % 2000)
@@ -172,14 +171,12 @@ class _Roles:
     def enrolments(self) -> DataFrame:
         pending = F.col("l_returnflag") == "N"
         first = first_of_each(enrolment_lines(self._spark, self._folder), ["o_custkey", "l_partkey"], LINE_ORDER)
-        enrolled = first.select(
-            *LINE_ORDER, F.col("o_custkey").alias("EmpleadoID"),
+        return dense_keys(first, LINE_ORDER, "EmpleadoCapacitacionID", [
+            F.col("l_partkey").alias("CapacitacionID"), F.col("o_custkey").alias("EmpleadoID"),
             F.when(~pending, F.col("l_quantity").cast("int") % 41 + 60).cast("decimal(5,2)").alias("CalificacionObtenida"),
             F.when(~pending, F.col("l_shipdate").cast("date")).alias("FechaCompletado"),
             F.when(pending, "En Curso").otherwise("Completada").alias("Estado"),
-        )
-        kept = ["l_partkey", *(c for c in enrolled.columns if c not in LINE_ORDER)]
-        return dense_keys(enrolled, LINE_ORDER, "EmpleadoCapacitacionID", kept).withColumnRenamed("l_partkey", "CapacitacionID")
+        ])
 
 
 def enrolment_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,6 +23,9 @@ BATCH = "_lote"
 # year, and those of the 32,768 that share a bitmap.
 _GROUPS = 16
 
+# Of the Parquet files written here: keys and dates take some two thirds of what they take by the default.
+_COMPRESSION = "zstd"
+
 _staging: ContextVar[str | None] = ContextVar("staging", default=None)
 
 
@@ -92,12 +95,12 @@ def write_checked(df: DataFrame, folder: str, name: str, rules: Sequence[tuple[s
     counted = df.observe(loaded, F.count(F.lit(1)).alias("Registros"), *broken)
     path = f"{folder}/{name}.parquet"
     if dated_by is None:
-        counted.write.mode("overwrite").parquet(path)
+        counted.write.mode("overwrite").option("compression", _COMPRESSION).parquet(path)
     else:
         dealt = counted.withColumn(YEAR, (F.col(dated_by) / 10000).cast("int")).withColumn(
             "_group", F.pmod(F.hash(F.bitmap_bucket_number(cluster)), F.lit(_GROUPS)))
         dealt = dealt.hint("rebalance", F.col(YEAR), F.col("_group")).drop("_group").sortWithinPartitions(YEAR, cluster)
-        dealt.write.mode("overwrite").partitionBy(YEAR).parquet(path)
+        dealt.write.mode("overwrite").partitionBy(YEAR).option("compression", _COMPRESSION).parquet(path)
     found = loaded.get
     return int(found.get("Registros", 0)), {label: int(found.get(f"_{i}", 0)) for i, (label, _) in enumerate(rules)}
 
@@ -106,7 +109,8 @@ def write_bucketed(df: DataFrame, namespace: str, name: str, key: str, buckets:
     """Writes df as a table of the catalog, dealt by key into so many files, each sorted by it. Tables dealt alike are
     joined and grouped by the key without a shuffle; since no shuffle is left that adaptive execution could split, a key
     of very many rows is one task's work until it is folded."""
-    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(f"{namespace}.{name}")
+    dealt = df.repartition(buckets, key).write.mode("overwrite").option("compression", _COMPRESSION)
+    dealt.bucketBy(buckets, key).sortBy(key).saveAsTable(f"{namespace}.{name}")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -116,7 +120,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     home = _staging.get()
     folder = f"{home}/{uuid.uuid4().hex}" if home else new_folder(df.sparkSession, "stage")
-    df.write.parquet(f"{folder}/{label}.parquet")
+    df.write.option("compression", _COMPRESSION).parquet(f"{folder}/{label}.parquet")
     return read_table(df.sparkSession, folder, label, df.schema)
 
 

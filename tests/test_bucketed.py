@@ -2,6 +2,7 @@
 
 import pytest
 
+import __spark_entry__ as registered
 from peoplemart.operators.references import reference_profile
 from peoplemart.plans import facts, kpis, quality
 from peoplemart.plans.reload import FACTS, SCHEMAS, bucketed
@@ -29,6 +30,16 @@ def test_the_copy_holds_the_mart(spark, mart, dealt):
             assert tables[name].exceptAll(mart[name]).count() == 0 and mart[name].exceptAll(tables[name]).count() == 0
 
 
+def test_the_registered_copy_has_buckets_that_fit_the_input(spark, monkeypatch):
+    """As many as shuffles have partitions: with a fixed number a bucket, which one task sorts, would grow with the input."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "23")
+    monkeypatch.setattr(registered, "_bucketed", {})
+    monkeypatch.setattr(registered, "loaded_mart", lambda *_: None)
+    monkeypatch.setattr(registered, "bucketed", lambda mart, space, buckets: buckets)
+    assert registered._bucketed_mart(session, "large") == 23
+
+
 @pytest.mark.parametrize("name", ["q04", "q11", "q13"])
 def test_kpis_by_employee_shuffle_no_fact(mart, dealt, conf, name):  # noqa: F811
     """With broadcasts off, facts are folded and joined to the employees where they lie."""

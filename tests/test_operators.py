@@ -150,6 +150,14 @@ def test_dense_keys_of_some_columns(spark):
     assert "nk" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_dense_keys_with_columns_of_the_order(spark):
+    """Columns that follow from others are computed after the shuffle, which carries what they are computed from."""
+    rows = spark.createDataFrame([(3, 30.5), (1, None), (2, 20.5)], "nk int, value double")
+    found = keys.dense_keys(rows, ["nk"], "k", [(F.col("nk") * 10).alias("ten"), F.col("value").cast("int").alias("whole"), "nk"])
+    assert found.columns == ["k", "ten", "whole", "nk"]
+    assert sorted(map(tuple, found.collect())) == [(1, 10, None, 1), (2, 20, 20, 2), (3, 30, 30, 3)]
+
+
 def test_shuffles_fit_the_files(spark):
     """More partitions for large inputs, no larger merged ones; small inputs change nothing."""
     first, merged = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
