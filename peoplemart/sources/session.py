@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 _FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_READ_BYTES = "spark.sql.files.maxPartitionBytes"
 _MERGED_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 #: Bytes of Parquet files for a shuffle partition: rows take some ten times as much in memory, and a join and a window sort them at once.
 _FILE_BYTES = 8 * 1024 * 1024
@@ -36,10 +37,12 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 def fit_shuffles(spark: SparkSession, file_bytes: int) -> None:
     """Lets the shuffles of spark begin with a partition for 8 MB of input files at least, which adaptive execution merges up to
-    16 MB. It splits none outside of joins, so with a fixed number a task's sorts would grow with the input and spill.
+    16 MB. It splits none outside of joins, so with a fixed number a task's sorts would grow with the input and spill. Files
+    are read 16 MB at a time too: some aggregates and windows sort what a task reads before the shuffle.
     Options that ask for smaller partitions stay, and for small inputs all do."""
     parts = -(-file_bytes // _FILE_BYTES)
     if parts > shuffle_parts(spark):
         spark.conf.set(_FIRST_PARTITIONS, str(parts))
-        merged = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_MERGED_BYTES))
-        spark.conf.set(_MERGED_BYTES, str(min(merged, 2 * _FILE_BYTES)))
+        for option in (_MERGED_BYTES, _READ_BYTES):
+            size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(option))
+            spark.conf.set(option, str(min(size, 2 * _FILE_BYTES)))

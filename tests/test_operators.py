@@ -176,6 +176,21 @@ def test_shuffles_fit_the_files(spark):
     assert keys.dense_keys(session_.range(1000), ["id"], "k").agg({"k": "max"}).first()[0] == 1000
 
 
+def test_reads_fit_the_files(spark):
+    """What a task reads of a large input, and sorts, doesn't grow with it; a smaller size that was asked for stays."""
+    read = "spark.sql.files.maxPartitionBytes"
+    session_ = spark.newSession()
+    session_.conf.set("spark.sql.shuffle.partitions", "4")
+    before = session_.conf.get(read)
+    session.fit_shuffles(session_, 30 << 20)
+    assert session_.conf.get(read) == before
+    session.fit_shuffles(session_, 800 << 20)
+    assert session_.conf.get(read) == str(16 << 20)
+    session_.conf.set(read, "1m")
+    session.fit_shuffles(session_, 1600 << 20)
+    assert session_.conf.get(read) == str(1 << 20)
+
+
 def test_bytes_of_tables(spark):
     sizes = [Path(f"{SMALL}/{name}.parquet").stat().st_size for name in ("orders", "part")]
     assert storage.stored_bytes(spark, SMALL, ("orders", "part")) == sum(sizes)
