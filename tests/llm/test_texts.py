@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -85,6 +86,22 @@ def test_token_files(spark):
     assert token_files.round_trip(docs.filter("doc_id < 0")).count() == 0
 
 
+@pytest.mark.parametrize("between", [True, False])
+def test_pieces_are_encoded_together(between):
+    """Distinct pieces reach the library joined by a special token, if it has a fitting one, and have the ids they have alone."""
+    path = public_tokenizers.path(token_files.TOKENIZER)
+    own, library, given = token_files.Encoder(path, 2), Tokenizer.from_file(path), []
+    assert own.between[1] in library.get_vocab()
+    own.between = own.between if between else None
+    plain = own._plain
+    own._plain = lambda texts: given.extend(texts) or plain(texts)
+    words = [f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzéßñ語'[i // 100]}" for i in range(1000)] + ["--'s", "7", "\x01", "e\u0301"]
+    tokens = own.encode(pa.array([" ".join(words), "", "words it\u2019s 12", "a <|startoftext|> b"]))
+    assert (len(given) < 10) == between
+    alone = [library.encode(t, add_special_tokens=False).ids + [2] for t in (" ".join(words), "", "words it\u2019s 12", "a <|startoftext|> b")]
+    assert tokens.lengths.tolist() == list(map(len, alone)) and tokens.ids.tolist() == [i for ids in alone for i in ids]
+
+
 def test_token_files_without_ids_and_with_ties(spark):
     rows = [(3, "b"), (None, "z"), (3, "a"), (3, "a"), (None, None), (-1, "c")]
     got = sorted((r.start, r.doc_id) for r in token_files.round_trip(cases.frame(spark, rows)).collect())
