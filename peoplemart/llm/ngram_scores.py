@@ -1,10 +1,12 @@
 """Stupid-backoff scores of documents by the n-gram counts of all other documents.
 
-Texts are exploded to n-grams, folded to one row for each distinct n-gram of a block of documents with its
-count there. Grouped by n-gram they are the count table, partitioned by the n-grams' hash; it is joined back
-to the blocks' rows without another shuffle, and the totals of n-grams that several blocks have return to
-those. There they meet the n-grams of the texts again, a text's own occurrences are taken off, so it isn't
-its own evidence, and the logarithms are summed per text. However frequent, an n-gram is one row per block.
+Texts are exploded to n-grams, folded to one for each distinct n-gram of a block of documents with its count
+there. A block's n-grams are dealt to the tasks of the count table by ranges of their hash, one list a range,
+since a row each would cost more shuffle than its hash. There the lists are rows: grouped by n-gram they are
+the count table, which is joined back to the blocks' rows without another shuffle, and the totals return to
+the blocks as lists in the same order. There they meet the n-grams of the texts again, a text's own occurrences
+are taken off, so it isn't its own evidence, and the logarithms are summed per text. However frequent, an
+n-gram is counted once per block.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ COUNTED_BYTES = 8 << 20
 #: The n-gram of no words, the context of single words; a text has it as often as it has words.
 EMPTY = 0
 _ROLLING = exchange.Rolling(9)
+#: A range that may be NULL would be filtered on one side of the join only, and the shuffle not be shared.
+_LISTS = T.StructType([
+    T.StructField("block", T.IntegerType()), T.StructField("range", T.IntegerType(), False),
+    T.StructField("grams", T.ArrayType(T.LongType())), T.StructField("counts", T.ArrayType(T.LongType()))])
 RESULTS = {"n_words": T.LongType(), "score": T.DoubleType()}
 
 
@@ -60,24 +66,39 @@ def _folded(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     return every, total
 
 
-def n_grams(blocked: DataFrame, order: int) -> DataFrame:
-    """block, gram (hash), n: the distinct n-grams of each block, of up to order words, and their counts there."""
+def n_grams(blocked: DataFrame, order: int, ranges: int = 1) -> DataFrame:
+    """block, range, place, gram (hash), n: the distinct n-grams of each block, of up to order words, and their
+    counts there; dealt to as many tasks by the range of the hash, in which place is its own among the block's."""
     def each(key: tuple, t: pa.Table) -> pa.Table:
         every, counts = _folded(t["text"].combine_chunks(), order)
-        return pa.table({"block": pa.array(np.full(len(every), key[0].as_py(), np.int32)),
-                         "gram": every.view(np.int64), "n": counts})
-
-    return blocked.groupBy("block").applyInArrow(each, "block int, gram long, n long")
-
-
-def answered(grams: DataFrame, tasks: int) -> DataFrame:
-    """block, gram, others: how often other blocks have an n-gram of a block, if they do."""
-    dealt = grams.repartition(tasks, "gram")
+        at = exchange.cuts(every, ranges, 64)
+        some = np.flatnonzero(np.diff(at))  # the ranges that have any
+        ends = pa.array(np.append(at[some], len(every)), pa.int32())
+        return pa.table({"block": pa.array(np.full(len(some), key[0].as_py(), np.int32)), "range": pa.array(some, pa.int32()),
+                         "grams": pa.ListArray.from_arrays(ends, every.view(np.int64)),
+                         "counts": pa.ListArray.from_arrays(ends, counts)})
+
+    lists = blocked.groupBy("block").applyInArrow(each, _LISTS).repartitionById(ranges, "range")
+    return lists.select("block", "range", "counts", F.posexplode("grams").alias("place", "gram")).select(
+        "block", "range", "place", "gram", F.col("counts")[F.col("place")].alias("n"))
+
+
+def answered(grams: DataFrame, tasks: int | None = None) -> DataFrame:
+    """block, range, place, gram, others: how often other blocks have an n-gram of a block. The rows are dealt
+    to so many tasks by n-gram; by default they stay in their ranges' tasks, as n_grams deals them."""
+    keys, dealt = (["range", "gram"], grams) if tasks is None else (["gram"], grams.repartition(tasks, "gram"))
     # counting the blocks keeps the columns of both uses the same, so Spark shuffles the rows once
-    counts = dealt.groupBy(F.col("gram").alias("counted")).agg(
+    counts = dealt.groupBy(*[F.col(k).alias(f"counted_{k}") for k in keys]).agg(
         F.sum("n").alias("total"), F.count("block").alias("blocks")).filter("blocks > 1")
-    return dealt.join(counts, F.col("gram") == F.col("counted")).select(
-        "block", "gram", (F.col("total") - F.col("n")).alias("others"))
+    same = [F.col(k) == F.col(f"counted_{k}") for k in keys]
+    return dealt.join(counts.hint("shuffle_hash"), same, "left").select(
+        "block", "range", "place", "gram", F.coalesce(F.col("total") - F.col("n"), F.lit(0)).alias("others"))
+
+
+def _listed(totals: DataFrame) -> DataFrame:
+    """block, range, others: the totals of each list of n-grams, in its order."""
+    found = totals.groupBy("range", "block").agg(F.sort_array(F.collect_list(F.struct("place", "others"))).alias("list"))
+    return found.select("block", "range", F.col("list.others").alias("others"))
 
 
 def _scores(texts: pa.Array, every: np.ndarray, total: np.ndarray, order: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
@@ -118,12 +139,12 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     size = text_bytes(docs, text_col)
     tasks = max(shuffle_tasks(docs.sparkSession), pieces(size, COUNTED_BYTES))
     blocked = exchange.in_blocks(docs, id_col, text_col, pieces(size, BLOCK_BYTES))
-    totals = answered(n_grams(blocked, order), tasks)
+    totals = _listed(answered(n_grams(blocked, order, tasks)))
 
     def finish(_: tuple, t: pa.Table, a: pa.Table) -> pa.Table:
         texts = t["text"].combine_chunks()
         every, total = _folded(texts, order)
-        total[np.searchsorted(every, a["gram"].to_numpy().view(np.uint64))] += a["others"].to_numpy()
+        total += a.sort_by("range")["others"].combine_chunks().flatten().to_numpy()
         n_words, sums = _scores(texts, every, total, order, backoff)
         score = pa.array(sums / np.maximum(1, n_words), mask=n_words == 0)
         return pa.table({"row": t["row"], "n_words": n_words, "score": score})

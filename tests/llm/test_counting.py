@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from peoplemart.llm import exchange, ngram_scores, simhash, substrings
+from peoplemart.llm import common, exchange, ngram_scores, simhash, substrings
 from peoplemart.llm.components import components
 from tests.llm import cases
 
@@ -149,6 +149,30 @@ def test_a_frequent_pair_is_one_row_of_a_block(spark):
     assert "ReusedExchange" in totals._jdf.queryExecution().executedPlan().toString()
 
 
+def shuffled_rows(df):
+    """The rows that all shuffles of df write."""
+    df.collect()
+    plans, found = [df._jdf.queryExecution().executedPlan().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName().endswith("QueryStage"):
+            plan = plan.plan()
+        if plan.nodeName() == "Exchange":
+            found += plan.metrics().apply("shuffleRecordsWritten").value()
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_n_grams_are_shuffled_as_lists(spark, monkeypatch):
+    """A row of the shuffles is a text, or a block's n-grams of one range of hashes; a row per n-gram takes too much disk."""
+    monkeypatch.setattr(ngram_scores, "BLOCK_BYTES", 20_000)
+    rows = [(i, cases.sentence(random.Random(i), 20)) for i in range(500)]
+    blocks, ranges = common.pieces(sum(len(t) for _, t in rows), 20_000), 4
+    found = ngram_scores.scored(cases.frame(spark, rows))
+    assert blocks > 1 and len(rows) < shuffled_rows(found) <= len(rows) + 2 * blocks * ranges
+
+
 def test_repeated_rows_without_an_id_share_blocks(spark):
     """Rows that are equal in all columns are dealt by where they are read."""
     docs = cases.frame(spark, [(None, "a b c")] * 400).repartition(8)
