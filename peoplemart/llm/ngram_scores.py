@@ -31,7 +31,8 @@ _ROLLING = exchange.Rolling(9)
 #: A range that may be NULL would be filtered on one side of the join only, and the shuffle not be shared.
 _LISTS = T.StructType([
     T.StructField("block", T.IntegerType()), T.StructField("range", T.IntegerType(), False),
-    T.StructField("grams", T.ArrayType(T.LongType())), T.StructField("counts", T.ArrayType(T.LongType()))])
+    T.StructField("low", T.ArrayType(T.IntegerType()), False), T.StructField("middle", T.ArrayType(T.ShortType()), False),
+    T.StructField("top", T.ArrayType(T.ShortType()), False), T.StructField("counts", T.ArrayType(T.LongType()), False)])
 RESULTS = {"n_words": T.LongType(), "score": T.DoubleType()}
 
 
@@ -74,13 +75,20 @@ def n_grams(blocked: DataFrame, order: int, ranges: int = 1) -> DataFrame:
         at = exchange.cuts(every, ranges, 64)
         some = np.flatnonzero(np.diff(at))  # the ranges that have any
         ends = pa.array(np.append(at[some], len(every)), pa.int32())
+        # in ascending order, the top 16 bits repeat and cost next to nothing once compressed
+        parts = {"low": every.astype(np.uint32).view(np.int32), "middle": (every >> np.uint64(32)).astype(np.uint16).view(np.int16),
+                 "top": (every >> np.uint64(48)).astype(np.uint16).view(np.int16), "counts": counts}
         return pa.table({"block": pa.array(np.full(len(some), key[0].as_py(), np.int32)), "range": pa.array(some, pa.int32()),
-                         "grams": pa.ListArray.from_arrays(ends, every.view(np.int64)),
-                         "counts": pa.ListArray.from_arrays(ends, counts)})
+                         **{name: pa.ListArray.from_arrays(ends, values) for name, values in parts.items()}})
 
     lists = blocked.groupBy("block").applyInArrow(each, _LISTS).repartitionById(ranges, "range")
-    return lists.select("block", "range", "counts", F.posexplode("grams").alias("place", "gram")).select(
-        "block", "range", "place", "gram", F.col("counts")[F.col("place")].alias("n"))
+    rows = lists.select("block", "range", "middle", "top", "counts", F.posexplode("low").alias("place", "low"))
+    low = F.col("low").cast("long").bitwiseAND(0xFFFFFFFF)
+    middle = F.col("middle")[F.col("place")].cast("long").bitwiseAND(0xFFFF)
+    top = F.col("top")[F.col("place")].cast("long")
+    return rows.select(
+        "block", "range", "place", F.shiftleft(top, 48).bitwiseOR(F.shiftleft(middle, 32)).bitwiseOR(low).alias("gram"),
+        F.col("counts")[F.col("place")].alias("n"))
 
 
 def answered(grams: DataFrame, tasks: int | None = None) -> DataFrame:
